@@ -88,21 +88,25 @@ def assign_row_id(df: DataFrame, order: Sequence[str], out: str = "row_id") -> D
     return position(df, list(order), out, start=0)
 
 
-def persona_blocks(df: DataFrame, file_col: str, line_col: str, fact_col: str,
-                   start_col: str) -> DataFrame:
+def persona_blocks(df: DataFrame, file_col: str | None, line_cols: Sequence[str], fact_col: str,
+                   start: Column) -> DataFrame:
     """A start line opens a block; facts collected per block by line.
 
-    Block numbers are running sums of the start flag within a file, computed
-    with the distributed prefix sum so a huge file is not one task.
+    Block numbers are running sums of the start flag within a file (or the
+    whole input when ``file_col`` is None), computed with the distributed
+    prefix sum so a huge file is not one task. Blocks are personas: a few
+    facts each, so collecting one block's facts is bounded.
     """
-    flagged = df.withColumn("__start", F.col(start_col).cast("long"))
+    line_cols = list(line_cols)
+    part = [file_col] if file_col else []
+    flagged = df.withColumn("__start", start.cast("long"))
     # each line belongs to the last start at or before it; lines before the
     # first start (block 0) have no persona and are dropped
-    numbered = prefix_sum(flagged, [line_col], "__start", "block_no", partition=[file_col])
+    numbered = prefix_sum(flagged, line_cols, "__start", "block_no", partition=part)
     facts = numbered.filter(F.col("block_no") > 0)
-    return (facts.groupBy(file_col, "block_no")
-            .agg(F.array_sort(F.collect_list(F.struct(line_col, fact_col))).alias("__f"))
-            .select(file_col, "block_no", F.transform("__f", lambda s: s[fact_col]).alias("facts")))
+    return (facts.groupBy(*part, "block_no")
+            .agg(F.array_sort(F.collect_list(F.struct(*line_cols, fact_col))).alias("__f"))
+            .select(*part, "block_no", F.transform("__f", lambda s: s[fact_col]).alias("facts")))
 
 
 def persona_structured(df: DataFrame, facts_col: str = "facts", id_col: str = "id") -> DataFrame:

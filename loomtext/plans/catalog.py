@@ -5,7 +5,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-_MODULES = ("q_text",)
+_MODULES = ("q_text", "q_rows")
 
 
 def load() -> tuple[dict, dict]:
