@@ -129,3 +129,5 @@ CHAT_USER_TEMPLATE = "Bio: %s\nWrite an icebreaker."
 SEED = 42
 RELEVANCE_THRESHOLD = 0.35
 K_VALUES = (1, 3, 5)
+TEMPERATURES = (0.5, 0.8, 1.0)
+EVAL_HOLDOUT = 75

@@ -5,7 +5,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-_MODULES = ("q_text", "q_rows")
+_MODULES = ("q_text", "q_rows", "q_vectors")
 
 
 def load() -> tuple[dict, dict]:

@@ -75,7 +75,7 @@ def clean_cte(src: str, keys: str, text: str, kind: str, out: str = "text_clean"
     return (
         f"{name}_a AS (SELECT {keys}{ex}, {blank(text)} AS __blank, "
         f"string_split({pre_collapse(text)}, '') AS __ch FROM {src}),\n"
-        f"{name} AS (SELECT {keys}{ex}, CASE WHEN __blank THEN '' ELSE "
+        f"{name} AS (SELECT * EXCLUDE (__blank, __ch), CASE WHEN __blank THEN '' ELSE "
         f"{post_collapse(collapse_list('__ch'), kind)} END AS {out} FROM {name}_a)"
     )
 
