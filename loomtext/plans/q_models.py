@@ -5,6 +5,7 @@ and pytest bounds the quality. ``scores_table`` has an oracle.
 """
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
@@ -28,7 +29,9 @@ def _features(t: Tables, label: str):
     idf = V.idf_table(vocab, n)
     w = V.tfidf_weights(tf, idf, bounded_vocab=True)
     index = M.term_index(vocab)
-    feats = M.to_vectors(w, index, VOCAB)
+    # iterative training re-reads its input many times: keep the (small,
+    # vocabulary-bounded) feature rows; lost blocks are recomputed from lineage
+    feats = M.to_vectors(w, index, VOCAB).persist(StorageLevel.MEMORY_AND_DISK)
     return feats, w, index
 
 
@@ -38,7 +41,7 @@ def _binary(t: Tables):
     data = feats.join(lab.withColumnRenamed("doc_id", "id"), "id")
     train = data.filter(F.col("split") == "train")
     test = data.filter(F.col("split") != "train")
-    model = M.train_logreg(train.withColumn("toxic", F.col("toxic").cast("double")), "toxic", max_iter=200)
+    model = M.train_logreg(train.withColumn("toxic", F.col("toxic").cast("double")), "toxic", max_iter=100)
     return model, test, w, index
 
 
