@@ -44,19 +44,29 @@ def language_filter(df: DataFrame, c: str = "lang", keep: Sequence[str] = ("en",
     return df.filter(F.col(c).isin(list(keep)))
 
 
-def dedup_keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+def dedup_keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str],
+                     drop_empty_key: bool = False) -> DataFrame:
     """First row per key by ``order``.
 
     Written as ``min(struct(order..., row))`` per key rather than a
     ``row_number`` window: the aggregate combines map-side, so a key holding
     a third of the table is reduced in every task before the shuffle.
+
+    ``drop_empty_key`` removes the group whose (single) key is '' as a HAVING
+    condition: a filter on a derived key column would otherwise be pushed
+    into the projection and evaluate the key expression twice.
     """
     key = list(key)
     order = list(order)
     payload = [c for c in df.columns if c not in key]
     packed = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
                       F.struct(*payload).alias("__row"))
-    agg = df.groupBy(*key).agg(F.min(packed).alias("__m"))
+    aggs = [F.min(packed).alias("__m")]
+    if drop_empty_key:
+        aggs.append(F.max((F.col(key[0]) == "").cast("int")).alias("__empty"))
+    agg = df.groupBy(*key).agg(*aggs)
+    if drop_empty_key:
+        agg = agg.filter(F.col("__empty") == 0)
     return agg.select(*key, "__m.__row.*").select(*df.columns)
 
 

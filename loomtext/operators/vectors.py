@@ -42,7 +42,9 @@ def term_counts(df: DataFrame, id_col: str, text: Column | str, bigrams: bool =
         grams = F.when(F.size("__u") > 1, F.concat("__u", big)).otherwise(F.col("__u"))
     else:
         grams = F.col("__u")
-    return (uni.select("id", F.explode(grams).alias("term"))
+    # partitioned by document: the count, the idf join (broadcast) and the
+    # per-document norm then run without further shuffles
+    return (uni.select("id", F.explode(grams).alias("term")).repartition("id")
             .groupBy("id", "term").agg(F.count("*").alias("tf")))
 
 
@@ -70,6 +72,10 @@ def tfidf_weights(tf: DataFrame, idf: DataFrame, bounded_vocab: bool) -> DataFra
     only when the vocabulary is capped (``bounded_vocab``)."""
     side = F.broadcast(idf) if bounded_vocab else idf
     w = tf.join(side, "term").withColumn("w", (F.lit(1.0) + F.log("tf")) * F.col("idf"))
+    if bounded_vocab:
+        # stream side keeps its partitioning by id: a window needs no shuffle
+        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))
+        return w.select("id", "term", (F.col("w") / norm).alias("weight"))
     norms = w.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__n"))
     return (w.join(norms, "id").select("id", "term", (F.col("w") / F.col("__n")).alias("weight")))
 

@@ -22,9 +22,11 @@ JVM = dict(unicode_fix=False, contractions=False, emoji=False)
 # ---------------------------------------------------------------------------
 def clean_dedup(t: Tables):
     docs = R.drop_null_text(t.documents.select("doc_id", "text", "source"))
-    cleaned = docs.withColumn("text_clean", TX.clean_for_classification("text", **JVM))
-    cleaned = R.drop_blank(cleaned, "text_clean")
-    return R.dedup_keep_first(cleaned, ["text_clean"], ["doc_id"])
+    cleaned = docs.select("doc_id", "source", TX.clean_for_classification("text", **JVM).alias("text_clean"))
+    # The cleaner trims, so a blank cleaned text is ''. Blank texts form one
+    # group; dropping it inside the dedup (HAVING) keeps exactly the rows of
+    # drop-then-dedup while the cleaner is evaluated once.
+    return R.dedup_keep_first(cleaned, ["text_clean"], ["doc_id"], drop_empty_key=True)
 
 
 FLAGSHIP_SQL = f"""

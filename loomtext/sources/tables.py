@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..session import default_parallelism
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -44,10 +46,24 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 
+# Tables whose rows carry long text: CPU-heavy row-wise work follows.
+TEXT_TABLES = frozenset({"documents", "pages", "conversations", "benchmark"})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table; Catalyst prunes columns and pushes filters."""
+    """Read one driver table; Catalyst prunes columns and pushes filters.
+
+    A text table that arrives in fewer input splits than the session has
+    cores (e.g. one large row group) is spread round-robin first, so the
+    regex-heavy projections run on every core. With real inputs (thousands
+    of splits) this is a no-op and no shuffle is added."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spark.read.parquet(path)
+    df = spark.read.parquet(path)
+    if name in TEXT_TABLES:
+        want = default_parallelism(spark)
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
+    return df
 
 
 class Tables:
