@@ -91,10 +91,12 @@ def roc_curve(df: DataFrame, y: str, score: str, digits: int = 6) -> DataFrame:
     """H6: one point per distinct score (descending thresholds): cumulative
     true/false positive rates of ``score >= threshold``."""
     sc = score_counts(df, y, score)
-    cum = prefix_sum(sc, [F.desc("score")], "pos", "tp")
-    cum = prefix_sum(cum, [F.desc("score")], "neg", "fp")
+    # rows scoring >= s = all rows minus those below s (ascending prefix)
+    cum = prefix_sum(sc, ["score"], "pos", "__pb", inclusive=False)
+    cum = prefix_sum(cum, ["score"], "neg", "__nb", inclusive=False)
     tot = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return (cum.withColumn("__o", F.lit(1)).join(F.broadcast(tot.withColumn("__o", F.lit(1))), "__o")
+            .withColumn("tp", F.col("P") - F.col("__pb")).withColumn("fp", F.col("N") - F.col("__nb"))
             .select(F.col("score").alias("threshold"),
                     F.round(F.when(F.col("N") > 0, F.col("fp") / F.col("N")), digits).alias("fpr"),
                     F.round(F.when(F.col("P") > 0, F.col("tp") / F.col("P")), digits).alias("tpr")))

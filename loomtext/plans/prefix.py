@@ -2,10 +2,16 @@
 
 A window ``sum(x) over (partition by g order by o)`` puts a whole group in one
 task; a global ``row_number() over (order by o)`` puts the whole table in
-one task. Here the table is range-partitioned on ``(g, o)`` instead: each
-task computes running sums over its own slice, a small table of per-slice
-totals (one row per slice and group) yields the offsets, and a join adds
-them back. A group holding a third of all rows is spread over many slices.
+one task. Here rows are cut into slices of the ``(g, o)`` key space instead:
+each slice computes running sums over its own rows, a small table of
+per-slice totals (one row per slice and group) yields the offsets, and a
+join adds them back. A group holding a third of all rows spans many slices.
+
+Slice bounds come from a bounded sample of keys taken once on the driver and
+are applied as a pure expression of the key. The slice of a row is
+therefore the same in every branch of the plan and after any recomputation
+(a ``spark_partition_id`` after a range shuffle is not: two exchanges sample
+their own bounds).
 """
 from __future__ import annotations
 
@@ -16,22 +22,50 @@ from pyspark.sql import functions as F
 
 from ..session import default_parallelism
 
+SAMPLE_PER_SLICE = 40
+
+
+def _slice_expr(df: DataFrame, keys: Sequence[str], n: int) -> Column:
+    key = F.struct(*[F.col(k) for k in keys])
+    total = df.count()
+    if total == 0 or n <= 1:
+        return F.lit(0)
+    frac = min(1.0, SAMPLE_PER_SLICE * n / total)
+    # bounded: about SAMPLE_PER_SLICE * n keys reach the driver
+    sample = (df.select(key.alias("k")).sample(False, frac, seed=17)
+              .orderBy("k").limit(SAMPLE_PER_SLICE * n * 2).collect())
+    ks = [r.k for r in sample]
+    if not ks:
+        return F.lit(0)
+    bounds = []
+    for i in range(1, n):
+        b = ks[min(len(ks) - 1, (len(ks) * i) // n)]
+        if not bounds or b != bounds[-1]:
+            bounds.append(b)
+    expr = F.lit(0)
+    for b in bounds:
+        lit = F.struct(*[F.lit(v).cast(df.schema[k].dataType).alias(k) for k, v in zip(keys, b)])
+        expr = expr + (key > lit).cast("int")
+    return expr
+
 
-def prefix_sum(df: DataFrame, order: Sequence[Column | str], value: Column | str | int,
+def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str | int,
                out: str, partition: Sequence[str] = (), slices: int | None = None,
                inclusive: bool = True) -> DataFrame:
-    """Add column ``out`` = running sum of ``value`` in ``order`` within
-    ``partition``. ``order`` must be a total order (append an id to break
-    ties)."""
+    """Add column ``out`` = running sum of ``value`` in ascending ``order``
+    within ``partition``. ``order`` (column names) must be a total order
+    within a partition (append an id to break ties)."""
     spark = df.sparkSession
     n = slices or max(8, default_parallelism(spark))
-    val = F.lit(value) if isinstance(value, int) else (F.col(value) if isinstance(value, str) else value)
     part = list(partition)
-    ocols = [F.col(c) if isinstance(c, str) else c for c in order]
-    base = (df.withColumn("__v", val.cast("long") if isinstance(value, int) else val)
-            .repartitionByRange(n, *[F.col(p) for p in part], *ocols)
-            .withColumn("__slice", F.spark_partition_id()))
-    w = (Window.partitionBy("__slice", *part).orderBy(*ocols)
+    order = list(order)
+    if isinstance(value, int):
+        val = F.lit(value).cast("long")
+    else:
+        val = F.col(value) if isinstance(value, str) else value
+    base = df.withColumn("__v", val)
+    base = base.withColumn("__slice", _slice_expr(base, part + order, n))
+    w = (Window.partitionBy("__slice", *part).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.withColumn("__local", F.sum("__v").over(w))
     totals = base.groupBy("__slice", *part).agg(F.sum("__v").alias("__tot"))
@@ -46,7 +80,7 @@ def prefix_sum(df: DataFrame, order: Sequence[Column | str], value: Column | str
     return res.withColumn(out, expr).drop("__v", "__local", "__off", "__slice")
 
 
-def position(df: DataFrame, order: Sequence[Column | str], out: str,
+def position(df: DataFrame, order: Sequence[str], out: str,
              partition: Sequence[str] = (), slices: int | None = None,
              start: int = 1) -> DataFrame:
     """Dense 1-based (or ``start``-based) position in ``order`` within
