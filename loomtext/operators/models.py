@@ -136,3 +136,50 @@ def scores_table(df: DataFrame, id_col: str, scores: str, digits: int = 6) -> Da
     e = df.select(id_col, F.explode(scores).alias("label", "score"))
     w = Window.partitionBy(id_col).orderBy(F.desc("score"), "label")
     return e.withColumn("score", F.round("score", digits)).withColumn("rank", F.row_number().over(w))
+
+
+def linear_scores(weights: DataFrame, coefs: DataFrame, intercepts: DataFrame | None = None) -> DataFrame:
+    """Margins of linear models as a join: ``(id, cls, margin)`` from sparse
+    ``(id, term, weight)`` and ``(term, cls, coef)``; terms without a
+    coefficient contribute nothing. The coefficient table is model-sized
+    (vocabulary x classes) and broadcast."""
+    m = (weights.join(F.broadcast(coefs), "term")
+         .groupBy("id", "cls").agg(F.sum(F.col("weight") * F.col("coef")).alias("margin")))
+    if intercepts is not None:
+        m = m.join(F.broadcast(intercepts), "cls").select(
+            "id", "cls", (F.col("margin") + F.col("intercept")).alias("margin"))
+    return m
+
+
+def score_binary_sql(weights: DataFrame, coefs: DataFrame, intercept: float = 0.0,
+                     threshold: float = 0.5) -> DataFrame:
+    """F11 without a fitted object: ``1 / (1 + exp(-(sum w*x + b)))``."""
+    m = linear_scores(weights, coefs.withColumn("cls", F.lit(1)))
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("margin") + F.lit(intercept))))
+    return m.select("id", p.alias("prob")).withColumn("pred", (F.col("prob") >= threshold).cast("int"))
+
+
+def score_multiclass_sql(weights: DataFrame, coefs: DataFrame, labels: list[str]) -> DataFrame:
+    """F12 without a fitted object: per-class margins -> softmax -> best."""
+    m = linear_scores(weights, coefs)
+    arr = m.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("cls", "margin"))).alias("__m"))
+    margins = F.transform("__m", lambda s: s["margin"])
+    scores = softmax(margins)
+    mp = F.map_from_arrays(F.transform("__m", lambda s: F.element_at(
+        F.array(*[F.lit(x) for x in labels]), s["cls"] + 1)), scores)
+    best = argmax_label(mp)
+    return arr.select("id", mp.alias("scores"), best["label"].alias("label_pred"),
+                      best["confidence"].alias("confidence"))
+
+
+def dictionary_join(df: DataFrame, id_col: str, tokens: str, dictionary: DataFrame,
+                    bounded: bool = True, out: str = "mapped") -> DataFrame:
+    """Replace tokens found in a ``(form, value)`` dictionary, keep the
+    others, order preserved. For dictionaries too large for a literal map:
+    explode with position, left join (broadcast when the dictionary is
+    bounded), re-assemble per row (one row's tokens: bounded)."""
+    side = F.broadcast(dictionary) if bounded else dictionary
+    ex = df.select(id_col, F.posexplode(tokens).alias("__p", "form"))
+    j = ex.join(side, "form", "left").select(id_col, "__p", F.coalesce("value", "form").alias("__t"))
+    return (j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("__p", "__t"))).alias("__a"))
+            .select(id_col, F.transform("__a", lambda s: s["__t"]).alias(out)))

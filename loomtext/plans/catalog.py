@@ -5,7 +5,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-_MODULES = ("q_text", "q_rows", "q_vectors", "q_eval", "q_models", "q_io")
+_MODULES = ("q_text", "q_rows", "q_vectors", "q_eval", "q_models", "q_io", "q_extra")
 
 
 def load() -> tuple[dict, dict]:
