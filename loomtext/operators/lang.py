@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +20,12 @@ PREFIX_CHARS = 300
 
 def trigrams(df: DataFrame, id_col: str, text: str, prefix: int = PREFIX_CHARS) -> DataFrame:
     """``(id, tri, cnt)`` over the first ``prefix`` lower-cased characters."""
-    s = F.substring(F.lower(F.coalesce(F.col(text), F.lit(""))), 1, prefix)
-    tris = F.transform(F.sequence(F.lit(1), F.length(s) - 2), lambda i: F.substring(s, i, 3))
-    return (df.select(F.col(id_col).alias("id"),
-                      F.explode(F.when(F.length(s) >= 3, tris).otherwise(F.array())).alias("tri"))
+    # lower-casing is per character, so lowering a prefix then cutting equals
+    # cutting the lowered text; every overlapping trigram in one regex pass
+    raw = F.coalesce(F.col(text), F.lit(""))
+    s = F.substring(F.lower(F.substring(raw, 1, prefix)), 1, prefix)
+    tris = F.regexp_extract_all(s, F.lit("(?s)(?=(.{3}))"), 1)
+    return (df.select(F.col(id_col).alias("id"), F.explode(tris).alias("tri"))
             .groupBy("id", "tri").agg(F.count("*").alias("cnt")))
 
 
@@ -30,7 +33,8 @@ def fit_profiles(labelled: DataFrame, id_col: str, text: str, label: str) -> Dat
     """``(lang, tri, c)`` counts of trigrams per language."""
     t = trigrams(labelled, id_col, text).join(
         labelled.select(F.col(id_col).alias("id"), F.col(label).alias("lang")), "id")
-    return t.groupBy("lang", "tri").agg(F.sum("cnt").alias("c"))
+    # the fitted profile is read three times by ``detect_language``: keep it
+    return t.groupBy("lang", "tri").agg(F.sum("cnt").alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def detect_language(df: DataFrame, id_col: str, text: str, profiles: DataFrame,

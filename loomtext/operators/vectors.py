@@ -15,6 +15,7 @@ an ``ARRAY<FLOAT>`` column. Similarity search never materialises all pairs:
 from __future__ import annotations
 
 import math
+import weakref
 from collections.abc import Sequence
 
 import numpy as np
@@ -28,6 +29,18 @@ from ..functions import tokens as TK
 # Broadcast bound for a query-side table, in rows (checked by count()).
 BROADCAST_ROWS = 2_000_000
 
+_COUNTS: dict[int, tuple[weakref.ref, int]] = {}
+
+
+def row_count(df: DataFrame) -> int:
+    """``df.count()`` once per DataFrame object (tile sizing reuses it)."""
+    hit = _COUNTS.get(id(df))
+    if hit is not None and hit[0]() is df:
+        return hit[1]
+    n = df.count()
+    _COUNTS[id(df)] = (weakref.ref(df), n)
+    return n
+
 
 # ---------------------------------------------------------------------------
 # F1-F5 TF-IDF
@@ -214,7 +227,7 @@ def dense_pairs(queries: DataFrame, qid: str, qvec: Column | str, cands: DataFra
     """Tiled block product. With ``k``: up to k best candidates per query and
     tile. With ``min_score``: every pair scoring at least that (theta join).
     """
-    nq, nc = queries.count(), cands.count()
+    nq, nc = row_count(queries), row_count(cands)
     bq = max(1, math.ceil(nq / tile_q))
     bc = max(1, math.ceil(nc / tile_c))
     qt, _ = _tiles(queries, qid, qvec, tile_q, "qt", "ct", bc, nq)
@@ -266,10 +279,12 @@ def _block_count(q: pd.DataFrame, c: pd.DataFrame, digits: int) -> pd.DataFrame:
 
 def dense_rank_of(queries: DataFrame, qid: str, qvec: Column | str, s_star: str, c_star: str,
                   cands: DataFrame, cid: str, cvec: Column | str, tile_q: int = 1024,
-                  tile_c: int = 4096, digits: int = 6) -> DataFrame:
+                  tile_c: int = 4096, digits: int = 6, n_queries: int | None = None) -> DataFrame:
     """Number of candidates ranked before ``(s_star, c_star)`` per query
-    (score desc, id asc), counted tile by tile; nothing is emitted per pair."""
-    nq, nc = queries.count(), cands.count()
+    (score desc, id asc), counted tile by tile; nothing is emitted per pair.
+    ``n_queries`` (an upper bound is enough) sizes the tiles without a count."""
+    nq = n_queries if n_queries is not None else row_count(queries)
+    nc = row_count(cands)
     bq = max(1, math.ceil(nq / tile_q))
     bc = max(1, math.ceil(nc / tile_c))
     v = F.col(qvec) if isinstance(qvec, str) else qvec

@@ -321,6 +321,8 @@ def retrieval_sides(t: Tables):
                  V.l2_normalize("embedding").alias("full"),
                  V.l2_normalize(V.vector_slice("embedding", 0, 32)).alias("head32"),
                  V.l2_normalize(V.vector_slice("embedding", 32, 32)).alias("tail32"))
+    # both sides are scanned by several tile passes and counts: keep them
+    s = s.persist(StorageLevel.MEMORY_AND_DISK)
     return s.filter(F.col("split") != "train"), s.filter(F.col("split") == "train")
 
 
@@ -347,8 +349,8 @@ pq_{m} AS (SELECT qid, CAST(sum(CAST(rel AS INTEGER)) AS BIGINT) AS n_relevant,
    coalesce(1.0 / min(CASE WHEN rel THEN rank END), 0.0) AS rr FROM r_{m} GROUP BY qid)"""
 
 
-def per_query(t: Tables, method: str):
-    qs, bank = retrieval_sides(t)
+def per_query(t: Tables, method: str, sides=None):
+    qs, bank = sides or retrieval_sides(t)
     return RT.per_query_metrics(qs, bank, "vec_id", method, "full", REL_T)
 
 
@@ -398,8 +400,9 @@ SELECT s.*, x.winner, round(s.mrr - x.second, 6) AS mrr_lift,
 FROM s, x""")
 def q_report(spark, d):
     t = Tables(spark, d)
-    sums = RT.summarize(per_query(t, "head32"), "head32").unionByName(
-        RT.summarize(per_query(t, "tail32"), "tail32"))
+    sides = retrieval_sides(t)
+    sums = RT.summarize(per_query(t, "head32", sides), "head32").unionByName(
+        RT.summarize(per_query(t, "tail32", sides), "tail32"))
     return RT.retrieval_report(sums)
 
 
