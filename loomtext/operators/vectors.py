@@ -20,11 +20,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import tokens as TK
+from ..plans.prefix import position
 
 # Broadcast bound for a query-side table, in rows (checked by count()).
 BROADCAST_ROWS = 2_000_000
@@ -69,10 +71,30 @@ def build_vocabulary(tf: DataFrame, n_docs: int | Column, min_df: int = 2, max_d
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
     kept = stats.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * n))
     if max_features:
-        kept = kept.orderBy(F.desc("cf"), "term").limit(max_features)
+        kept = _top_by_frequency(kept, max_features)
     return kept
 
 
+def _top_by_frequency(stats: DataFrame, k: int) -> DataFrame:
+    """The ``k`` terms with the largest ``cf`` (tie: term ascending), exact.
+
+    A global ``orderBy().limit(k)`` merges k rows from every partition in one
+    task. Instead: the histogram of distinct ``cf`` values (small: distinct
+    frequencies, not terms) gives the cutoff frequency; every term above it is
+    kept, and only the terms *at* the cutoff are ordered by name."""
+    hist = stats.groupBy("cf").agg(F.count("*").alias("__n"))
+    w = Window.orderBy(F.desc("cf")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = hist.withColumn("__cum", F.sum("__n").over(w))
+    row = cum.filter(F.col("__cum") >= k).orderBy("__cum").limit(1).collect()
+    if not row:                       # fewer than k terms: keep all
+        return stats
+    cut, cum_at, n_at = row[0]["cf"], row[0]["__cum"], row[0]["__n"]
+    above = stats.filter(F.col("cf") > cut)
+    need = k - (cum_at - n_at)        # how many of the tied terms fit
+    tied = position(stats.filter(F.col("cf") == cut), ["term"], "__pos")
+    return above.unionByName(tied.filter(F.col("__pos") <= need).drop("__pos"))
+
+
 def idf_table(vocab: DataFrame, n_docs: int) -> DataFrame:
     """F3 idf: ``ln((1 + n) / (1 + df)) + 1``."""
     return vocab.select("term", (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
@@ -106,8 +128,11 @@ class TfidfModel:
 def fit_tfidf(df: DataFrame, id_col: str, text: Column | str, min_df: int = 2,
               max_df: float = 1.0, max_features: int | None = None,
               bigrams: bool = True) -> tuple[TfidfModel, DataFrame]:
-    """fit on ``df`` and return (model, weights of ``df``)."""
-    tf = term_counts(df, id_col, text, bigrams)
+    """fit on ``df`` and return (model, weights of ``df``).
+
+    The term counts feed the vocabulary cutoff, the vocabulary and the
+    weights, so they are kept (spilling to disk; lost blocks recompute)."""
+    tf = term_counts(df, id_col, text, bigrams).persist(StorageLevel.MEMORY_AND_DISK)
     n_docs = df.count()
     vocab = build_vocabulary(tf, n_docs, min_df, max_df, max_features)
     model = TfidfModel(idf_table(vocab, n_docs), n_docs, max_features is not None, bigrams)
