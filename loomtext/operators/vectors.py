@@ -71,7 +71,8 @@ def build_vocabulary(tf: DataFrame, n_docs: int | Column, min_df: int = 2, max_d
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
     kept = stats.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * n))
     if max_features:
-        kept = _top_by_frequency(kept, max_features)
+        # read by the cutoff, the tie ranking and the result: keep it once
+        kept = _top_by_frequency(kept.persist(StorageLevel.MEMORY_AND_DISK), max_features)
     return kept
 
 
