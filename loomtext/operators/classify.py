@@ -80,6 +80,12 @@ def classification_report(df: DataFrame, y: str, p: str, labels: Sequence, digit
                                             r("recall").alias("recall"), r("f1").alias("f1"), "support"))
 
 
+def _totals(sc: DataFrame) -> tuple[int, int]:
+    """Positives and negatives: one scalar row, used as literals."""
+    r = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    return int(r["P"] or 0), int(r["N"] or 0)
+
+
 def score_counts(df: DataFrame, y: str, score: str) -> DataFrame:
     """``(score, pos, neg)`` per distinct score: the input of H6-H8."""
     return df.groupBy(F.col(score).alias("score")).agg(
@@ -94,8 +100,8 @@ def roc_curve(df: DataFrame, y: str, score: str, digits: int = 6) -> DataFrame:
     # rows scoring >= s = all rows minus those below s (ascending prefix)
     cum = prefix_sum(sc, ["score"], "pos", "__pb", inclusive=False)
     cum = prefix_sum(cum, ["score"], "neg", "__nb", inclusive=False)
-    tot = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return (cum.withColumn("__o", F.lit(1)).join(F.broadcast(tot.withColumn("__o", F.lit(1))), "__o")
+    P, N = _totals(sc)
+    return (cum.withColumn("P", F.lit(P)).withColumn("N", F.lit(N))
             .withColumn("tp", F.col("P") - F.col("__pb")).withColumn("fp", F.col("N") - F.col("__nb"))
             .select(F.col("score").alias("threshold"),
                     F.round(F.when(F.col("N") > 0, F.col("fp") / F.col("N")), digits).alias("fpr"),
@@ -133,9 +139,9 @@ def threshold_sweep(df: DataFrame, y: str, score: str, lo: float = 0.30, hi: flo
     grid = df.sparkSession.range(n).select(F.col("id").cast("int").alias("b"))
     full = grid.join(per_b, "b", "left").fillna(0, ["pos", "neg"])
     w = Window.orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tot = sc.agg(F.sum("pos").alias("P"))
+    P, _ = _totals(sc)
     cum = (full.withColumn("tp", F.sum("pos").over(w)).withColumn("fp", F.sum("neg").over(w))
-           .withColumn("__o", F.lit(1)).join(F.broadcast(tot.withColumn("__o", F.lit(1))), "__o"))
+           .withColumn("P", F.lit(P)))
     fn = F.col("P") - F.col("tp")
     den = 2 * F.col("tp") + F.col("fp") + fn
     f1 = F.when(den > 0, 2 * F.col("tp") / den).otherwise(F.lit(0.0))
@@ -161,8 +167,8 @@ def binary_summary(df: DataFrame, y: str, score: str, t: float = 0.5, model: str
     den = 2 * F.col("tp") + F.col("fp") + F.col("fn")
     f1 = F.when(den > 0, 2 * F.col("tp") / den).otherwise(0.0)
     acc = (F.col("n") - F.col("fp") - F.col("fn")) / F.col("n")
-    auc = roc_auc(df, y, score, 12).withColumn("__o", F.lit(1))
-    return (c.withColumn("__o", F.lit(1)).join(F.broadcast(auc), "__o")
+    auc_value = roc_auc(df, y, score, 12).first()["auc"]
+    return (c.withColumn("auc", F.lit(auc_value).cast("double"))
             .select(F.lit(model).alias("model"), F.round(acc, digits).alias("accuracy"),
                     F.round(prec, digits).alias("precision"), F.round(rec, digits).alias("recall"),
                     F.round(f1, digits).alias("f1"), F.round("auc", digits).alias("auc")))

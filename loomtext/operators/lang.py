@@ -41,14 +41,13 @@ def detect_language(df: DataFrame, id_col: str, text: str, profiles: DataFrame,
                     langs: Sequence[str], min_chars: int = 30) -> DataFrame:
     """``(id, lang_pred)``; ``langs`` is the (small) list of profile labels."""
     totals = profiles.groupBy("lang").agg(F.sum("c").alias("T"))
-    v = profiles.select("tri").distinct().agg(F.count("*").alias("V"))
+    n_vocab = profiles.select("tri").distinct().count()   # one scalar
     tris = trigrams(df, id_col, text)
     n_tri = tris.groupBy("id").agg(F.sum("cnt").alias("n"))
     hits = (tris.join(profiles, "tri")
             .groupBy("id", "lang").agg(F.sum(F.col("cnt") * F.log(F.col("c") + 1)).alias("hit")))
     base = (n_tri.select("id", "n", F.explode(F.array(*[F.lit(x) for x in langs])).alias("lang"))
-            .join(F.broadcast(totals), "lang")
-            .withColumn("__o", F.lit(1)).join(F.broadcast(v.withColumn("__o", F.lit(1))), "__o"))
+            .join(F.broadcast(totals), "lang").withColumn("V", F.lit(n_vocab)))
     scored = (base.join(hits, ["id", "lang"], "left")
               .select("id", "lang", (F.col("n") * F.log(F.lit(1.0) / (F.col("T") + F.col("V")))
                                      + F.coalesce("hit", F.lit(0.0))).alias("score")))

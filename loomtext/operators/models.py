@@ -24,9 +24,10 @@ from .rows import assign_row_id
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """``n / (k * count(class))`` per class (one row per class)."""
     counts = df.groupBy(label).agg(F.count("*").alias("__c"))
-    tot = counts.agg(F.sum("__c").alias("__n"), F.count("*").alias("__k")).withColumn("__o", F.lit(1))
-    return (counts.withColumn("__o", F.lit(1)).join(F.broadcast(tot), "__o")
-            .select(label, (F.col("__n") / (F.col("__k") * F.col("__c"))).alias("weight")))
+    # one row per class: the totals are two scalars
+    r = counts.agg(F.sum("__c").alias("n"), F.count("*").alias("k")).first()
+    n, k = int(r["n"] or 0), int(r["k"] or 0)
+    return counts.select(label, (F.lit(float(n)) / (F.lit(k) * F.col("__c"))).alias("weight"))
 
 
 def with_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
@@ -37,8 +38,9 @@ def with_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
 def majority_baseline(train: DataFrame, test: DataFrame, label: str, out: str = "pred") -> DataFrame:
     """predict the most frequent training class (tie: smaller label)."""
     top = (train.groupBy(label).agg(F.count("*").alias("__c"))
-           .orderBy(F.desc("__c"), label).limit(1).select(F.col(label).alias(out), F.lit(1).alias("__o")))
-    return test.withColumn("__o", F.lit(1)).join(F.broadcast(top), "__o").drop("__o")
+           .orderBy(F.desc("__c"), label).limit(1).first())
+    dtype = train.schema[label].dataType
+    return test.withColumn(out, F.lit(top[label] if top else None).cast(dtype))
 
 
 def term_index(vocab: DataFrame) -> DataFrame:

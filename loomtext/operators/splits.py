@@ -50,11 +50,10 @@ def group_split(df: DataFrame, group: str, train_pct: int = 70, seed: int = SEED
     """Whole groups go to one split; cuts on group counts."""
     groups = df.select(group).distinct().withColumn("__k", seeded_key(group, seed))
     ranked = position(groups, ["__k", group], "__pos")
-    total = groups.agg(F.count("*").alias("__n"))
+    # the group count is one scalar: fetched once, used as a literal
+    n = groups.count()
     n_train, n_val = _cuts("__n", train_pct)
-    # the one-row total is attached by a broadcast equi-join on a constant key
-    assigned = (ranked.withColumn("__one", F.lit(1))
-                .join(F.broadcast(total.withColumn("__one", F.lit(1))), ["__one"])
+    assigned = (ranked.withColumn("__n", F.lit(n).cast("long"))
                 .select(group, _assign("__pos", n_train, n_val).alias(out)))
     return df.join(assigned, [group])
 

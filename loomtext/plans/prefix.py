@@ -27,22 +27,25 @@ SAMPLE_PER_SLICE = 40
 
 def _slice_expr(df: DataFrame, keys: Sequence[str], n: int) -> Column:
     key = F.struct(*[F.col(k) for k in keys])
+    # a degenerate slice must not be a literal: Catalyst would fold the
+    # slice join into a nested-loop join
+    zero = (F.xxhash64(*[F.col(k) for k in keys]) * 0).cast("int")
     total = df.count()
     if total == 0 or n <= 1:
-        return F.lit(0)
+        return zero
     frac = min(1.0, SAMPLE_PER_SLICE * n / total)
     # bounded: about SAMPLE_PER_SLICE * n keys reach the driver
     sample = (df.select(key.alias("k")).sample(False, frac, seed=17)
               .orderBy("k").limit(SAMPLE_PER_SLICE * n * 2).collect())
     ks = [r.k for r in sample]
     if not ks:
-        return F.lit(0)
+        return zero
     bounds = []
     for i in range(1, n):
         b = ks[min(len(ks) - 1, (len(ks) * i) // n)]
         if not bounds or b != bounds[-1]:
             bounds.append(b)
-    expr = F.lit(0)
+    expr = zero
     for b in bounds:
         lit = F.struct(*[F.lit(v).cast(df.schema[k].dataType).alias(k) for k, v in zip(keys, b)])
         expr = expr + (key > lit).cast("int")
