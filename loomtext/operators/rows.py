@@ -100,12 +100,14 @@ def assign_row_id(df: DataFrame, order: Sequence[str], out: str = "row_id") -> D
 
 def persona_blocks(df: DataFrame, file_col: str | None, line_cols: Sequence[str], fact_col: str,
                    start: Column) -> DataFrame:
-    """A start line opens a block; facts collected per block by line.
-
-    Block numbers are running sums of the start flag within a file (or the
-    whole input when ``file_col`` is None), computed with the distributed
-    prefix sum so a huge file is not one task. Blocks are personas: a few
-    facts each, so collecting one block's facts is bounded.
+    """A start line opens a block; every later line is a fact of it.
+
+    Output is long: one row per fact, ``(file?, block_no, line..., fact)``;
+    a block's facts are its rows in line order. Block numbers are running
+    sums of the start flag within a file (or the whole input when
+    ``file_col`` is None), computed with the distributed prefix sum, so
+    neither a huge file nor a huge block is ever gathered into one task or
+    one array.
     """
     line_cols = list(line_cols)
     part = [file_col] if file_col else []
@@ -113,20 +115,53 @@ def persona_blocks(df: DataFrame, file_col: str | None, line_cols: Sequence[str]
     # each line belongs to the last start at or before it; lines before the
     # first start (block 0) have no persona and are dropped
     numbered = prefix_sum(flagged, line_cols, "__start", "block_no", partition=part)
-    facts = numbered.filter(F.col("block_no") > 0)
-    return (facts.groupBy(*part, "block_no")
-            .agg(F.array_sort(F.collect_list(F.struct(*line_cols, fact_col))).alias("__f"))
-            .select(*part, "block_no", F.transform("__f", lambda s: s[fact_col]).alias("facts")))
+    return (numbered.filter(F.col("block_no") > 0)
+            .select(*part, "block_no", *line_cols, F.col(fact_col).alias("fact")))
 
 
 def persona_structured(df: DataFrame, facts_col: str = "facts", id_col: str = "id") -> DataFrame:
-    """C11: trim facts, drop empty ones and empty personas, first per signature."""
+    """C11 for records that carry their facts as an array field: trim facts,
+    drop empty ones and empty personas, first per signature."""
     cleaned = (df.withColumn(facts_col, F.filter(F.transform(facts_col, strip_ws), lambda f: f != ""))
                .filter(F.size(facts_col) > 0)
                .withColumn("signature", fact_signature(facts_col)))
     return dedup_keep_first(cleaned, ["signature"], [id_col])
 
 
+def _md5_chunk(c: Column, i: int) -> Column:
+    # 32 bits of the md5 hex digest as a non-negative long
+    return F.conv(F.substring(F.md5(c), 8 * i + 1, 8), 16, 10).cast("long")
+
+
+def persona_signature_long(facts: DataFrame, id_col: str, fact_col: str = "fact") -> DataFrame:
+    """``(id, signature)`` for personas stored one fact per row.
+
+    The signature identifies the multiset of lower-cased facts without
+    gathering it: fact count plus four sums of 32-bit md5 slices (an
+    order-independent 128-bit multiset hash), all map-side combined sums.
+    """
+    lf = F.lower(F.col(fact_col))
+    parts = [F.count("*").alias("__n")] + [F.sum(_md5_chunk(lf, i)).alias(f"__h{i}") for i in range(4)]
+    sig = F.concat_ws(":", *[F.col(c).cast("string") for c in ["__n", "__h0", "__h1", "__h2", "__h3"]])
+    return facts.groupBy(id_col).agg(*parts).select(id_col, sig.alias("signature"))
+
+
+def persona_structured_long(df: DataFrame, id_col: str, order_cols: Sequence[str],
+                            fact_col: str) -> DataFrame:
+    """C11 for personas stored one fact per row: trim facts, drop empty ones
+    (a persona without facts disappears with them), keep the first persona
+    (lowest id) per signature. Returns ``(id, order..., fact, signature)``.
+
+    Everything is sums, a min per signature and an equi-join on id; a
+    signature shared by a third of all personas is combined map-side.
+    """
+    facts = (df.select(F.col(id_col).alias("id"), *order_cols, strip_ws(fact_col).alias("fact"))
+             .filter(F.col("fact") != ""))
+    sigs = persona_signature_long(facts, "id")
+    keep = sigs.groupBy("signature").agg(F.min("id").alias("id"))
+    return facts.join(keep, "id").select("id", *order_cols, "fact", "signature")
+
+
 def detect_layout(df: DataFrame, candidates: Sequence[str] = (
         "persona_b", "persona", "personality", "personas", "your_persona")) -> tuple[str, str]:
     """('structured', field) when an array field exists, else ('text', 'text')."""

@@ -123,27 +123,26 @@ def q_diverse(spark, d):
 @query("persona_blocks", """
 WITH b AS (SELECT *, sum(CASE WHEN turn = 0 THEN 1 ELSE 0 END) OVER (ORDER BY conv_id, turn
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block_no FROM conversations)
-SELECT block_no, list(text ORDER BY conv_id, turn) AS facts FROM b WHERE block_no > 0 GROUP BY block_no""")
+SELECT block_no, conv_id, turn, text AS fact FROM b WHERE block_no > 0""")
 def q_blocks(spark, d):
     c = Tables(spark, d).conversations
     return R.persona_blocks(c, None, ["conv_id", "turn"], "text", F.col("turn") == 0)
 
 
 _STRIP = "^[" + Q.SP + "]+|[" + Q.SP + "]+$"
+_CHUNKS = ", ".join(f"CAST(sum(('0x' || substr(md5(lower(fact)), {8 * i + 1}, 8))::BIGINT) AS VARCHAR)"
+                    for i in range(4))
 
 
 @query("persona_structured", f"""
-WITH p AS (SELECT conv_id AS id, list(text ORDER BY turn) AS facts FROM conversations GROUP BY conv_id),
-t AS (SELECT id, list_filter(list_transform(facts, lambda f: {Q.rx('f', _STRIP, '')}), lambda f: f <> '') AS facts FROM p),
-s AS (SELECT id, facts, list_sort(list_transform(facts, lambda f: lower(f))) AS signature FROM t WHERE len(facts) > 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY signature ORDER BY id) AS rn FROM s)
-SELECT id, facts, signature FROM r WHERE rn = 1""")
+WITH g AS (SELECT conv_id AS id, turn, {Q.rx('text', _STRIP, '')} AS fact FROM conversations),
+f AS (SELECT * FROM g WHERE fact <> ''),
+s AS (SELECT id, concat_ws(':', CAST(count(*) AS VARCHAR), {_CHUNKS}) AS signature FROM f GROUP BY id),
+k AS (SELECT signature, min(id) AS id FROM s GROUP BY signature)
+SELECT f.id, f.turn, f.fact, k.signature FROM f JOIN k ON f.id = k.id""")
 def q_personas(spark, d):
     c = Tables(spark, d).conversations
-    p = (c.groupBy(F.col("conv_id").alias("id"))
-         .agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("__f"))
-         .select("id", F.transform("__f", lambda s: s["text"]).alias("facts")))
-    return R.persona_structured(p, "facts", "id").select("id", "facts", "signature")
+    return R.persona_structured_long(c, "conv_id", ["turn"], "text")
 
 
 # ---------------------------------------------------------------------------

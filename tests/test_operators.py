@@ -27,6 +27,36 @@ def test_dedup_drop_empty_key(spark):
     assert [r.id for r in R.dedup_keep_first(df, ["k"], ["id"], drop_empty_key=True).collect()] == [2]
 
 
+def test_persona_structured_long_matches_brute_force(spark):
+    # personas 1 and 3 hold the same facts (order, case, padding differ);
+    # persona 4 has only blank facts and disappears; 5 repeats a fact
+    rows = [(1, 0, " I like cats "), (1, 1, "I run"), (2, 0, "i like cats"),
+            (3, 0, "i run"), (3, 1, "I LIKE CATS"), (4, 0, "   "), (5, 0, "i run"), (5, 1, "i run")]
+    df = spark.createDataFrame(rows, "pid long, turn int, text string")
+    out = R.persona_structured_long(df, "pid", ["turn"], "text").collect()
+    facts = {}
+    for r in out:
+        facts.setdefault(r.id, []).append((r.turn, r.fact))
+    assert {k: [f for _, f in sorted(v)] for k, v in facts.items()} == {
+        1: ["I like cats", "I run"], 2: ["i like cats"], 5: ["i run", "i run"]}
+    # brute force: first id per sorted lower-cased fact list
+    by_id = {}
+    for pid, _, t in sorted(rows):
+        if t.strip():
+            by_id.setdefault(pid, []).append(t.strip().lower())
+    first = {}
+    for pid in sorted(by_id):
+        first.setdefault(tuple(sorted(by_id[pid])), pid)
+    assert set(facts) == set(first.values())
+
+
+def test_persona_blocks_long(spark):
+    df = spark.createDataFrame([(0, "pre"), (1, "your persona: a"), (2, "x"), (3, "your persona: b"), (4, "y")],
+                               "line int, text string")
+    out = R.persona_blocks(df, None, ["line"], "text", F.col("text").startswith("your persona")).collect()
+    assert sorted((r.block_no, r.line) for r in out) == [(1, 1), (1, 2), (2, 3), (2, 4)]
+
+
 def test_prefix_sum_hot_group_matches_window(spark):
     rows = [(0 if i % 3 else 1, i, i % 7) for i in range(3000)]  # group 0 holds 2/3
     df = spark.createDataFrame(rows, "g int, o long, v long")
