@@ -7,7 +7,9 @@ Nothing here overrides a value the cluster already set.
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,6 +76,28 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that Python workers
+    can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_loomtext_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(os.path.join(root, __package__)):
+        folder = tempfile.mkdtemp(prefix="loomtext-zip-")  # the driver's own; Spark hands out the file
+        path = os.path.join(folder, "loomtext.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for base, _, names in os.walk(os.path.join(root, __package__)):
+                for n in sorted(names):
+                    if n.endswith(".py"):
+                        full = os.path.join(base, n)
+                        z.write(full, os.path.relpath(full, root))
+        sc.addPyFile(path)
+        if path in sys.path:  # the driver goes on importing from where it was started
+            sys.path.remove(path)
+    sc._loomtext_shipped = True
+
+
 def default_parallelism(spark: SparkSession) -> int:
     try:
         return int(spark.sparkContext.defaultParallelism)
