@@ -51,3 +51,25 @@ def vocabulary_file(path: str) -> str:
         return path
     import public_tokenizers
     return public_tokenizers.path(os.path.basename(path))
+
+
+def byte_symbols() -> dict[str, int]:
+    """The printable symbol of each byte in byte-level vocabularies, to the byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def gathered(batches, chars: int):
+    """Lists of the first two columns (ids, texts) of Arrow batches, put together up to about ``chars``."""
+    ids, texts, n = [], [], 0
+    for batch in batches:
+        part = batch.column(1).to_pylist()
+        ids += batch.column(0).to_pylist()
+        texts += part
+        n += sum(map(len, part))
+        if n >= chars:
+            yield ids, texts
+            ids, texts, n = [], [], 0
+    if ids:
+        yield ids, texts

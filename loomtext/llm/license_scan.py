@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import prepare, text_key, whole_text
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what words are parted by
 GAP = 4
 COVERAGE = 0.6
 
@@ -81,7 +81,8 @@ def _templates(spark: SparkSession) -> DataFrame:
 
 def _words(text):
     # lower() is A-Z's lower case for what templates can hold, once the Kelvin sign is out of the way
-    return F.regexp_extract_all(F.lower(F.replace(text, F.lit("\u212a"), F.lit("\u212b"))), F.lit(WORD), 0)
+    low = F.lower(F.replace(text, F.lit("\u212a"), F.lit("\u212b")))
+    return F.array_remove(F.split(low, BETWEEN, -1), "")
 
 
 def scan(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ empty table gives an empty result; other columns are ignored.
 """
 from __future__ import annotations
 
-import json
+import os
 import re
 import zlib
 
@@ -29,57 +29,67 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prepare, scratch_table, vocabulary_file, whole_text
+from .common import byte_symbols, gathered, prepare, scratch_table, vocabulary_file, whole_text
 
 CAPACITY = 2048
 END_ID = 0
 KEPT_UNITS = 600_000  # of a worker's table; it starts anew beyond
 SLICES_PER_PARTITION = 2
+GATHERED_CHARS = 1_000_000  # of texts whose new words are looked up together
 _ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split but not to the tokenizer
+# Latin letters whose lower case has no rules of its own, then marks that can't begin a contraction.
+_LETTERS_AND_MARKS = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
 class UnitEncoder:
-    """Ids of texts through the tokenizers library, one call per new word.
+    """Ids of texts through the tokenizers library, called once per new word.
 
     White space separates the tokenizer's words, so the ids of a text are the ids of its
-    white-space-separated units side by side."""
+    white-space-separated units side by side. A unit of Latin letters with marks behind it is
+    two words of the pre-tokenizer, which go to the library's model as they are; any other new
+    unit goes through the whole library."""
 
     def __init__(self, path: str):
-        import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        file = vocabulary_file(path)
-        self.tokenizer = Tokenizer.from_file(file)
-        with open(file, encoding="utf-8") as f:
-            specials = {t["content"]: t["id"] for t in json.load(f).get("added_tokens", [])}
-        self.separator, self.separator_id = max(specials.items(), key=lambda x: x[1])
-        self.specials = list(specials)
+        self.tokenizer = Tokenizer.from_file(vocabulary_file(path))
+        self.model = self.tokenizer.model
+        self.symbols = {b: ord(c) for c, b in byte_symbols().items()}
         self.units: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def learn(self, units: list[str]) -> None:
-        for u in [u for u in units if any(s in u for s in self.specials)]:
-            self.units[u] = self.plain(u)
-        units = [u for u in units if u not in self.units]
-        for i in range(0, len(units), 4000):
-            part = units[i:i + 4000]
-            ids = np.array(self.tokenizer.encode(self.separator.join(part), add_special_tokens=False).ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.separator_id).tolist()
-            data = ids.tobytes()
-            for u, s, e in zip(part, [0, *[c + 1 for c in cuts]], [*cuts, len(ids)], strict=True):
-                self.units[u] = data[4 * s:4 * e]
+    def part(self, word: str) -> bytes:
+        """Ids of one lower-case word of the pre-tokenizer."""
+        known = self.parts.get(word)
+        if known is None:
+            shown = word.encode().decode("latin-1").translate(self.symbols)
+            known = self.parts[word] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+        return known
+
+    def learn(self, units: set[str]) -> None:
+        rest = []
+        for u in units:
+            m = _LETTERS_AND_MARKS.fullmatch(u)
+            if m:
+                self.units[u] = self.part(m[1].lower()) + (self.part(m[2]) if m[2] else b"")
+            else:
+                rest.append(u)
+        for u, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+            self.units[u] = np.array(e.ids, dtype="<u4").tobytes()
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
         known = self.units
-        new = {u for s in split if s for u in s if u not in known}
+        new = set().union(*filter(None, split)).difference(known)
         if len(known) + len(new) > KEPT_UNITS:
             known.clear()
-            new = {u for s in split if s for u in s}
-        self.learn(sorted(new))
+            self.parts.clear()
+            new = set().union(*filter(None, split))
+        self.learn(new)
         return [self.plain(t) if s is None else b"".join(map(known.__getitem__, s)) for t, s in zip(texts, split)]
 
 
@@ -107,9 +117,9 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id
 
     def run(batches):
         e = encoder(tokenizer)
-        for batch in batches:
+        for doc_ids, texts in gathered(batches, GATHERED_CHARS):
             cols: list[list] = [[] for _ in fields]
-            for doc_id, data in zip(batch.column(0).to_pylist(), e.encode_all(batch.column(1).to_pylist())):
+            for doc_id, data in zip(doc_ids, e.encode_all(texts)):
                 data += end
                 for k, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at:at + 4 * capacity]
