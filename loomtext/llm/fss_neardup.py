@@ -13,11 +13,14 @@
    representatives that agree in a band are candidates. With 32 bands of 5 rows
    a pair at similarity 0.8 is missed with probability 3e-6.
 3. Candidates are confirmed on their full sets. In every bucket all members are
-   first compared with two of them (the smallest and the largest id). What is
-   then connected need not be compared again; in buckets that still hold several
-   components, every member outside the largest one is compared with all members
-   of other components. So every candidate pair is either confirmed, refuted or
-   known to be connected, without listing the pairs of a group of copies.
+   first compared with its hub, the member with most bucket mates overall (of
+   copies that were edited independently, their original). What is then connected
+   need not be compared again. In buckets that still hold several components,
+   every member outside the largest one is compared with all members of other
+   components, unless an exact bound refutes the pair: elements that no other set
+   of these buckets has can't be shared, so the overlap is at most what is left of
+   the smaller count. So every candidate pair is confirmed, refuted or known to be
+   connected, without listing the pairs of a group of copies.
 4. Components come from repeated minimum labels with pointer jumping, each round
    written to the shared folder.
 
@@ -159,6 +162,25 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
+def matchable(sets: DataFrame) -> DataFrame:
+    """id, size, most: how many of its elements a set shares with any other of these sets.
+
+    No pair of them overlaps in more than the smaller of the two numbers."""
+    arrow = pa.schema([("id", pa.int64()), ("element", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            for at, elements in zip(batch.column("id").to_pylist(), batch.column("elements")):
+                e = np.frombuffer(elements.as_buffer(), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(e), at)), pa.array(e)], schema=arrow)
+
+    own = (sets.select("id", "elements").mapInArrow(run, "id long, element long")
+           .groupBy("element").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).where("c = 1")
+           .groupBy("id").agg(F.count(F.lit(1)).alias("own")))
+    return (sets.select("id", "size").join(own, "id", "left")
+            .select("id", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("most")).distinct())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of an edge."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -192,17 +214,19 @@ def link(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, rows: int =
     member = scratch_table(known.join(classes, ["s1", "s2", "n"], "left")
                            .select("doc_id", F.coalesce("rep", "doc_id").alias("rep"), "bands"), "members")
     rep = member.where("doc_id = rep").select("rep", F.explode("bands").alias("key"))
-    # buckets of two representatives and more, and for each member the bucket's ends
-    ends = scratch_table(rep.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
-                         .where("low < high"), "ends")
-    shared = scratch_table(rep.join(ends, "key"), "buckets")
+    # buckets of two representatives and more; in each, the member with most bucket mates overall is the hub
+    sizes = scratch_table(rep.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "sizes")
+    shared = scratch_table(rep.join(sizes, "key"), "buckets")
+    mates = shared.groupBy("rep").agg(F.sum("c").alias("mates"))
+    hub = scratch_table(shared.join(mates, "rep").groupBy("key")
+                        .agg(F.max(F.struct("mates", F.negative("rep").alias("rep"))).alias("m"))
+                        .select("key", F.negative("m.rep").alias("hub")), "hubs")
     wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
     sets = scratch_table(full_sets(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
                                    .join(wanted, "doc_id", "left_semi"), k), "sets")
-    hubs = (shared.where("rep > low").select(F.col("rep").alias("u"), F.col("low").alias("v"))
-            .unionByName(shared.where("rep < high").select(F.col("rep").alias("u"), F.col("high").alias("v")))
-            .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    edges = scratch_table(confirmed(hubs, sets, percent), "confirmed")
+    spokes = scratch_table(shared.join(hub, "key").where("rep <> hub")
+                           .select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v")).distinct(), "spokes")
+    edges = scratch_table(confirmed(spokes, sets, percent), "confirmed")
     first = components(edges)
     # what is left: buckets that hold several components
     placed = (shared.select("key", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left")
@@ -210,15 +234,21 @@ def link(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, rows: int =
     open_keys = scratch_table(placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"))
                               .where("a < b").select("key"), "open")
     placed = scratch_table(placed.join(open_keys, "key", "left_semi"), "placed")
+    most = matchable(sets.join(placed.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"))
+    placed = scratch_table(placed.join(most.withColumnRenamed("id", "rep"), "rep"), "placed")
     largest = scratch_table(placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
                             .groupBy("key").agg(F.max(F.struct("c", F.negative("component").alias("component"))).alias("m"))
                             .select("key", F.negative("m.component").alias("largest")), "largest")
     outside = scratch_table(placed.join(largest, "key").where("component <> largest")
-                            .select("key", F.col("rep").alias("x"), F.col("component").alias("cx"), "largest"), "outside")
+                            .select("key", F.col("rep").alias("x"), F.col("component").alias("cx"), "largest",
+                                    F.col("size").alias("nx"), F.col("most").alias("mx")), "outside")
+    overlap = F.least("mx", "most")
     rest = (outside.join(placed, "key")
-            .where((F.col("cx") != F.col("component")) & ((F.col("component") == F.col("largest")) | (F.col("x") < F.col("rep"))))
-            .select(F.least("x", "rep").alias("u"), F.greatest("x", "rep").alias("v")).distinct()
-            .join(hubs, ["u", "v"], "left_anti"))
+            .where((F.col("cx") != F.col("component"))
+                   & ((F.col("component") == F.col("largest")) | (F.col("x") < F.col("rep")))
+                   & (100 * overlap >= percent * (F.col("nx") + F.col("size") - overlap)))
+            .select(F.least("x", "rep").alias("u"), F.greatest("x", "rep").alias("v")).distinct())
+    rest = scratch_table(rest.join(spokes, ["u", "v"], "left_anti"), "rest")
     more = scratch_table(confirmed(rest, sets, percent), "confirmed")
     final = components(edges.unionByName(more))
     of = (member.select("doc_id", "rep").distinct().join(final.withColumnRenamed("node", "rep"), "rep", "left")
