@@ -17,9 +17,9 @@
    copies that were edited independently, their original). What is then connected
    need not be compared again. In buckets that still hold several components,
    every member outside the largest one is compared with all members of other
-   components, unless an exact bound refutes the pair: elements that no other set
-   of these buckets has can't be shared, so the overlap is at most what is left of
-   the smaller count. So every candidate pair is confirmed, refuted or known to be
+   components, unless an exact bound refutes the pair: the parities of how many
+   elements fall on each of 2048 bits differ in at most as many bits as there are
+   elements that only one of the two sets has. So every candidate pair is confirmed, refuted or known to be
    connected, without listing the pairs of a group of copies.
 4. Components come from repeated minimum labels with pointer jumping, each round
    written to the shared folder.
@@ -31,6 +31,8 @@ their texts; other columns are ignored.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -42,6 +44,7 @@ from .common import prepare, scratch_table
 SHINGLE = 5
 PERCENT = 80
 ROWS, BANDS = 5, 32
+WORDS = 32  # of parity bits
 SEED = np.uint64(0x5851F42D4C957F2D)
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -123,18 +126,32 @@ def sketches(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
+def parities(elements: np.ndarray) -> np.ndarray:
+    """64 * WORDS bits: is the number of elements that fall on the bit odd?"""
+    on = np.bincount((mix(elements + SEED) >> np.uint64(32)).astype(np.int64) % (64 * WORDS), minlength=64 * WORDS)
+    return np.packbits((on & 1).astype(np.uint8)).view(np.int64)
+
+
+def least_difference(mine: str, other: str):
+    """A lower bound of how many elements only one of two sets has: each changes one parity."""
+    return reduce(lambda a, b: a + b, [F.bit_count(F.col(f"{mine}{i}").bitwiseXOR(F.col(f"{other}{i}")))
+                                       for i in range(WORDS)])
+
+
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
-    """id, size, elements (sorted 64-bit hashes as bytes)."""
-    arrow = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("elements", pa.binary())])
+    """id, size, elements (sorted 64-bit hashes as bytes), parity (their parities)."""
+    arrow = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("elements", pa.binary()),
+                       ("parity", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
             sets = [shingle_set(t.as_py(), k) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], schema=arrow)
+                 pa.array([s.tobytes() for s in sets], pa.binary()),
+                 pa.array([parities(s) for s in sets], pa.list_(pa.int64()))], schema=arrow)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, size long, elements binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "id long, size long, elements binary, parity array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -162,25 +179,6 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
-def matchable(sets: DataFrame) -> DataFrame:
-    """id, size, most: how many of its elements a set shares with any other of these sets.
-
-    No pair of them overlaps in more than the smaller of the two numbers."""
-    arrow = pa.schema([("id", pa.int64()), ("element", pa.int64())])
-
-    def run(batches):
-        for batch in batches:
-            for at, elements in zip(batch.column("id").to_pylist(), batch.column("elements")):
-                e = np.frombuffer(elements.as_buffer(), dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(e), at)), pa.array(e)], schema=arrow)
-
-    own = (sets.select("id", "elements").mapInArrow(run, "id long, element long")
-           .groupBy("element").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).where("c = 1")
-           .groupBy("id").agg(F.count(F.lit(1)).alias("own")))
-    return (sets.select("id", "size").join(own, "id", "left")
-            .select("id", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("most")).distinct())
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of an edge."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -234,19 +232,22 @@ def link(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, rows: int =
     open_keys = scratch_table(placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"))
                               .where("a < b").select("key"), "open")
     placed = scratch_table(placed.join(open_keys, "key", "left_semi"), "placed")
-    most = matchable(sets.join(placed.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"))
-    placed = scratch_table(placed.join(most.withColumnRenamed("id", "rep"), "rep"), "placed")
+    bits = [F.get("parity", i).alias(f"p{i}") for i in range(WORDS)]
+    placed = scratch_table(placed.join(sets.select(F.col("id").alias("rep"), "size", *bits), "rep"), "placed")
     largest = scratch_table(placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
                             .groupBy("key").agg(F.max(F.struct("c", F.negative("component").alias("component"))).alias("m"))
                             .select("key", F.negative("m.component").alias("largest")), "largest")
     outside = scratch_table(placed.join(largest, "key").where("component <> largest")
                             .select("key", F.col("rep").alias("x"), F.col("component").alias("cx"), "largest",
-                                    F.col("size").alias("nx"), F.col("most").alias("mx")), "outside")
-    overlap = F.least("mx", "most")
+                                    F.col("size").alias("nx"),
+                                    *[F.col(f"p{i}").alias(f"q{i}") for i in range(WORDS)]), "outside")
+    both = F.col("nx") + F.col("size")
     rest = (outside.join(placed, "key")
             .where((F.col("cx") != F.col("component"))
                    & ((F.col("component") == F.col("largest")) | (F.col("x") < F.col("rep")))
-                   & (100 * overlap >= percent * (F.col("nx") + F.col("size") - overlap)))
+                   & (100 * F.least("nx", "size") >= percent * F.greatest("nx", "size"))
+                   # similarity is at least p % where (100 + p) * difference <= (100 - p) * both sizes
+                   & ((100 + percent) * least_difference("p", "q") <= (100 - percent) * both))
             .select(F.least("x", "rep").alias("u"), F.greatest("x", "rep").alias("v")).distinct())
     rest = scratch_table(rest.join(spokes, ["u", "v"], "left_anti"), "rest")
     more = scratch_table(confirmed(rest, sets, percent), "confirmed")
