@@ -143,15 +143,19 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     quarter = F.floor(F.char_length("text") / 4).cast("int")
+    named = rows.where("doc_id IS NOT NULL")
     after = scratch_table(next_ids(rows.select("doc_id")), "next")
-    need = (rows.groupBy("doc_id").agg(F.max(quarter).alias("need"))
+    need = (named.groupBy("doc_id").agg(F.max(quarter).alias("need"))
             .join(after, "doc_id").select("doc_id", "next_id", "need"))
-    starts = (rows.join(need.select(F.col("doc_id").alias("before"), F.col("next_id").alias("doc_id"), "need"), "doc_id")
+    starts = (named.join(scratch_table(need, "need").select(F.col("doc_id").alias("before"), F.col("next_id").alias("doc_id"), "need"), "doc_id")
               .select(F.col("before").alias("doc_id"), F.substring("text", F.lit(1), F.col("need")).alias("start"))
               .groupBy("doc_id").agg(F.min("start").alias("start")))
     edited = F.concat(F.substring("text", F.lit(1), F.char_length("text") - quarter),
                       F.substring(F.coalesce("start", F.lit("")), F.lit(1), quarter))
-    both = rows.join(starts, "doc_id", "left").select("doc_id", "text", edited.alias("edited"))
+    # rows with and without an id part ways, so that both joins read one shuffle of the texts
+    both = (named.join(starts, "doc_id", "left")
+            .unionByName(rows.where("doc_id IS NULL").withColumn("start", F.lit("")))
+            .select("doc_id", "text", edited.alias("edited")))
     both = with_vector(with_vector(both, "text", "f"), "edited", "g")
     done = scratch_table(both.select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
