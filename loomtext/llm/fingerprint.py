@@ -31,6 +31,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import prepare, scratch_table, whole_text
 
@@ -141,19 +142,22 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     the next document. Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (hex),
     near_edited, near_next, n_paragraphs."""
     prepare(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    # no cast where none is needed: its alias would keep Spark from seeing that both joins shuffle the same rows
+    long_id = F.col("doc_id") if docs.schema["doc_id"].dataType == T.LongType() else F.col("doc_id").cast("long").alias("doc_id")
+    rows = docs.select(long_id, whole_text().alias("text"))
     quarter = F.floor(F.char_length("text") / 4).cast("int")
     named = rows.where("doc_id IS NOT NULL")
     after = scratch_table(next_ids(rows.select("doc_id")), "next")
     need = (named.groupBy("doc_id").agg(F.max(quarter).alias("need"))
             .join(after, "doc_id").select("doc_id", "next_id", "need"))
-    starts = (named.join(scratch_table(need, "need").select(F.col("doc_id").alias("before"), F.col("next_id").alias("doc_id"), "need"), "doc_id")
-              .select(F.col("before").alias("doc_id"), F.substring("text", F.lit(1), F.col("need")).alias("start"))
+    # both uses of the texts begin with this join, so that they read one shuffle of them
+    dealt = named.join(scratch_table(need.select(F.col("doc_id").alias("before"), F.col("next_id").alias("doc_id"),
+                                                 "need"), "need"), "doc_id")
+    starts = (dealt.select(F.col("before").alias("doc_id"), F.substring("text", F.lit(1), F.col("need")).alias("start"))
               .groupBy("doc_id").agg(F.min("start").alias("start")))
     edited = F.concat(F.substring("text", F.lit(1), F.char_length("text") - quarter),
                       F.substring(F.coalesce("start", F.lit("")), F.lit(1), quarter))
-    # rows with and without an id part ways, so that both joins read one shuffle of the texts
-    both = (named.join(starts, "doc_id", "left")
+    both = (dealt.select("doc_id", "text").join(starts, "doc_id", "left")
             .unionByName(rows.where("doc_id IS NULL").withColumn("start", F.lit("")))
             .select("doc_id", "text", edited.alias("edited")))
     both = with_vector(with_vector(both, "text", "f"), "edited", "g")
