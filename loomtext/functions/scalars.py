@@ -102,8 +102,8 @@ def parse_custom_id(c: ColumnOrName) -> list[Column]:
 
 
 def parse_bio(c: ColumnOrName) -> Column:
-    """Remove 'Bio: ', keep the first line, strip."""
-    return strip_ws(F.split(F.replace(col(c), F.lit("Bio: "), F.lit("")), "\n", 2).getItem(0))
+    """Remove a leading 'Bio: ', keep the first line, strip."""
+    return strip_ws(F.split(F.regexp_replace(col(c), "^Bio: ", ""), "\n", 2).getItem(0))
 
 
 def fact_signature(facts: ColumnOrName) -> Column:

@@ -38,15 +38,23 @@ def random_baseline(queries: DataFrame, cands: DataFrame, id_col: str, k: int,
                     seed: int = SEED) -> DataFrame:
     """K random others per query without pairing every query with every
     candidate: candidates get positions in a seeded permutation, and a query
-    takes the k positions after its own (cyclic). Queries must be members
-    of the candidate table. Emits Q * k rows through an equi-join."""
+    draws k distinct distances from its own position (cyclic), from a hashed
+    start and by a hashed step of its own. Queries must be members of the
+    candidate table. Emits Q * k rows through an equi-join."""
     perm = position(cands.select(id_col).withColumn("__k", seeded_key(id_col, seed)),
                     ["__k", id_col], "__pos", start=0).drop("__k")
     n = cands.count()
     qpos = queries.select(F.col(id_col).alias("qid")).join(
         perm.select(F.col(id_col).alias("qid"), F.col("__pos").alias("__qpos")), "qid")
-    want = qpos.select("qid", F.explode(F.sequence(F.lit(1), F.lit(min(k, n - 1)))).alias("rank"),
-                       "__qpos").withColumn("__pos", F.pmod(F.col("__qpos") + F.col("rank"), F.lit(n)))
+    k, others = min(k, n - 1), n - 1
+    if k < 1:
+        return perm.select(F.col(id_col).alias("qid"), F.col(id_col).alias("cid"), F.lit(1).alias("rank")).limit(0)
+    digest = F.md5(F.concat(F.lit("draw:"), F.col("qid").cast("string")))
+    start = F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") % others
+    step = F.conv(F.substring(digest, 8, 7), 16, 10).cast("long") % (others // k) + 1
+    away = (start + (F.col("rank") - 1) * step) % others + 1
+    want = (qpos.select("qid", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("rank"), "__qpos")
+            .withColumn("__pos", (F.col("__qpos") + away) % n))
     return (want.join(perm.select(F.col(id_col).alias("cid"), "__pos"), "__pos")
             .select("qid", "cid", "rank"))
 

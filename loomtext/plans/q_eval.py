@@ -205,20 +205,21 @@ def q_judge(spark, d):
 
 @query("adherence_rate", f"""WITH {JUDGE_SQL}
 SELECT round(100.0 * avg(CASE WHEN json_extract_string(reply, '$.adherence.hallucination') = 'false' THEN 1.0 ELSE 0.0 END), 6)
-  AS adherence_pct FROM j""")
+  AS adherence_pct FROM j WHERE json_extract(reply, '$.adherence') IS NOT NULL""")
 def q_adherence(spark, d):
     j = judged(Tables(spark, d))
     ok = F.get_json_object("reply", "$.adherence.hallucination") == "false"
-    return j.agg(F.round(100.0 * F.avg(F.when(ok, 1.0).otherwise(0.0)), 6).alias("adherence_pct"))
+    # replies without an adherence object are not judged; a missing flag inside one fails
+    return j.where(F.get_json_object("reply", "$.adherence").isNotNull()).agg(F.round(100.0 * F.avg(F.when(ok, 1.0).otherwise(0.0)), 6).alias("adherence_pct"))
 
 
 @query("weakest_examples", f"""WITH {JUDGE_SQL}
-SELECT event_id, CAST(coalesce(CAST(json_extract_string(reply, '$.scores.specificity') AS INTEGER), 5) AS INTEGER) AS score
-FROM j ORDER BY score, event_id LIMIT 3""")
+SELECT event_id, CAST(coalesce(CAST(json_extract_string(reply, '$.scores.overall') AS INTEGER), 5) AS INTEGER) AS score
+FROM j WHERE json_extract(reply, '$.scores') IS NOT NULL ORDER BY score, event_id LIMIT 3""")
 def q_weakest(spark, d):
     j = judged(Tables(spark, d))
-    s = F.coalesce(F.get_json_object("reply", "$.scores.specificity").cast("int"), F.lit(5))
-    return j.select("event_id", s.alias("score")).orderBy("score", "event_id").limit(3)
+    s = F.coalesce(F.get_json_object("reply", "$.scores.overall").cast("int"), F.lit(5))
+    return j.where(F.get_json_object("reply", "$.scores").isNotNull()).select("event_id", s.alias("score")).orderBy("score", "event_id").limit(3)
 
 
 # ---------------------------------------------------------------------------

@@ -80,7 +80,7 @@ bank AS (SELECT row_number() OVER (ORDER BY persona_id, reply) - 1 AS id, person
          FROM s WHERE split = 'train')
 SELECT 'bank' AS kind, id, persona_id, text FROM bank
 UNION ALL SELECT 'test', NULL, persona_id,
-  {Q.rx("split_part(replace('Bio: ' || bio || chr(10) || 'Write an icebreaker.', 'Bio: ', ''), chr(10), 1)", _STRIP, '')} || ' | ' || reply
+  {Q.rx("split_part(regexp_replace('Bio: ' || bio || chr(10) || 'Write an icebreaker.', '^Bio: ', ''), chr(10), 1)", _STRIP, '')} || ' | ' || reply
 FROM s WHERE split <> 'train'""")
 def q_bank(spark, d):
     bank, test = RT.build_bank_testset(chat_records(Tables(spark, d)))

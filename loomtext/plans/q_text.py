@@ -230,11 +230,11 @@ def q_scam_features(spark, d):
 
 
 @query("parse_bio", f"""
-SELECT conv_id, turn, {Q.rx("split_part(replace('Bio: ' || text, 'Bio: ', ''), chr(10), 1)", _STRIP, '')} AS bio
+SELECT conv_id, turn, {Q.rx("split_part(regexp_replace('Bio: I wrote Bio: ' || text, '^Bio: ', ''), chr(10), 1)", _STRIP, '')} AS bio
 FROM conversations""")
 def q_parse_bio(spark, d):
     c = Tables(spark, d).conversations
-    return c.select("conv_id", "turn", S.parse_bio(F.concat(F.lit("Bio: "), "text")).alias("bio"))
+    return c.select("conv_id", "turn", S.parse_bio(F.concat(F.lit("Bio: I wrote Bio: "), "text")).alias("bio"))
 
 
 @query("fact_signature", f"""

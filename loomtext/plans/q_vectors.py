@@ -212,7 +212,9 @@ RANDOM_SQL = f"""perm AS (SELECT doc_id, row_number() OVER (ORDER BY {Q.md5key('
 rnd AS (SELECT q.doc_id AS qid, c.doc_id AS cid, j.rank
         FROM perm q JOIN ({QDOCS_SQL}) s ON q.doc_id = s.doc_id
         CROSS JOIN (SELECT unnest(range(1, {K + 1})) AS rank) j
-        JOIN perm c ON c.pos = (q.pos + j.rank) % (SELECT count(*) FROM documents))"""
+        CROSS JOIN (SELECT count(*) - 1 AS m FROM documents) t
+        JOIN perm c ON c.pos = (q.pos + (CAST('0x' || substr(md5('draw:' || q.doc_id), 1, 7) AS BIGINT) % m
+          + (j.rank - 1) * (CAST('0x' || substr(md5('draw:' || q.doc_id), 8, 7) AS BIGINT) % (m // least({K}, m)) + 1)) % m + 1) % (m + 1))"""
 
 
 def random_recs(t: Tables):
