@@ -131,3 +131,8 @@ RELEVANCE_THRESHOLD = 0.35
 K_VALUES = (1, 3, 5)
 TEMPERATURES = (0.5, 0.8, 1.0)
 EVAL_HOLDOUT = 75
+
+# Persona lines: ``N your persona: fact``; number 1 opens a block. Fixed values.
+PERSONA_FIELDS = ("persona_b", "persona", "personality", "personas", "your_persona")
+PERSONA_START_RE = "(?i)^1[" + SPACE + "]+your persona:"
+PERSONA_FACT_RE = "(?i)^" + DIGIT + "+[" + SPACE + "]+your persona:[" + SPACE + r"]+([^\n]+)"

@@ -2,57 +2,65 @@
 
 Profiles are trigram counts per language from labelled text (``groupBy``).
 A document's score for a language is
-``n * ln(1 / (T_l + V)) + sum_tri cnt(tri) * ln(c_l(tri) + 1)``: add-one
-smoothing where only trigrams present in the profile need a join; the
-first term covers the rest. Argmax per document, ties by language name.
-Texts of ``min_chars`` characters or fewer are ``und``.
+``n * ln(1 / (T_l + V)) + sum_tri ln(c_l(tri) + 1)`` over all trigrams of the
+whole text: add-one smoothing where only trigrams present in the profile need
+a join; the first term covers the rest. Argmax per document, ties by language
+name. Texts of ``min_chars`` characters or fewer are ``und``.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PREFIX_CHARS = 300
+# A profile row: up to 12 bytes of trigram, one weight per language, row overhead.
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 96
+SALTS = 32
 
 
-def trigrams(df: DataFrame, id_col: str, text: str, prefix: int = PREFIX_CHARS) -> DataFrame:
-    """``(id, tri, cnt)`` over the first ``prefix`` lower-cased characters."""
-    # lower-casing is per character, so lowering a prefix then cutting equals
-    # cutting the lowered text; every overlapping trigram in one regex pass
-    raw = F.coalesce(F.col(text), F.lit(""))
-    s = F.substring(F.lower(F.substring(raw, 1, prefix)), 1, prefix)
-    tris = F.regexp_extract_all(s, F.lit("(?s)(?=(.{3}))"), 1)
-    return (df.select(F.col(id_col).alias("id"), F.explode(tris).alias("tri"))
-            .groupBy("id", "tri").agg(F.count("*").alias("cnt")))
+def trigrams(text: str) -> Column:
+    """Every overlapping trigram of the whole lower-cased text, in one regex pass."""
+    s = F.lower(F.coalesce(F.col(text), F.lit("")))
+    return F.regexp_extract_all(s, F.lit("(?s)(?=(.{3}))"), 1)
 
 
-def fit_profiles(labelled: DataFrame, id_col: str, text: str, label: str) -> DataFrame:
-    """``(lang, tri, c)`` counts of trigrams per language."""
-    t = trigrams(labelled, id_col, text).join(
-        labelled.select(F.col(id_col).alias("id"), F.col(label).alias("lang")), "id")
-    # the fitted profile is read three times by ``detect_language``: keep it
-    return t.groupBy("lang", "tri").agg(F.sum("cnt").alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
+def fit_profiles(labelled: DataFrame, text: str, label: str) -> DataFrame:
+    """``(lang, tri, c)`` counts of trigrams per language; rows without a label don't count."""
+    t = labelled.filter(F.col(label).isNotNull()).select(F.col(label).alias("lang"),
+                                                         F.explode(trigrams(text)).alias("tri"))
+    # the fitted profile is read several times by ``detect_language``: keep it
+    return t.groupBy("lang", "tri").agg(F.count("*").alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def detect_language(df: DataFrame, id_col: str, text: str, profiles: DataFrame,
-                    langs: Sequence[str], min_chars: int = 30) -> DataFrame:
-    """``(id, lang_pred)``; ``langs`` is the (small) list of profile labels."""
-    totals = profiles.groupBy("lang").agg(F.sum("c").alias("T"))
-    n_vocab = profiles.select("tri").distinct().count()   # one scalar
-    tris = trigrams(df, id_col, text)
-    n_tri = tris.groupBy("id").agg(F.sum("cnt").alias("n"))
-    hits = (tris.join(profiles, "tri")
-            .groupBy("id", "lang").agg(F.sum(F.col("cnt") * F.log(F.col("c") + 1)).alias("hit")))
-    base = (n_tri.select("id", "n", F.explode(F.array(*[F.lit(x) for x in langs])).alias("lang"))
-            .join(F.broadcast(totals), "lang").withColumn("V", F.lit(n_vocab)))
-    scored = (base.join(hits, ["id", "lang"], "left")
-              .select("id", "lang", (F.col("n") * F.log(F.lit(1.0) / (F.col("T") + F.col("V")))
-                                     + F.coalesce("hit", F.lit(0.0))).alias("score")))
-    best = scored.groupBy("id").agg(F.min(F.struct((-F.round("score", 9)).alias("s"), "lang")).alias("b"))
-    out = df.select(F.col(id_col).alias("id"), F.length(text).alias("__len")).join(best, "id", "left")
-    return out.select(F.col("id").alias(id_col),
-                      F.when((F.col("__len") > min_chars) & F.col("b").isNotNull(), F.col("b.lang"))
-                      .otherwise(F.lit("und")).alias("lang_pred"))
+                    min_chars: int = 30) -> DataFrame:
+    """``(id, lang_pred)``, one row per id; the languages are the profile's.
+
+    The profile, one row per trigram with a weight per language, is broadcast
+    where its counted rows fit ``BROADCAST_BYTES``; a larger one is copied
+    ``SALTS`` times and joined on (trigram, salt of the document), so that a
+    frequent trigram is spread. Scores are summed map-side, then by id.
+    """
+    totals = {r.lang: r.T for r in profiles.groupBy("lang").agg(F.sum("c").alias("T")).collect()}
+    langs = sorted(totals)
+    wide = profiles.groupBy("tri").agg(
+        *[F.coalesce(F.sum(F.when(F.col("lang") == x, F.log(F.col("c") + 1))), F.lit(0.0)).alias(f"w{i}")
+          for i, x in enumerate(langs)]).persist(StorageLevel.MEMORY_AND_DISK)
+    n_vocab = wide.count()
+    tris = df.select(F.col(id_col).alias("id"), F.length(text).alias("len"),
+                     F.explode_outer(trigrams(text)).alias("tri"))
+    if n_vocab * (ROW_BYTES + 8 * len(langs)) <= BROADCAST_BYTES:
+        hits = tris.join(F.broadcast(wide), "tri", "left")
+    else:
+        salted = wide.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+        hits = (tris.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+                .join(salted, ["tri", "salt"], "left"))
+    sums = hits.groupBy("id", "len").agg(
+        F.count("tri").alias("n"),
+        *[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)).alias(f"h{i}") for i in range(len(langs))])
+    scored = [F.struct((-F.round(F.col("n") * F.log(F.lit(1.0) / F.lit(totals[x] + n_vocab)) + F.col(f"h{i}"), 9))
+                       .alias("s"), F.lit(x).alias("lang")) for i, x in enumerate(langs)]
+    best = F.array_min(F.array(*scored))["lang"] if langs else F.lit(None).cast("string")
+    known = (F.col("len") > min_chars) & (F.col("n") > 0) & best.isNotNull()
+    return sums.select(F.col("id").alias(id_col), F.when(known, best).otherwise(F.lit("und")).alias("lang_pred"))

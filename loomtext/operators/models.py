@@ -43,6 +43,10 @@ def majority_baseline(train: DataFrame, test: DataFrame, label: str, out: str =
     return test.withColumn(out, F.lit(top[label] if top else None).cast(dtype))
 
 
+# Convergence tolerance of both trainers; the iteration limit is a backstop.
+TOL = 1e-4
+
+
 def term_index(vocab: DataFrame) -> DataFrame:
     """``(term, idx)`` with idx 0..V-1 in term order."""
     return assign_row_id(vocab.select("term"), ["term"], "idx")
@@ -68,12 +72,12 @@ def dense_features(df: DataFrame, vec: str, out: str = "features") -> DataFrame:
 
 def train_logreg(train: DataFrame, label: str, C: float = 1.0, max_iter: int = 1000,
                  balanced: bool = True, features: str = "features"):
-    """F8: scikit-learn's ``C`` maps to ``regParam = 1 / (C * sum(w))``."""
+    """F8: scikit-learn's ``C`` maps to ``regParam = 1 / (C * sum(w))``; ``TOL`` is its tolerance."""
     df = with_weights(train, label) if balanced else train.withColumn("weight", F.lit(1.0))
     total_w = df.agg(F.sum("weight")).first()[0]
     lr = LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight",
                             regParam=1.0 / (C * total_w), elasticNetParam=0.0,
-                            standardization=False, maxIter=max_iter, family="auto")
+                            standardization=False, maxIter=max_iter, tol=TOL, family="auto")
     return lr.fit(df)
 
 
@@ -83,7 +87,7 @@ def train_linear_svc(train: DataFrame, label: str, C: float = 1.0, max_iter: int
     df = with_weights(train, label) if balanced else train.withColumn("weight", F.lit(1.0))
     total_w = df.agg(F.sum("weight")).first()[0]
     svc = LinearSVC(featuresCol=features, labelCol=label, weightCol="weight",
-                    regParam=1.0 / (C * total_w), standardization=False, maxIter=max_iter)
+                    regParam=1.0 / (C * total_w), standardization=False, maxIter=max_iter, tol=TOL)
     return OneVsRest(classifier=svc, featuresCol=features, labelCol=label, weightCol="weight").fit(df)
 
 
@@ -140,38 +144,37 @@ def scores_table(df: DataFrame, id_col: str, scores: str, digits: int = 6) -> Da
     return e.withColumn("score", F.round("score", digits)).withColumn("rank", F.row_number().over(w))
 
 
-def linear_scores(weights: DataFrame, coefs: DataFrame, intercepts: DataFrame | None = None) -> DataFrame:
-    """Margins of linear models as a join: ``(id, cls, margin)`` from sparse
-    ``(id, term, weight)`` and ``(term, cls, coef)``; terms without a
-    coefficient contribute nothing. The coefficient table is model-sized
+def linear_margins(weights: DataFrame, coefs: DataFrame, ids: DataFrame,
+                   intercepts: Sequence[float]) -> DataFrame:
+    """Margins of linear models as a join: ``(id, margins)``, one margin per
+    class, from sparse ``(id, term, weight)`` and ``(term, cls, coef)``; terms
+    without a coefficient contribute nothing, and an id of ``ids`` without a
+    term is scored from the intercepts. The coefficient table is model-sized
     (vocabulary x classes) and broadcast."""
-    m = (weights.join(F.broadcast(coefs), "term")
-         .groupBy("id", "cls").agg(F.sum(F.col("weight") * F.col("coef")).alias("margin")))
-    if intercepts is not None:
-        m = m.join(F.broadcast(intercepts), "cls").select(
-            "id", "cls", (F.col("margin") + F.col("intercept")).alias("margin"))
-    return m
+    wx = F.col("weight") * F.col("coef")
+    n = len(intercepts)
+    m = (weights.join(F.broadcast(coefs), "term").groupBy("id")
+         .agg(*[F.sum(F.when(F.col("cls") == i, wx)).alias(f"m{i}") for i in range(n)]))
+    margins = [F.coalesce(f"m{i}", F.lit(0.0)) + F.lit(float(b)) for i, b in enumerate(intercepts)]
+    return ids.select("id").join(m, "id", "left").select("id", F.array(*margins).alias("margins"))
 
 
-def score_binary_sql(weights: DataFrame, coefs: DataFrame, intercept: float = 0.0,
+def score_binary_sql(weights: DataFrame, coefs: DataFrame, ids: DataFrame, intercept: float = 0.0,
                      threshold: float = 0.5) -> DataFrame:
-    """F11 without a fitted object: ``1 / (1 + exp(-(sum w*x + b)))``."""
-    m = linear_scores(weights, coefs.withColumn("cls", F.lit(1)))
-    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("margin") + F.lit(intercept))))
+    """F11 without a fitted object: ``1 / (1 + exp(-(sum w*x + b)))`` for every id."""
+    m = linear_margins(weights, coefs.withColumn("cls", F.lit(0)), ids, [intercept])
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margins")[0]))
     return m.select("id", p.alias("prob")).withColumn("pred", (F.col("prob") >= threshold).cast("int"))
 
 
-def score_multiclass_sql(weights: DataFrame, coefs: DataFrame, labels: list[str]) -> DataFrame:
-    """F12 without a fitted object: per-class margins -> softmax -> best."""
-    m = linear_scores(weights, coefs)
-    arr = m.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("cls", "margin"))).alias("__m"))
-    margins = F.transform("__m", lambda s: s["margin"])
-    scores = softmax(margins)
-    mp = F.map_from_arrays(F.transform("__m", lambda s: F.element_at(
-        F.array(*[F.lit(x) for x in labels]), s["cls"] + 1)), scores)
+def score_multiclass_sql(weights: DataFrame, coefs: DataFrame, ids: DataFrame, labels: list[str],
+                         intercepts: Sequence[float] | None = None) -> DataFrame:
+    """F12 without a fitted object: per-class margins -> softmax -> best, for every id."""
+    m = linear_margins(weights, coefs, ids, intercepts or [0.0] * len(labels))
+    mp = F.map_from_arrays(F.array(*[F.lit(x) for x in labels]), softmax("margins"))
     best = argmax_label(mp)
-    return arr.select("id", mp.alias("scores"), best["label"].alias("label_pred"),
-                      best["confidence"].alias("confidence"))
+    return m.select("id", mp.alias("scores"), best["label"].alias("label_pred"),
+                    best["confidence"].alias("confidence"))
 
 
 def dictionary_join(df: DataFrame, id_col: str, tokens: str, dictionary: DataFrame,
@@ -179,9 +182,10 @@ def dictionary_join(df: DataFrame, id_col: str, tokens: str, dictionary: DataFra
     """Replace tokens found in a ``(form, value)`` dictionary, keep the
     others, order preserved. For dictionaries too large for a literal map:
     explode with position, left join (broadcast when the dictionary is
-    bounded), re-assemble per row (one row's tokens: bounded)."""
+    bounded), re-assemble per row (one row's tokens: bounded). A row without
+    tokens keeps an empty list."""
     side = F.broadcast(dictionary) if bounded else dictionary
-    ex = df.select(id_col, F.posexplode(tokens).alias("__p", "form"))
+    ex = df.select(id_col, F.posexplode_outer(tokens).alias("__p", "form"))
     j = ex.join(side, "form", "left").select(id_col, "__p", F.coalesce("value", "form").alias("__t"))
-    return (j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("__p", "__t"))).alias("__a"))
+    return (j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.when(F.col("__p").isNotNull(), F.struct("__p", "__t")))).alias("__a"))
             .select(id_col, F.transform("__a", lambda s: s["__t"]).alias(out)))

@@ -5,7 +5,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import fixed as X
 from ..functions.fixed import SEED
 from ..functions.scalars import fact_signature, strip_ws, word_count
 from ..functions.text import is_blank
@@ -98,9 +100,16 @@ def assign_row_id(df: DataFrame, order: Sequence[str], out: str = "row_id") -> D
     return position(df, list(order), out, start=0)
 
 
-def persona_blocks(df: DataFrame, file_col: str | None, line_cols: Sequence[str], fact_col: str,
-                   start: Column) -> DataFrame:
-    """A start line opens a block; every later line is a fact of it.
+def persona_fact(line: Column | str) -> Column:
+    """The fact of a stripped ``N your persona: fact`` line, '' for any other line."""
+    return strip_ws(F.regexp_extract(line, X.PERSONA_FACT_RE, 1))
+
+
+def persona_blocks(df: DataFrame, file_col: str | None, line_cols: Sequence[str], text_col: str) -> DataFrame:
+    """A line ``1 your persona:`` opens a block; lines ``N your persona:
+    fact`` give its facts, without the number; other lines and blank facts
+    are left out. Facts before the first start are a block of their own (0).
+    Of blocks with the same facts (order and case aside) the first stays.
 
     Output is long: one row per fact, ``(file?, block_no, line..., fact)``;
     a block's facts are its rows in line order. Block numbers are running
@@ -111,12 +120,15 @@ def persona_blocks(df: DataFrame, file_col: str | None, line_cols: Sequence[str]
     """
     line_cols = list(line_cols)
     part = [file_col] if file_col else []
-    flagged = df.withColumn("__start", start.cast("long"))
-    # each line belongs to the last start at or before it; lines before the
-    # first start (block 0) have no persona and are dropped
-    numbered = prefix_sum(flagged, line_cols, "__start", "block_no", partition=part)
-    return (numbered.filter(F.col("block_no") > 0)
-            .select(*part, "block_no", *line_cols, F.col(fact_col).alias("fact")))
+    line = strip_ws(F.coalesce(text_col, F.lit("")))
+    marked = df.select(*part, *line_cols, line.rlike(X.PERSONA_START_RE).cast("long").alias("__start"),
+                       persona_fact(line).alias("fact"))
+    marked = marked.filter((F.col("__start") == 1) | (F.col("fact") != ""))
+    numbered = prefix_sum(marked, line_cols, "__start", "block_no", partition=part)
+    block = F.struct(*part, "block_no") if part else F.col("block_no")
+    kept = persona_structured_long(numbered.withColumn("__block", block), "__block", line_cols, "fact")
+    ids = [F.col(f"id.{c}") for c in (*part, "block_no")] if part else [F.col("id").alias("block_no")]
+    return kept.select(*ids, *line_cols, "fact")
 
 
 def persona_structured(df: DataFrame, facts_col: str = "facts", id_col: str = "id") -> DataFrame:
@@ -162,13 +174,20 @@ def persona_structured_long(df: DataFrame, id_col: str, order_cols: Sequence[str
     return facts.join(keep, "id").select("id", *order_cols, "fact", "signature")
 
 
-def detect_layout(df: DataFrame, candidates: Sequence[str] = (
-        "persona_b", "persona", "personality", "personas", "your_persona")) -> tuple[str, str]:
-    """('structured', field) when an array field exists, else ('text', 'text')."""
-    for c in candidates:
-        if c in df.columns:
-            return "structured", c
-    return "text", "text"
+def detect_layout(df: DataFrame, candidates: Sequence[str] = X.PERSONA_FIELDS) -> tuple[str, str | None]:
+    """C12, by the first row: ('structured', field) for a non-empty list of
+    strings, candidates before other fields; ('text', 'text') when the text
+    is a persona line; else ('unknown', None). An empty table is unknown."""
+    lists = [f.name for f in df.schema.fields if f.dataType == T.ArrayType(T.StringType(), True)
+             or f.dataType == T.ArrayType(T.StringType(), False)]
+    lists.sort(key=lambda c: list(candidates).index(c) if c in candidates else len(candidates))
+    texts = [f.name for f in df.schema.fields if f.name == "text" and f.dataType == T.StringType()]
+    checks = [(F.coalesce(F.get(c, F.lit(0)).isNotNull(), F.lit(False)), ("structured", c)) for c in lists]
+    checks += [(F.coalesce(F.col(c).rlike(X.PERSONA_FACT_RE), F.lit(False)), ("text", c)) for c in texts]
+    if not checks:
+        return "unknown", None
+    first = df.select(*[cond.alias(f"c{i}") for i, (cond, _) in enumerate(checks)]).first()
+    return next((kind for hit, (_, kind) in zip(first or (), checks) if hit), ("unknown", None))
 
 
 def diverse_sample(df: DataFrame, cluster_col: str, id_col: str, target_n: int,

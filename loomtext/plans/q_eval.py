@@ -270,9 +270,11 @@ def _lang_sides(t: Tables):
 
 
 LANG_SQL = f"""sp AS ({_split_sql("documents", "doc_id", "lang", "doc_id, text, lang")}),
-tri AS (SELECT doc_id, split, lang, unnest(list_transform(range(1, length(s) - 1), lambda i: substr(s, i, 3))) AS tri
-        FROM (SELECT *, substr(lower(coalesce(text, '')), 1, 300) AS s FROM sp)),
-prof AS (SELECT lang, tri, count(*) AS c FROM tri WHERE split = 'train' GROUP BY lang, tri),
+ch AS (SELECT doc_id, split, lang, unnest(range(1, len(cs) + 1)) AS i, unnest(cs) AS a
+       FROM (SELECT *, regexp_extract_all(lower(coalesce(text, '')), '(?s).') AS cs FROM sp)),
+tri AS (SELECT doc_id, split, lang, tri FROM (SELECT doc_id, split, lang, a || lead(a) OVER w || lead(a, 2) OVER w AS tri
+        FROM ch WINDOW w AS (PARTITION BY doc_id ORDER BY i)) WHERE tri IS NOT NULL),
+prof AS (SELECT lang, tri, count(*) AS c FROM tri WHERE split = 'train' AND lang IS NOT NULL GROUP BY lang, tri),
 tot AS (SELECT lang, sum(c) AS T FROM prof GROUP BY lang),
 v AS (SELECT count(DISTINCT tri) AS V FROM prof),
 dt AS (SELECT doc_id, tri, count(*) AS cnt FROM tri WHERE split <> 'train' GROUP BY doc_id, tri),
@@ -288,8 +290,8 @@ FROM sp LEFT JOIN best ON sp.doc_id = best.doc_id WHERE sp.split <> 'train'"""
 @query("detect_language", f"WITH {LANG_SQL}")
 def q_lang(spark, d):
     train, test = _lang_sides(Tables(spark, d))
-    prof = L.fit_profiles(train, "doc_id", "text", "lang")
-    return L.detect_language(test, "doc_id", "text", prof, LANGS)
+    prof = L.fit_profiles(train, "text", "lang")
+    return L.detect_language(test, "doc_id", "text", prof)
 
 
 @query("balanced_weights", """

@@ -58,7 +58,7 @@ def q_age_diff(spark, d):
 
 # ---------------------------------------------------------------------------
 # Chat records from conversations (turn 0 = bio, turn 1 = reply),
-# 20 personas held out for evaluation
+# 75 personas held out for evaluation
 # ---------------------------------------------------------------------------
 def chat_records(t: Tables):
     c = t.conversations
@@ -67,14 +67,14 @@ def chat_records(t: Tables):
                   F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("reply"))
              .filter(F.col("bio").isNotNull() & F.col("reply").isNotNull()))
     rec = pairs.select(S.build_chat_record("persona_id", "bio", "reply", "gen", F.lit(0.5)).alias("r")).select("r.*")
-    return SP.holdout_by_entity(rec, "persona_id", 20)
+    return SP.holdout_by_entity(rec, "persona_id", 75)
 
 
 @query("build_bank_testset", f"""
 WITH p AS (SELECT conv_id AS persona_id, max(CASE WHEN turn = 0 THEN text END) AS bio,
                   max(CASE WHEN turn = 1 THEN text END) AS reply FROM conversations GROUP BY conv_id),
 r AS (SELECT * FROM p WHERE bio IS NOT NULL AND reply IS NOT NULL),
-e AS (SELECT persona_id FROM r ORDER BY {Q.md5key('persona_id')}, persona_id LIMIT 20),
+e AS (SELECT persona_id FROM r ORDER BY {Q.md5key('persona_id')}, persona_id LIMIT 75),
 s AS (SELECT r.*, CASE WHEN e.persona_id IS NULL THEN 'train' ELSE 'eval' END AS split FROM r LEFT JOIN e USING (persona_id)),
 bank AS (SELECT row_number() OVER (ORDER BY persona_id, reply) - 1 AS id, persona_id, reply AS text
          FROM s WHERE split = 'train')
@@ -106,12 +106,17 @@ def q_theta(spark, d):
     return V.dense_pairs(e, "vec_id", "vec", e, "vec_id", "vec", exclude_self=True, min_score=0.25)
 
 
+_SOME_EMPTY = "CASE WHEN conv_id % 10 = 0 AND turn = 0 THEN ' ' ELSE lower(text) END"
+
+
 @query("dictionary_join", f"""
-SELECT conv_id, turn, {Q.lemmatize(Q.tokenize('lower(text)'))} AS mapped FROM conversations
-WHERE len({Q.tokenize('lower(text)')}) > 0""")
+SELECT conv_id, turn, {Q.lemmatize(Q.tokenize(_SOME_EMPTY))} AS mapped FROM conversations""")
 def q_dictionary(spark, d):
+    # every tenth conversation's first turn is blank: a row without tokens stays
+    blank = (F.col("conv_id") % 10 == 0) & (F.col("turn") == 0)
     c = Tables(spark, d).conversations.select(
-        F.struct("conv_id", "turn").alias("key"), TK.tokenize(F.lower("text")).alias("tokens"))
+        F.struct("conv_id", "turn").alias("key"),
+        TK.tokenize(F.when(blank, F.lit(" ")).otherwise(F.lower("text"))).alias("tokens"))
     # the dictionary is data-derived (every distinct token with a different
     # lemma): not bounded, so it is joined by shuffle, not broadcast
     forms = c.select(F.explode("tokens").alias("form")).distinct()
@@ -130,24 +135,30 @@ def _coefs(vocab_terms, classes: int = 1):
 
 @query("score_binary", f"""WITH {DOC_MODEL_SQL},
 cf AS (SELECT term, ((length(term) % 5) - 2) / 10.0 AS coef FROM vocab),
-m AS (SELECT id, sum(weight * coef) AS margin FROM dw JOIN cf USING (term) GROUP BY id)
+m AS (SELECT d.doc_id AS id, coalesce(sum(weight * coef), 0.0) AS margin FROM documents d
+      LEFT JOIN dw ON dw.id = d.doc_id LEFT JOIN cf USING (term) GROUP BY d.doc_id)
 SELECT id, round(1.0 / (1.0 + exp(-(margin - 0.1))), 6) AS prob,
        CAST(1.0 / (1.0 + exp(-(margin - 0.1))) >= 0.5 AS INTEGER) AS pred FROM m""")
 def q_score_binary(spark, d):
-    _, w = doc_model(Tables(spark, d))
+    t = Tables(spark, d)
+    _, w = doc_model(t)
     coefs = _coefs(w.select("term").distinct(), 1).select("term", "coef")
-    out = M.score_binary_sql(w, coefs, intercept=-0.1)
+    out = M.score_binary_sql(w, coefs, t.documents.select(F.col("doc_id").alias("id")), intercept=-0.1)
     return out.select("id", F.round("prob", 6).alias("prob"), "pred")
 
 
 @query("score_multiclass", f"""WITH {DOC_MODEL_SQL},
 cf AS (SELECT term, c AS cls, (((length(term) + c) % 5) - 2) / 10.0 AS coef FROM vocab, range(3) r(c)),
-m AS (SELECT id, cls, sum(weight * coef) AS margin FROM dw JOIN cf USING (term) GROUP BY id, cls),
+m AS (SELECT d.doc_id AS id, r.c AS cls, coalesce(sum(weight * coef), 0.0) AS margin
+      FROM documents d CROSS JOIN range(3) r(c) LEFT JOIN dw ON dw.id = d.doc_id
+      LEFT JOIN cf ON cf.term = dw.term AND cf.cls = r.c GROUP BY d.doc_id, r.c),
 x AS (SELECT id, cls, margin, exp(margin - max(margin) OVER (PARTITION BY id)) AS e FROM m),
 p AS (SELECT id, ['negative', 'neutral', 'positive'][cls + 1] AS label, e / sum(e) OVER (PARTITION BY id) AS s FROM x)
 SELECT id, first(label ORDER BY s DESC, label) AS label_pred, round(max(s), 6) AS confidence FROM p GROUP BY id""")
 def q_score_multi(spark, d):
-    _, w = doc_model(Tables(spark, d))
+    t = Tables(spark, d)
+    _, w = doc_model(t)
     coefs = _coefs(w.select("term").distinct(), 3)
-    out = M.score_multiclass_sql(w, coefs, ["negative", "neutral", "positive"])
+    out = M.score_multiclass_sql(w, coefs, t.documents.select(F.col("doc_id").alias("id")),
+                                 ["negative", "neutral", "positive"])
     return out.select("id", "label_pred", F.round("confidence", 6).alias("confidence"))

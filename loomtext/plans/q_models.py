@@ -41,7 +41,7 @@ def _binary(t: Tables):
     data = feats.join(lab.withColumnRenamed("doc_id", "id"), "id")
     train = data.filter(F.col("split") == "train")
     test = data.filter(F.col("split") != "train")
-    model = M.train_logreg(train.withColumn("toxic", F.col("toxic").cast("double")), "toxic", max_iter=100)
+    model = M.train_logreg(train.withColumn("toxic", F.col("toxic").cast("double")), "toxic")
     return model, test, w, index
 
 
@@ -69,7 +69,7 @@ def q_svc(spark, d):
     docs = SP.stratified_split(t.documents.select("doc_id", "lang"), "lang", "doc_id")
     data = feats.join(docs.select(F.col("doc_id").alias("id"), "split",
                                   F.element_at(idx, F.col("lang")).alias("y")), "id")
-    model = M.train_linear_svc(data.filter(F.col("split") == "train"), "y", max_iter=50)
+    model = M.train_linear_svc(data.filter(F.col("split") == "train"), "y")
     out = M.score_multiclass(model, data.filter(F.col("split") != "train"), LANGS)
     return out.select(F.col("id").alias("doc_id"), "label_pred", F.round("confidence", 6).alias("confidence"))
 
@@ -77,7 +77,7 @@ def q_svc(spark, d):
 @query("kmeans")
 def q_kmeans(spark, d):
     e = Tables(spark, d).embeddings.select("vec_id", V.l2_normalize("embedding").alias("vec"))
-    return M.kmeans(e, "vec", k=10).select("vec_id", "cluster")
+    return M.kmeans(e, "vec").select("vec_id", "cluster")
 
 
 @query("scores_table", """

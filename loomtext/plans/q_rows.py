@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import fixed as X
 from ..functions import scalars as S
 from ..functions import text as TX
 from ..functions import tokens as TK
@@ -118,22 +119,35 @@ def q_diverse(spark, d):
 
 
 # ---------------------------------------------------------------------------
-# C10, C11 persona blocks (conversations: turn 0 opens a block)
+# C10, C11 persona blocks. A conversation's turns as persona lines: the first
+# conversation starts with fact 2 (facts before any start), every third turn
+# stays an ordinary line between facts.
 # ---------------------------------------------------------------------------
-@query("persona_blocks", """
-WITH b AS (SELECT *, sum(CASE WHEN turn = 0 THEN 1 ELSE 0 END) OVER (ORDER BY conv_id, turn
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block_no FROM conversations)
-SELECT block_no, conv_id, turn, text AS fact FROM b WHERE block_no > 0""")
-def q_blocks(spark, d):
-    c = Tables(spark, d).conversations
-    return R.persona_blocks(c, None, ["conv_id", "turn"], "text", F.col("turn") == 0)
-
-
 _STRIP = "^[" + Q.SP + "]+|[" + Q.SP + "]+$"
 _CHUNKS = ", ".join(f"CAST(sum(('0x' || substr(md5(lower(fact)), {8 * i + 1}, 8))::BIGINT) AS VARCHAR)"
                     for i in range(4))
 
 
+@query("persona_blocks", f"""
+WITH l AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 2 THEN text
+             ELSE ' ' || CAST(turn + CASE WHEN conv_id % 10 = 0 THEN 2 ELSE 1 END AS VARCHAR) || ' your persona: ' || text END AS line
+           FROM conversations),
+t AS (SELECT *, {Q.rx("coalesce(line, '')", _STRIP, '')} AS s FROM l),
+b AS (SELECT *, sum(CASE WHEN regexp_matches(s, {Q.lit(X.PERSONA_START_RE)}) THEN 1 ELSE 0 END) OVER (
+        ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block_no,
+      {Q.rx("regexp_extract(s, " + Q.lit(X.PERSONA_FACT_RE) + ", 1)", _STRIP, '')} AS fact FROM t),
+f AS (SELECT * FROM b WHERE fact <> ''),
+g AS (SELECT block_no, concat_ws(':', CAST(count(*) AS VARCHAR), {_CHUNKS}) AS signature FROM f GROUP BY block_no),
+k AS (SELECT min(block_no) AS block_no FROM g GROUP BY signature)
+SELECT CAST(f.block_no AS BIGINT) AS block_no, conv_id, turn, fact FROM f JOIN k ON f.block_no = k.block_no""")
+def q_blocks(spark, d):
+    no = F.col("turn") + F.when(F.col("conv_id") % 10 == 0, 2).otherwise(1)
+    line = F.when(F.col("turn") % 3 == 2, F.col("text")).otherwise(
+        F.concat(F.lit(" "), no.cast("string"), F.lit(" your persona: "), "text"))
+    c = Tables(spark, d).conversations.select("conv_id", "turn", line.alias("line"))
+    return R.persona_blocks(c, None, ["conv_id", "turn"], "line")
+
+
 @query("persona_structured", f"""
 WITH g AS (SELECT conv_id AS id, turn, {Q.rx('text', _STRIP, '')} AS fact FROM conversations),
 f AS (SELECT * FROM g WHERE fact <> ''),
@@ -197,12 +211,12 @@ def q_group_split(spark, d):
 
 @query("holdout_by_entity", f"""
 WITH e AS (SELECT conv_id FROM (SELECT DISTINCT conv_id FROM conversations)
-           ORDER BY {Q.md5key('conv_id')}, conv_id LIMIT 20)
+           ORDER BY {Q.md5key('conv_id')}, conv_id LIMIT 75)
 SELECT c.conv_id, c.turn, CASE WHEN e.conv_id IS NOT NULL THEN 'eval' ELSE 'train' END AS split
 FROM conversations c LEFT JOIN e ON c.conv_id = e.conv_id""")
 def q_holdout(spark, d):
     c = Tables(spark, d).conversations.select("conv_id", "turn")
-    return SP.holdout_by_entity(c, "conv_id", 20).select("conv_id", "turn", "split")
+    return SP.holdout_by_entity(c, "conv_id", 75).select("conv_id", "turn", "split")
 
 
 @query("route_records", """

@@ -216,17 +216,17 @@ def q_city(spark, d):
 @query("scam_features", f"""
 WITH {Q.clean_cte("documents", "doc_id, text", "text", "classification")}
 SELECT doc_id, CAST(length(text) AS BIGINT) AS len_chars,
-  CAST(len(list_filter(regexp_split_to_array(text_clean, {Q.lit('[' + X.SPACE + ']+')}), lambda w: w <> '')) AS BIGINT) AS len_tokens,
+  CAST(len(list_filter(regexp_split_to_array(array_to_string({Q.tokenize('text_clean')}, ' '), {Q.lit('[' + X.SPACE + ']+')}), lambda w: w <> '')) AS BIGINT) AS len_tokens,
   CAST(regexp_matches(text, {Q.lit(X.HAS_URL_RE)}) AS INTEGER) AS has_url,
   CAST(regexp_matches(text, {Q.lit(X.HAS_PHONE_RE)}) AS INTEGER) AS has_phone,
   CAST(regexp_matches(text, {Q.lit(X.HAS_MONEY_RE)}) AS INTEGER) AS has_money
 FROM cleaned""")
 def q_scam_features(spark, d):
     df = _docs(spark, d).withColumn("text_clean", TX.clean_for_classification("text", **JVM))
-    feats = S.scam_features("text", "text_clean")
-    feats[0] = F.length("text").cast("long").alias("len_chars")
-    feats[1] = S.word_count("text_clean").cast("long").alias("len_tokens")
-    return df.select("doc_id", *feats)
+    df = df.withColumn("tokens_str", TK.tokens_str(TK.tokenize("text_clean")))
+    len_chars, len_tokens, *flags = S.scam_features("text", "tokens_str")
+    return df.select("doc_id", len_chars.cast("long").alias("len_chars"),
+                     len_tokens.cast("long").alias("len_tokens"), *flags)
 
 
 @query("parse_bio", f"""

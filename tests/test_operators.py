@@ -7,6 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomtext.operators import classify as C
+from loomtext.operators import lang as LG
+from loomtext.operators import models as M
 from loomtext.operators import recmetrics as RM
 from loomtext.operators import retrieval as RT
 from loomtext.operators import rows as R
@@ -51,10 +53,58 @@ def test_persona_structured_long_matches_brute_force(spark):
 
 
 def test_persona_blocks_long(spark):
-    df = spark.createDataFrame([(0, "pre"), (1, "your persona: a"), (2, "x"), (3, "your persona: b"), (4, "y")],
-                               "line int, text string")
-    out = R.persona_blocks(df, None, ["line"], "text", F.col("text").startswith("your persona")).collect()
-    assert sorted((r.block_no, r.line) for r in out) == [(1, 1), (1, 2), (2, 3), (2, 4)]
+    lines = ["hello", "3 your persona: before any start", "1 your persona:  I like cats ", "hello there",
+             "2 Your Persona: I run", "1 your persona: i run", "2 your persona: I LIKE CATS",
+             "1 your persona:", "2 your persona: I swim", None, "10 your persona: I sing\nsecond line", "your persona: no number"]
+    df = spark.createDataFrame(list(enumerate(lines)), "line int, text string")
+    out = R.persona_blocks(df, None, ["line"], "text").collect()
+    assert sorted((r.block_no, r.line, r.fact) for r in out) == [
+        (0, 1, "before any start"), (1, 2, "I like cats"), (1, 4, "I run"), (3, 8, "I swim"), (3, 10, "I sing")]
+    # by file: block numbers start anew, equal blocks of a later file go
+    two = df.withColumn("f", F.lit("a")).unionByName(df.withColumn("f", F.lit("b")))
+    out = R.persona_blocks(two, "f", ["line"], "text").collect()
+    assert {r.f for r in out} == {"a"} and len(out) == 5
+    assert R.persona_blocks(df.limit(0), None, ["line"], "text").count() == 0
+
+
+def test_detect_layout(spark):
+    def kind(rows, schema):
+        return R.detect_layout(spark.createDataFrame(rows, schema))
+    assert kind([("x", ["a"])], "persona string, other array<string>") == ("structured", "other")
+    assert kind([(["a"], ["b"])], "other array<string>, personas array<string>") == ("structured", "personas")
+    assert kind([([], "1 your persona: a")], "persona array<string>, text string") == ("text", "text")
+    assert kind([("hello",)], "text string") == ("unknown", None)
+    assert kind([(1,)], "n int") == ("unknown", None)
+    assert kind([], "text string") == ("unknown", None)
+
+
+def test_linear_scores_and_dictionary_keep_rows_without_terms(spark):
+    w = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0), (2, "zz", 1.0)], "id long, term string, weight double")
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    coefs = spark.createDataFrame([("a", 0, 1.0), ("b", 0, 0.5), ("a", 1, 3.0)], "term string, cls int, coef double")
+    b = {r.id: r for r in M.score_binary_sql(w, coefs.filter("cls = 0").drop("cls"), ids, intercept=-1.0).collect()}
+    assert abs(b[1].prob - 1 / (1 + math.exp(-1.0))) < 1e-12 and b[1].pred == 1
+    assert all(abs(b[i].prob - 1 / (1 + math.exp(1.0))) < 1e-12 and b[i].pred == 0 for i in (2, 3))
+    m = {r.id: r.label_pred for r in M.score_multiclass_sql(w, coefs, ids, ["x", "y"], [0.5, 0.0]).collect()}
+    assert m == {1: "y", 2: "x", 3: "x"}
+    toks = spark.createDataFrame([(1, ["cats", "run", "cats"]), (2, []), (3, None)], "id long, tokens array<string>")
+    dic = spark.createDataFrame([("cats", "cat")], "form string, value string")
+    out = {r.id: r.mapped for r in M.dictionary_join(toks, "id", "tokens", dic).collect()}
+    assert out == {1: ["cat", "run", "cat"], 2: [], 3: []}
+
+
+def test_detect_language_reads_whole_texts(spark, monkeypatch):
+    # the telling trigrams stand beyond a long common start
+    start = "0123456789 " * 60
+    train = spark.createDataFrame([(start + "the quick brown fox " * 5, "en"), (start + "der schnelle braune " * 5, "de"),
+                                   ("no label here", None)], "text string, lang string")
+    test = spark.createDataFrame([(1, start + "the quick fox"), (2, start + "der schnelle"), (3, "short"), (4, None),
+                                  (5, "")], "id long, text string")
+    prof = LG.fit_profiles(train, "text", "lang")
+    want = {1: "en", 2: "de", 3: "und", 4: "und", 5: "und"}
+    assert {r.id: r.lang_pred for r in LG.detect_language(test, "id", "text", prof).collect()} == want
+    monkeypatch.setattr(LG, "BROADCAST_BYTES", 0)  # the salted join of large profiles
+    assert {r.id: r.lang_pred for r in LG.detect_language(test, "id", "text", prof).collect()} == want
 
 
 def test_prefix_sum_hot_group_matches_window(spark):
