@@ -42,7 +42,7 @@ def random_baseline(queries: DataFrame, cands: DataFrame, id_col: str, k: int,
     start and by a hashed step of its own. Queries must be members of the
     candidate table. Emits Q * k rows through an equi-join."""
     perm = position(cands.select(id_col).withColumn("__k", seeded_key(id_col, seed)),
-                    ["__k", id_col], "__pos", start=0).drop("__k")
+                    ["__k", id_col], "__pos", start=0, digest=True).drop("__k")
     n = cands.count()
     qpos = queries.select(F.col(id_col).alias("qid")).join(
         perm.select(F.col(id_col).alias("qid"), F.col("__pos").alias("__qpos")), "qid")

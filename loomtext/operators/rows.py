@@ -72,6 +72,19 @@ def dedup_keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str],
     return agg.select(*key, "__m.__row.*").select(*df.columns)
 
 
+def first_ids(df: DataFrame, key: str, id_col: str, drop_empty_key: bool = False) -> DataFrame:
+    """C5 where only the ids are wanted: the smallest ``id_col`` (a number) per
+    key. The key is shuffled as a 32-byte digest and both buffers are
+    primitive, so it is a hash aggregate that never sorts or carries texts.
+    NULL keys are one group. ``drop_empty_key`` as in ``dedup_keep_first``."""
+    narrow = df.select(F.unhex(F.sha2(F.col(key), 256)).alias("__key"), F.col(id_col),
+                       F.coalesce(F.col(key) == "", F.lit(False)).cast("int").alias("__empty"))
+    firsts = narrow.groupBy("__key").agg(F.min(id_col).alias(id_col), F.max("__empty").alias("__empty"))
+    if drop_empty_key:
+        firsts = firsts.filter(F.col("__empty") == 0)
+    return firsts.select(id_col)
+
+
 def union_sources(frames: Sequence[tuple[str, DataFrame]], tag: str = "source",
                   rank: str | None = "source_rank") -> DataFrame:
     """Stack sources by name, tag each with its name and order."""
@@ -195,7 +208,7 @@ def diverse_sample(df: DataFrame, cluster_col: str, id_col: str, target_n: int,
     """Round-robin over clusters in a seeded order, one member per cluster
     per round, members in a seeded order, first ``target_n`` picks."""
     keyed = df.withColumn("__mk", seeded_key(id_col, seed))
-    ranked = position(keyed, ["__mk", id_col], "round", partition=[cluster_col])
+    ranked = position(keyed, ["__mk", id_col], "round", partition=[cluster_col], digest=True)
     return (ranked.withColumn("__ck", seeded_key(cluster_col, seed))
             .orderBy("round", "__ck", cluster_col).limit(target_n)
             .drop("__mk", "__ck"))

@@ -38,7 +38,7 @@ def stratified_split(df: DataFrame, label: str, id_col: str, train_pct: int = 70
     """Exact per-label 70/15/15 shares in a seeded order."""
     keyed = df.withColumn("__k", seeded_key(id_col, seed))
     counts = df.groupBy(label).agg(F.count("*").alias("__n"))
-    ranked = position(keyed, ["__k", id_col], "__pos", partition=[label])
+    ranked = position(keyed, ["__k", id_col], "__pos", partition=[label], digest=True)
     # one row per label: tiny, broadcast is bounded by the label count
     joined = ranked.join(F.broadcast(counts), [label])
     n_train, n_val = _cuts("__n", train_pct)
@@ -49,7 +49,7 @@ def group_split(df: DataFrame, group: str, train_pct: int = 70, seed: int = SEED
                 out: str = "split") -> DataFrame:
     """Whole groups go to one split; cuts on group counts."""
     groups = df.select(group).distinct().withColumn("__k", seeded_key(group, seed))
-    ranked = position(groups, ["__k", group], "__pos")
+    ranked = position(groups, ["__k", group], "__pos", digest=True)
     # the group count is one scalar: fetched once, used as a literal
     n = groups.count()
     n_train, n_val = _cuts("__n", train_pct)

@@ -7,8 +7,11 @@ each slice computes running sums over its own rows, a small table of
 per-slice totals (one row per slice and group) yields the offsets, and a
 join adds them back. A group holding a third of all rows spans many slices.
 
-Slice bounds come from a bounded sample of keys taken once on the driver and
-are applied as a pure expression of the key. The slice of a row is
+An order that begins with an md5 digest (every seeded order) is cut by the
+digest's leading hex digits: they are uniform, cost the same per row on any
+cluster and need no job. For other orders slice bounds come from a bounded
+sample of keys taken once on the driver and are applied as a pure expression
+of the key. The slice of a row is
 therefore the same in every branch of the plan and after any recomputation
 (a ``spark_partition_id`` after a range shuffle is not: two exchanges sample
 their own bounds).
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 from ..session import default_parallelism
 
 SAMPLE_PER_SLICE = 40
+HEX_DIGITS = 3  # 4096 slices per partition of a digest order
 
 
 def _slice_expr(df: DataFrame, keys: Sequence[str], n: int) -> Column:
@@ -52,12 +56,18 @@ def _slice_expr(df: DataFrame, keys: Sequence[str], n: int) -> Column:
     return expr
 
 
+def _digest_slice(c: str) -> Column:
+    """Ascending with the digest; a NULL digest sorts first."""
+    return F.coalesce(F.conv(F.substring(F.col(c), 1, HEX_DIGITS), 16, 10).cast("int"), F.lit(-1))
+
+
 def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str | int,
                out: str, partition: Sequence[str] = (), slices: int | None = None,
-               inclusive: bool = True) -> DataFrame:
+               inclusive: bool = True, digest: bool = False) -> DataFrame:
     """Add column ``out`` = running sum of ``value`` in ascending ``order``
     within ``partition``. ``order`` (column names) must be a total order
-    within a partition (append an id to break ties)."""
+    within a partition (append an id to break ties). ``digest`` says that
+    ``order`` begins with a column of lower-case hex digests."""
     spark = df.sparkSession
     n = slices or max(8, default_parallelism(spark))
     part = list(partition)
@@ -67,7 +77,7 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str | int,
     else:
         val = F.col(value) if isinstance(value, str) else value
     base = df.withColumn("__v", val)
-    base = base.withColumn("__slice", _slice_expr(base, part + order, n))
+    base = base.withColumn("__slice", _digest_slice(order[0]) if digest else _slice_expr(base, part + order, n))
     w = (Window.partitionBy("__slice", *part).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.withColumn("__local", F.sum("__v").over(w))
@@ -85,10 +95,10 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str | int,
 
 def position(df: DataFrame, order: Sequence[str], out: str,
              partition: Sequence[str] = (), slices: int | None = None,
-             start: int = 1) -> DataFrame:
+             start: int = 1, digest: bool = False) -> DataFrame:
     """Dense 1-based (or ``start``-based) position in ``order`` within
     ``partition``; equal to ``row_number()`` for a total order."""
-    res = prefix_sum(df, order, 1, out, partition, slices)
+    res = prefix_sum(df, order, 1, out, partition, slices, digest=digest)
     if start != 1:
         res = res.withColumn(out, F.col(out) - F.lit(1 - start))
     return res

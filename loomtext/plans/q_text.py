@@ -20,13 +20,16 @@ JVM = dict(unicode_fix=False, contractions=False, emoji=False)
 # Flagship: documents -> drop null -> classification cleaner -> drop blank ->
 # dedup keep-first -> join labels -> counts by (source, toxic)
 # ---------------------------------------------------------------------------
-def clean_dedup(t: Tables):
+def _cleaned(t: Tables):
     docs = R.drop_null_text(t.documents.select("doc_id", "text", "source"))
-    cleaned = docs.select("doc_id", "source", TX.clean_for_classification("text", **JVM).alias("text_clean"))
+    return docs.select("doc_id", "source", TX.clean_for_classification("text", **JVM).alias("text_clean"))
+
+
+def clean_dedup(t: Tables):
     # The cleaner trims, so a blank cleaned text is ''. Blank texts form one
     # group; dropping it inside the dedup (HAVING) keeps exactly the rows of
     # drop-then-dedup while the cleaner is evaluated once.
-    return R.dedup_keep_first(cleaned, ["text_clean"], ["doc_id"], drop_empty_key=True)
+    return R.dedup_keep_first(_cleaned(t), ["text_clean"], ["doc_id"], drop_empty_key=True)
 
 
 FLAGSHIP_SQL = f"""
@@ -45,7 +48,10 @@ GROUP BY d.source, l.toxic
 @query("label_by_source", FLAGSHIP_SQL)
 def q_label_by_source(spark, d):
     t = Tables(spark, d)
-    joined = clean_dedup(t).join(t.labels.select("doc_id", "toxic"), "doc_id")
+    # Only ids go on, so texts are cleaned once and never shuffled or sorted.
+    first = R.first_ids(_cleaned(t), "text_clean", "doc_id", drop_empty_key=True)
+    joined = (t.documents.select("doc_id", "source").join(first, "doc_id", "left_semi")
+              .join(t.labels.select("doc_id", "toxic"), "doc_id"))
     return ST.label_by_source(joined, "source", "toxic")
 
 
