@@ -29,15 +29,22 @@ def q_scan_csv(spark, d):
     return IO.scan_csv(spark, path, schema)
 
 
-@query("scan_tsv_labelled")
+# Latin-1 on disk: characters beyond it are written as '?'.
+_TSV_TEXT = Q.rx(Q.rx(Q.rx("text", "[\r\n]+", " "), r"[^\x{00}-\x{FF}]", "?"), f"^[{Q.SP}]+|[{Q.SP}]+$", "")
+
+
+@query("scan_tsv_labelled", f"""
+SELECT CASE WHEN toxic = 1 THEN 'spam' ELSE 'ham' END AS label, {_TSV_TEXT} AS text,
+       CAST(coalesce(toxic = 1, false) AS INTEGER) AS label_bin
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE text IS NOT NULL""")
 def q_scan_tsv(spark, d):
     t = Tables(spark, d)
     lines = t.documents.join(t.labels, "doc_id").select(F.concat(
         F.when(F.col("toxic") == 1, "spam").otherwise("ham"), F.lit("\t"),
         F.regexp_replace("text", "[\r\n]+", " ")).alias("value"))
     path = IO.scratch_dir(spark, "tsv")
-    lines.write.option("sep", "\u0001").option("quote", "\u0000").option("encoding", "UTF-8").csv(path)
-    return IO.scan_tsv_labelled(spark, path, encoding="UTF-8")
+    lines.write.option("sep", "\u0001").option("quote", "\u0000").option("encoding", "ISO-8859-1").csv(path)
+    return IO.scan_tsv_labelled(spark, path)
 
 
 @query("scan_jsonl_nested", """

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from loomtext.functions import scalars as S
 from loomtext.operators import classify as C
 from loomtext.operators import lang as LG
 from loomtext.operators import models as M
@@ -14,6 +15,7 @@ from loomtext.operators import retrieval as RT
 from loomtext.operators import rows as R
 from loomtext.operators import splits as SP
 from loomtext.operators import vectors as V
+from loomtext.sources import io as IO
 from loomtext.plans.prefix import position, prefix_sum
 
 
@@ -29,6 +31,67 @@ def test_dedup_drop_empty_key(spark):
     assert [r.id for r in R.dedup_keep_first(df, ["k"], ["id"], drop_empty_key=True).collect()] == [2]
 
 
+def test_first_ids(spark):
+    df = spark.createDataFrame([("", 1), ("a", 9), ("a", 4), (None, 6), ("b", 7), (None, 5)], "k string, id long")
+    assert sorted(r.id for r in R.first_ids(df, "k", "id", drop_empty_key=True).collect()) == [4, 5, 7]
+    assert sorted(r.id for r in R.first_ids(df, "k", "id").collect()) == [1, 4, 5, 7]
+
+
+def test_first_ids_is_a_hash_aggregate(spark):
+    df = spark.range(100).select(F.concat(F.lit("text "), F.col("id") % 7).alias("k"), "id")
+    plan = R.first_ids(df, "k", "id", drop_empty_key=True)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_digest_positions_match_window(spark):
+    df = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise("rest").alias("g"),
+                                  R.seeded_key("id").alias("k"))
+    got = position(df, ["k", "id"], "pos", partition=["g"], digest=True)
+    want = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("k", "id")).cast("long"))
+    assert got.count() == 5000 and got.select("id", "pos").exceptAll(want.select("id", "pos")).count() == 0
+
+
+def test_scan_tsv_labelled_latin1(spark, tmp_path):
+    (tmp_path / "in.tsv").write_bytes("ham\tcaf\xe9 \xa35\n\nSpam \t  win\tnow \nham\n".encode("latin-1"))
+    rows = {(r.label, r.text, r.label_bin) for r in IO.scan_tsv_labelled(spark, str(tmp_path / "in.tsv")).collect()}
+    assert rows == {("ham", "caf\xe9 \xa35", 0), ("Spam", "win\tnow", 1), ("ham", "", 0)}
+
+
+def test_build_chat_record(spark):
+    df = spark.createDataFrame([(3, "I ski", "Best slope?")], "id long, bio string, reply string")
+    r = df.select(S.build_chat_record("id", "bio", "reply", "m", F.lit(0.5)).alias("r")).first().r
+    assert (r.persona_id, r.gen_model, r.temperature) == (3, "m", 0.5)
+    assert [m.role for m in r.messages] == ["user", "assistant"]
+    assert "I ski" in r.messages[0].content and r.messages[1].content == "Best slope?"
+
+
+def test_kmeans_finds_two_groups(spark):
+    df = spark.createDataFrame([(i, [1.0, 0.01 * i] if i % 2 else [0.01 * i, 1.0]) for i in range(12)],
+                               "id long, v array<double>")
+    by = {r.id: r.cluster for r in M.kmeans(df, "v", k=2).collect()}
+    assert len({by[i] for i in range(0, 12, 2)}) == 1 and len({by[i] for i in range(1, 12, 2)}) == 1
+    assert by[0] != by[1]
+    assert len({r.cluster for r in M.kmeans(df.limit(3), "v", k=100).collect()}) <= 3
+
+
+def test_linear_svc_separates_three_classes(spark):
+    rows = [(float(c), [1.0 if j == c else 0.05 * (i % 3) for j in range(3)]) for c in range(3) for i in range(10)]
+    df = M.dense_features(spark.createDataFrame(rows, "y double, v array<double>"), "v")
+    model = M.train_linear_svc(df, "y", max_iter=30)
+    scored = M.score_multiclass(model, df, ["a", "b", "c"]).select("y", "label_pred").collect()
+    assert all(r.label_pred == "abc"[int(r.y)] for r in scored)
+
+
+def test_top_features_fixed_coefficients(spark):
+    weights = spark.createDataFrame([(1, "x", 0.5), (1, "y", 0.5), (1, "z", 1.0), (2, "x", 1.0), (2, "w", 1.0)],
+                                    "id long, term string, weight double")
+    coefs = spark.createDataFrame([("x", 2.0), ("y", 2.0), ("z", -1.0)], "term string, coef double")
+    got = [(r.id, r["rank"], r.term, r.contribution) for r in
+           M.top_features(weights, coefs, n=2).orderBy("id", "rank").collect()]
+    assert got == [(1, 1, "x", 1.0), (1, 2, "y", 1.0), (2, 1, "x", 2.0)]
+    assert "z" not in [r.term for r in M.top_features(weights, coefs, positive_only=True).collect()]
+
+
 def test_persona_structured_long_matches_brute_force(spark):
     # personas 1 and 3 hold the same facts (order, case, padding differ);
     # persona 4 has only blank facts and disappears; 5 repeats a fact
