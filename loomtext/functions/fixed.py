@@ -136,3 +136,10 @@ EVAL_HOLDOUT = 75
 PERSONA_FIELDS = ("persona_b", "persona", "personality", "personas", "your_persona")
 PERSONA_START_RE = "(?i)^1[" + SPACE + "]+your persona:"
 PERSONA_FACT_RE = "(?i)^" + DIGIT + "+[" + SPACE + "]+your persona:[" + SPACE + r"]+([^\n]+)"
+
+# Latin letters without a canonical decomposition and their ASCII forms (fixed values).
+LATIN_LETTERS = (
+    ("Æ", "AE"), ("Ð", "D"), ("Ø", "O"), ("Þ", "Th"), ("ß", "ss"), ("æ", "ae"), ("ð", "d"), ("ø", "o"), ("þ", "th"),
+    ("Đ", "D"), ("đ", "d"), ("Ħ", "H"), ("ħ", "h"), ("ı", "i"), ("ĸ", "k"), ("Ł", "L"), ("ł", "l"), ("Ŋ", "NG"),
+    ("ŋ", "ng"), ("Œ", "OE"), ("œ", "oe"), ("Ŧ", "T"), ("ŧ", "t"),
+)

@@ -177,9 +177,13 @@ def norm_whitespace(c: ColumnOrName) -> Column:
 
 
 def to_ascii(c: ColumnOrName) -> Column:
-    """Latin letters with diacritics -> base letters (fixed table)."""
+    """Latin letters with diacritics -> base letters, ligatures -> their letters (fixed table)."""
     src, dst = _latin_table()
-    return F.translate(col(c), src, dst)
+    out = F.translate(col(c), src, dst)
+    for letter, ascii_form in X.LATIN_LETTERS:
+        if len(ascii_form) > 1:
+            out = F.replace(out, F.lit(letter), F.lit(ascii_form))
+    return out
 
 
 def _latin_table() -> tuple[str, str]:
@@ -193,7 +197,8 @@ def _latin_table() -> tuple[str, str]:
                 unicodedata.combining(x) for x in base[1:]) and len(base) > 1:
             src.append(ch)
             dst.append(base[0])
-    return "".join(src), "".join(dst)
+    single = [(a, b) for a, b in X.LATIN_LETTERS if len(b) == 1]
+    return "".join(src + [a for a, _ in single]), "".join(dst + [b for _, b in single])
 
 
 def strip_nonprintable(c: ColumnOrName) -> Column:

@@ -91,8 +91,11 @@ _doc_query("strip_punct", lambda c: TX.strip_punct(c, X.KEEP_EMBEDDINGS),
            Q.strip_punct("text", X.KEEP_EMBEDDINGS))
 _doc_query("mask_numbers", TX.mask_numbers, Q.mask_numbers("text"))
 _doc_query("norm_whitespace", TX.norm_whitespace, Q.norm_ws("text"))
-_doc_query("to_ascii", TX.to_ascii,
-           "translate(text, {}, {})".format(Q.lit(TX._latin_table()[0]), Q.lit(TX._latin_table()[1])))
+_ASCII_SQL = "translate(text, {}, {})".format(Q.lit(TX._latin_table()[0]), Q.lit(TX._latin_table()[1]))
+for _letter, _form in X.LATIN_LETTERS:
+    if len(_form) > 1:
+        _ASCII_SQL = f"replace({_ASCII_SQL}, {Q.lit(_letter)}, {Q.lit(_form)})"
+_doc_query("to_ascii", TX.to_ascii, _ASCII_SQL)
 _doc_query("strip_nonprintable", TX.strip_nonprintable, Q.rx("text", X.NON_PRINTABLE_RE, ""))
 _doc_query("lower_text", TX.lower_text, "lower(text)")
 _doc_query("html_entities", TX.unescape_basic_entities,

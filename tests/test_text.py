@@ -175,3 +175,9 @@ def test_cleaners_idempotent(spark, kind):
     once = apply(spark, vals, lambda c: TX.CLEANERS[kind](c, **JVM))
     twice = apply(spark, once, lambda c: TX.CLEANERS[kind](c, **JVM))
     assert once == twice
+
+
+def test_to_ascii_letters_without_decomposition(spark):
+    df = spark.createDataFrame([("Đorđe i Łukasz, Øre, Straße, Æon, čćžš", ), (None,)], "t string")
+    from loomtext.functions.text import to_ascii
+    assert [r.o for r in df.select(to_ascii("t").alias("o")).collect()] == ["Dorde i Lukasz, Ore, Strasse, AEon, cczs", None]
