@@ -6,20 +6,24 @@
    page of its host) is summed into a signature: occurrences, pages, and the sum
    of count * hash(page). Tokens of a host with equal signatures share their
    vector; such a group is an equivalence class.
-2. A class is valid when it stands on at least ``support`` of the host's pages
-   (and on ``min_pages`` at least) and has two tokens or more, or is nested in
-   a valid class (its path continues the path of a token of one). The tokens of
-   valid classes are the host's template; what stands between them are slots.
-3. On each page the slots below the main element are joined in page order. The
-   main element is <article> or <main>; on pages without either it is the
-   outermost template container whose slots hold most text outside links.
-   Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-   and reader comments are left out by element and by the words of class, id and
-   role; outside <article>/<main> text blocks of the template are left out too.
+2. Vectors are summed over a host's pages and over each of its layouts (pages
+   whose main element has the same path; without one, the same outer elements).
+   A class is valid when it stands on at least ``support`` of the pages of the
+   host or of the layout (and on ``min_pages`` at least) and has two tokens or
+   more, or is nested in a valid class (its path continues the path of a token
+   of one). The tokens of valid classes are the template; what stands between
+   them are slots.
+3. On every page the template's text blocks go and the slots below the main
+   element are joined in page order. The main element is <article> or <main>; on
+   pages without either it is the outermost template container whose slots hold
+   most text outside links. Menus, headers, footers, sidebars, notices, adverts,
+   forms, scripts, styles and reader comments are left out by element and by the
+   words of class, id and role. Where the main element holds template text and no
+   slot, most of the host's pages are copies of this one: it is kept whole.
 
 Signatures are sums, so a host with a third of all pages is combined in every
-task before the shuffle. A host's template is no larger than the pages it is
-common to; it is joined to the pages by host.
+task before the shuffle. A template is no larger than the pages it is common to;
+a host's templates are joined to its pages by host.
 
 Defined cases: null or empty html gives "", 0; null urls share a host of their
 own; unclosed, crossing and unknown tags are taken as browsers take them;
@@ -116,14 +120,14 @@ class Block:
         self.text, self.path, self.out, self.main, self.linked = text, path, out, main, linked
 
 
-def parse(page: str | None) -> tuple[list[Block], list[str], bool]:
-    """Text blocks in page order, the paths of all opening tags, whether there is an article."""
+def parse(page: str | None) -> tuple[list[Block], list[str], str]:
+    """Text blocks in page order, the paths of all opening tags, the path of the first article ("" without)."""
     blocks: list[Block] = []
     tags: list[str] = []
     stack: list[tuple[str, str, bool, bool]] = []  # tag, path, left out, in main
     parts: list[str] = []
     linked = 0
-    has_main = False
+    main = ""
 
     def flush():
         nonlocal linked
@@ -201,10 +205,16 @@ def parse(page: str | None) -> tuple[list[Block], list[str], bool]:
             parts.append(" ")
         path = f"{above[1]}/{what}" + ("." + ".".join(words) if words else "")
         tags.append(path)
-        has_main |= what in MAIN and not (above[2] or own)
+        if not main and what in MAIN and not (above[2] or own):
+            main = path
         stack.append((what, path, above[2] or own, above[3] or what in MAIN))
     flush()
-    return blocks, tags, has_main
+    return blocks, tags, main
+
+
+def layout_of(tags: list[str], main: str) -> int:
+    """Pages of a host with equal layouts share the path of the article, or else their outer elements."""
+    return number("article", main) if main else number("outer", *sorted({t for t in tags if t.count("/") <= 3}))
 
 
 def tokens_of(blocks: list[Block], tags: list[str]) -> dict[int, tuple[int, str]]:
@@ -220,33 +230,35 @@ def tokens_of(blocks: list[Block], tags: list[str]) -> dict[int, tuple[int, str]
 
 
 def token_vectors(pages: DataFrame) -> DataFrame:
-    """(host, token, path, pages, occurrences, signature): a token's occurrence vector, summed.
+    """(host, layout, token, path, pages, occurrences, signature): a token's occurrence vector, summed.
 
-    Token 0 counts the host's pages."""
-    schema = "host string, token long, path string, pages long, occurrences long, signature long"
-    arrow = pa.schema([("host", pa.string()), ("token", pa.int64()), ("path", pa.string()), ("pages", pa.int64()),
-                       ("occurrences", pa.int64()), ("signature", pa.int64())])
+    Layout 0 is the whole host. Token 0 counts the pages."""
+    schema = "host string, layout long, token long, path string, pages long, occurrences long, signature long"
+    arrow = pa.schema([("host", pa.string()), ("layout", pa.int64()), ("token", pa.int64()), ("path", pa.string()),
+                       ("pages", pa.int64()), ("occurrences", pa.int64()), ("signature", pa.int64())])
 
     def table(tally):
         return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in tally], pa.string()), pa.array([k[1] for k in tally], pa.int64()),
+            [pa.array([k[0] for k in tally], pa.string()), *(pa.array([k[i] for k in tally], pa.int64()) for i in (1, 2)),
              pa.array([v[0] for v in tally.values()], pa.string()),
              *(pa.array([v[i] for v in tally.values()], pa.int64()) for i in (1, 2, 3))], schema=arrow)
 
     def run(batches):
-        tally: dict[tuple[str, int], list] = {}
+        tally: dict[tuple[str, int, int], list] = {}
         for batch in batches:
             for page_id, host, page in zip(*(c.to_pylist() for c in batch.columns)):
                 weight = number("page", str(page_id)) & 0xFFFFFFFF
-                found = tokens_of(*parse(page)[:2])
+                blocks, tags, main = parse(page)
+                found = tokens_of(blocks, tags)
                 found[0] = (1, "")
-                for token, (count, path) in found.items():
-                    row = tally.get((host, token))
-                    if row is None:
-                        row = tally[(host, token)] = [path, 0, 0, 0]
-                    row[1] += 1
-                    row[2] += count
-                    row[3] += count * weight
+                for layout in (0, layout_of(tags, main)):
+                    for token, (count, path) in found.items():
+                        row = tally.get((host, layout, token))
+                        if row is None:
+                            row = tally[(host, layout, token)] = [path, 0, 0, 0]
+                        row[1] += 1
+                        row[2] += count
+                        row[3] += count * weight
             if len(tally) > TALLY_ROWS:
                 yield table(tally)
                 tally = {}
@@ -254,32 +266,44 @@ def token_vectors(pages: DataFrame) -> DataFrame:
             yield table(tally)
 
     return (pages.select("page_id", "host", "html").mapInArrow(run, schema)
-            .groupBy("host", "token").agg(F.min("path").alias("path"), F.sum("pages").alias("pages"),
+            .groupBy("host", "layout", "token").agg(F.min("path").alias("path"), F.sum("pages").alias("pages"),
                                           F.sum("occurrences").alias("occurrences"),
                                           F.sum(F.col("signature") % F.lit(1 << 61)).alias("signature")))
 
 
 def templates(pages: DataFrame, support: float = SUPPORT, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, tokens): hashes of the tokens of the host's valid classes."""
+    """(host, layouts, tokens): hashes of the tokens of the host's valid classes, each with its layout (0: all)."""
     vectors = scratch_table(token_vectors(pages).where((F.col("token") == 0) | (F.col("pages") >= min_pages)), "vectors")
-    sizes = vectors.where("token = 0").select("host", F.col("pages").alias("host_pages"))
-    common = (vectors.where("token <> 0").join(sizes, "host")
-              .where((F.col("pages") >= min_pages) & (F.col("pages") >= support * F.col("host_pages"))))
-    classes = common.groupBy("host", "pages", "occurrences", "signature").agg(F.count(F.lit(1)).alias("size"))
-    classed = common.join(classes, ["host", "pages", "occurrences", "signature"])
-    valid = classed.where("size >= 2").select("host", "path").distinct()
+    group = ["host", "layout"]
+    sizes = vectors.where("token = 0").select(*group, F.col("pages").alias("all_pages"))
+    common = (vectors.where("token <> 0").join(sizes, group)
+              .where((F.col("pages") >= min_pages) & (F.col("pages") >= support * F.col("all_pages"))))
+    classes = common.groupBy(*group, "pages", "occurrences", "signature").agg(F.count(F.lit(1)).alias("size"))
+    classed = common.join(classes, [*group, "pages", "occurrences", "signature"])
+    valid = classed.where("size >= 2").select(*group, "path").distinct()
     parent = F.regexp_replace("path", "/[^/]*$", "")
     single = (classed.where("size < 2").withColumn("parent", parent)
-              .join(valid.withColumnRenamed("path", "parent"), ["host", "parent"], "left_semi"))
-    nested = classed.where("size >= 2").select("host", "token").unionByName(single.select("host", "token"))
-    # as many tokens as stand on nearly every page of the host at most
-    return nested.groupBy("host").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-
-
-def main_text(page: str | None, template: frozenset) -> str:
-    blocks, tags, has_main = parse(page)
-    if has_main:
-        return " ".join(b.text for b in blocks if b.main and not b.out)
+              .join(valid.withColumnRenamed("path", "parent"), [*group, "parent"], "left_semi"))
+    nested = classed.where("size >= 2").select(*group, "token").unionByName(single.select(*group, "token"))
+    # a token of the whole host is listed once, whatever its layouts; then there are as many tokens as
+    # stand on nearly every page of the host, or of one of its layouts, at most
+    once = (nested.groupBy("host", "token")
+            .agg(F.min("layout").alias("least"), F.collect_set("layout").alias("layouts"))
+            .select("host", "token", F.explode(F.when(F.col("least") == 0, F.array("least"))
+                                               .otherwise(F.col("layouts"))).alias("layout")))
+    return (once.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("layout", "token"))).alias("all"))
+            .select("host", F.col("all.layout").alias("layouts"), F.col("all.token").alias("tokens")))
+
+
+def main_text(page: str | None, template: frozenset | dict[int, frozenset]) -> str:
+    """The page's slots; a template by layout holds the tokens of the whole host in each."""
+    blocks, tags, main = parse(page)
+    if isinstance(template, dict):
+        template = template.get(layout_of(tags, main), template[0])
+    if main:
+        inside = [b for b in blocks if b.main and not b.out]
+        slots = [b for b in inside if number("text", b.path, b.text) not in template] if template else inside
+        return " ".join(b.text for b in slots or inside)
     slots = [b for b in blocks if not b.out and number("text", b.path, b.text) not in template]
     fixed = [t for t in dict.fromkeys(tags) if number("tag", t) in template] if template else []
     total = sum(len(b.text) for b in slots if not b.linked)
@@ -291,6 +315,14 @@ def main_text(page: str | None, template: frozenset) -> str:
     return " ".join(b.text for b in slots if not best or b.path == best or b.path.startswith(best + "/"))
 
 
+def by_layout(layouts: list[int], tokens: list[int]) -> dict[int, frozenset]:
+    """Layout -> its template, that of the whole host (layout 0) included."""
+    own: dict[int, set] = {0: set()}
+    for layout, token in zip(layouts, tokens):
+        own.setdefault(layout, set()).add(token)
+    return {layout: frozenset(own[0] | mine) for layout, mine in own.items()}
+
+
 def extract(pages: DataFrame, support: float = SUPPORT, min_pages: int = MIN_PAGES) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
     prepare(pages.sparkSession)
@@ -298,17 +330,17 @@ def extract(pages: DataFrame, support: float = SUPPORT, min_pages: int = MIN_PAG
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"),
                         F.col("html").cast("string")).withColumn("host", host)
     found = scratch_table(templates(rows, support, min_pages), "templates")  # small tables are then broadcast by size
-    joined = rows.join(found, "host", "left").select("page_id", "url", "html", "host", "tokens")
+    joined = rows.join(found, "host", "left").select("page_id", "url", "html", "host", "layouts", "tokens")
     arrow = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches):
-        known: tuple[str | None, frozenset] = (None, frozenset())
+        known: tuple[str | None, dict[int, frozenset]] = (None, {0: frozenset()})
         for batch in batches:
             texts = []
-            hosts, tokens = batch.column("host").to_pylist(), batch.column("tokens")
+            hosts, layouts, tokens = batch.column("host").to_pylist(), batch.column("layouts"), batch.column("tokens")
             for i, page in enumerate(batch.column("html")):
                 if hosts[i] != known[0]:
-                    known = (hosts[i], frozenset(tokens[i].as_py() or ()))
+                    known = (hosts[i], by_layout(layouts[i].as_py() or [], tokens[i].as_py() or []))
                 texts.append(main_text(page.as_py(), known[1]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url").cast(pa.string()), pa.array(texts, pa.string()),

@@ -237,6 +237,17 @@ def test_html_template(spark):
     assert html_template.extract(df.limit(0)).count() == 0
 
 
+def test_html_notice_in_article(spark):
+    """Text of the template goes from articles too, whatever its class; also where one layout of many has it."""
+    page = "<body><main class='{0}'><h1>Title {1}</h1><p class=x>House line of {0}.</p><p>Text {1}.</p></main></body>"
+    rows = [(i, "http://h.example/", page.format("ab"[i % 2], i)) for i in range(14)]
+    rows += [(20 + i, "http://copies.example/", "<body><article><p>All the same.</p></article></body>") for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in html_template.extract(df).collect()}
+    assert all(out[i] == f"Title {i} Text {i}." for i in range(14))
+    assert all(out[20 + i] == "All the same." for i in range(6))  # no slot: the page is kept
+
+
 def test_decontamination(spark, docs, empty):
     bench = spark.createDataFrame([(1, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11"), (2, "Apache LICENSE"), (3, None), (None, "one"), (4, ""),
                                    (2, "Apache LICENSE"), (5, "one")], "item_id long, text string")
