@@ -13,9 +13,10 @@
    have met in a register): their sites are counted exactly. Lines with fewer
    occurrences cannot be spread. The outcome equals exact counting.
 3. Spread lines are taken out of every document but the first that has them
-   (smallest doc_id). A document that consists of spread lines for more than
-   ``most`` of its characters is a copy of another rather than a page with
-   boilerplate; it is left whole, for near-duplicate removal.
+   (smallest doc_id). A document without any other line, whose whole text is also
+   that of another document, is a full copy: it is left whole, for near-duplicate
+   removal. ``report`` follows its SQL instead, which leaves every document whole
+   that consists of spread lines for more than ``most`` of its characters.
 
 Defined cases: null text counts as empty; null sites are no site; a null doc_id
 is never the first to have a line; repeated rows are treated alike; line breaks
@@ -76,23 +77,40 @@ def spread_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SIT
                          F.coalesce(F.col("d") != F.col("first"), F.lit(True)).alias("remove"))
 
 
-def remove_spread(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, most: float = MOST) -> DataFrame:
-    """All columns of the documents, with ``text`` cleaned, and __n_lines, __n_removed."""
+def remove_spread(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES,
+                  most: float | None = None) -> DataFrame:
+    """All columns of the documents, with ``text`` cleaned, and __n_lines, __n_removed.
+
+    With ``most``, documents are left whole by their share of spread characters, not as full copies."""
     prepare(docs.sparkSession)
     # identical rows (same id, same text) are cleaned alike: their positions are gathered as a set
     marked = (spread_lines(docs, site, min_sites)
-              .groupBy("d", "k").agg(F.collect_set(F.struct("pos", "chars", "remove")).alias("__spread"))
-              .select(F.col("d").alias("__d"), F.col("k").alias("__k"), "__spread"))
+              .groupBy("d", "k").agg(F.collect_set(F.struct("pos", "chars", "remove")).alias("__spread"),
+                                     F.count(F.lit(1)).alias("__n"))
+              .select(F.col("d").alias("__d"), F.col("k").alias("__k"), "__spread", "__n"))
+    if most is None:
+        marked = scratch_table(marked, "marked")
+        nameless = F.when(F.col("__d").isNull(), F.col("__n") / F.size("__spread")).otherwise(0)
+        copied = (marked.groupBy("__k").agg(F.min("__d").alias("low"), F.max("__d").alias("high"), F.sum(nameless).alias("nameless"))
+                  .where((F.col("nameless") + F.when(F.col("high").isNull(), 0).when(F.col("low") < F.col("high"), 2).otherwise(1)) >= 2)
+                  .select("__k", F.lit(True).alias("__copied")))
+        marked = marked.join(scratch_table(copied, "copied"), "__k", "left")
+    else:
+        marked = marked.withColumn("__copied", F.lit(False))
 
     @F.pandas_udf(_CLEANED)
-    def clean(text: pd.Series, spread: pd.Series) -> pd.DataFrame:
+    def clean(text: pd.Series, spread: pd.Series, copied: pd.Series) -> pd.DataFrame:
         texts, removed = [], []
-        for t, marks in zip(text, spread):
+        for t, marks, copy in zip(text, spread, copied):
             n = 0
             if t is not None and marks is not None and len(marks):
                 lines = t.split("\n")
-                chars = sum(len(x.strip(" ")) for x in lines)
-                if sum(m["chars"] for m in marks) <= most * chars:
+                if most is None:
+                    seen = {m["pos"] for m in marks}
+                    whole = copy and not any(x.strip(" ") for i, x in enumerate(lines) if i not in seen)
+                else:
+                    whole = sum(m["chars"] for m in marks) > most * sum(len(x.strip(" ")) for x in lines)
+                if not whole:
                     gone = {m["pos"] for m in marks if m["remove"]}
                     n = len(gone)
                     t = "\n".join(x for i, x in enumerate(lines) if i not in gone) if n else t
@@ -102,7 +120,8 @@ def remove_spread(docs: DataFrame, site: str = "source", min_sites: int = MIN_SI
 
     own = docs.select("*", F.col("doc_id").cast("long").alias("__d0"), text_key(whole_text()).alias("__k0"))
     joined = own.join(marked, F.col("__d0").eqNullSafe(F.col("__d")) & (F.col("__k0") == F.col("__k")), "left")
-    done = joined.withColumn("__clean", clean(F.col("text").cast("string"), F.col("__spread")))
+    done = joined.withColumn("__clean", clean(F.col("text").cast("string"), F.col("__spread"),
+                                                F.coalesce("__copied", F.lit(False))))
     return done.select(
         *[F.col("__clean.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
         F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long").alias("__n_lines"),

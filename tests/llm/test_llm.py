@@ -98,6 +98,18 @@ def test_line_spread(spark, docs, empty):
     assert line_spread.report(empty).count() == 0
 
 
+def test_line_dedup_of_short_pages(spark, empty):
+    """Boilerplate goes from pages that are mostly boilerplate; full copies alone are left to near-dedup."""
+    foot = "a footer that is longer than the page's own words"
+    rows = [(i, f"own {i}\n{foot}", f"s{i}") for i in range(8)] + [(30, foot, "s1"), (31, f"{foot}\n ", "s2")]
+    rows += [(40 + i, f"one page\n{foot}", f"s{i}") for i in range(6)] + [(None, foot + "\n\n", "s3")] * 2
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("lang", F.lit("en"))
+    out = collections.Counter((r.doc_id, r.text) for r in corpus_pipeline.line_dedup(spark, docs, SF0001).collect())
+    want = [(0, f"own 0\n{foot}")] + [(i, f"own {i}") for i in range(1, 8)] + [(30, ""), (31, " ")]
+    want += [(40 + i, f"one page\n{foot}") for i in range(6)] + [(None, foot + "\n\n")] * 2
+    assert out == collections.Counter(want)
+
+
 def test_license_scan(docs, empty):
     out = license_scan.scan(docs).collect()
     assert len(out) == len(ROWS)
