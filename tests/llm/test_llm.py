@@ -307,6 +307,20 @@ def test_near_duplicates(spark, docs, empty, k):
     assert fss_neardup.link(empty, k=k).count() == 0
 
 
+def test_near_dedup_rows(spark, empty):
+    """Rows are counted, not ids: repeated rows, null ids and two texts under one id."""
+    a, b, c = ("".join(f"{x}{i} " for i in range(30)) for x in "abc")
+    rows = [(4, "one")] * 5 + [(5, a)] * 3 + [(6, a), (None, a), (None, b), (None, b), (None, b + "end"), (7, c), (7, a)]
+    rows += [(8, None)] * 2 + [(9, ""), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "*", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.char_length("text").cast("long").alias("n_chars"))
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, SF0001).collect()]
+    noid = [t for i, t in out if i is None]
+    assert len(noid) == 2 and None in noid and {b, b + "end"} & set(noid)
+    assert collections.Counter(r for r in out if r[0] is not None) == \
+        collections.Counter([(4, "one"), (5, a), (7, c), (8, None), (9, "")])
+
+
 def test_sketch_estimates_similarity():
     a = np.unique(fss_neardup.mix(np.arange(1, 900, dtype=np.uint64)))
     b = np.unique(fss_neardup.mix(np.arange(101, 1000, dtype=np.uint64)))
