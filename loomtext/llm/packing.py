@@ -8,7 +8,8 @@
    sums of one, two and three lengths: a combination whose sum is exactly the
    gap is consumed as often as the availability counts allow. What no
    combination completes is filled best-fit, longest fitting length first,
-   ending again in an exact complement where there is one. Each step gives a
+   ending again in an exact complement where there is one. A second plan is
+   best fit alone; the plan with fewer sequences is taken. Each step gives a
    pattern (lengths side by side) and how many sequences take it.
 3. Pieces of one length get ranks (counts per hashed slice, running sums over
    the slices, row numbers inside a slice: no length is ever one task's work),
@@ -181,7 +182,16 @@ class Shelf:
 
 
 def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of a sequence in order, number of such sequences), covering all counts."""
+    """(lengths of a sequence in order, number of such sequences), covering all counts.
+
+    Exact combinations of small pieces starve the gaps of long pieces where these are many, and leave less
+    room unused where they are few: of both plans the one with fewer sequences is taken."""
+    plans = [completed(counts, capacity), best_fit(Shelf(counts, capacity), capacity, exact=False)]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def completed(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Exact combinations of up to four lengths, longest first, then best fit."""
     shelf, out = Shelf(counts, capacity), []
     for length in range(capacity, 0, -1):  # exact completions
         while shelf.count[length]:
@@ -194,11 +204,18 @@ def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
             if not rest:
                 break
             out.append(((length, *rest), shelf.take((length, *rest))))
-    while (length := shelf.largest(capacity)):  # best fit for the rest
+    return out + best_fit(shelf, capacity, exact=True)
+
+
+def best_fit(shelf: Shelf, capacity: int, exact: bool) -> list[tuple[tuple[int, ...], int]]:
+    """What is on the shelf, longest first and the longest that fits behind it; ``exact`` prefers a
+    combination that is exactly the gap."""
+    out = []
+    while (length := shelf.largest(capacity)):
         pattern, gap = [length], capacity - length
         shelf.count[length] -= 1
         while gap:
-            rest = shelf.complement(gap) or ((fit,) if (fit := shelf.largest(gap)) else ())
+            rest = exact and shelf.complement(gap) or ((fit,) if (fit := shelf.largest(gap)) else ())
             if not rest:
                 break
             pattern += rest

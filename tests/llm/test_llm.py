@@ -1,4 +1,5 @@
 """Training-data operators: edge cases and brute force on small tables."""
+import bisect
 import collections
 import hashlib
 import re
@@ -185,6 +186,26 @@ def test_packing_plan():
     assert sum(n for _, n in plan) <= 1.01 * total / 2048 + 1
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_packing_plan_of_long_pieces(seed):
+    """Half of the lengths need a sequence each: no more sequences than best-fit decreasing."""
+    lengths = sorted(np.random.default_rng(seed).integers(1, 2049, 5000).tolist(), reverse=True)
+    counts = dict(collections.Counter(lengths))
+    plan = packing.plan_patterns(dict(counts))
+    used = collections.Counter()
+    for pattern, times in plan:
+        assert sum(pattern) <= 2048 and times > 0
+        for x in pattern:
+            used[x] += times
+    assert used == counts
+    gaps: list[int] = []  # sorted room of the sequences
+    for x in lengths:
+        at = bisect.bisect_left(gaps, x)
+        room = gaps.pop(at) if at < len(gaps) else 2048
+        bisect.insort(gaps, room - x)
+    assert sum(n for _, n in plan) <= len(gaps)
+
+
 def test_token_counts(docs, empty):
     t = Tokenizer.from_file(BYTE)
     out = token_counts.count_tokens(docs, BYTE, limit=8, prefixes=True).collect()
