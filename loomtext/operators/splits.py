@@ -35,14 +35,15 @@ def _assign(pos: str, n_train, n_val):
 
 def stratified_split(df: DataFrame, label: str, id_col: str, train_pct: int = 70,
                      seed: int = SEED, out: str = "split") -> DataFrame:
-    """Exact per-label 70/15/15 shares in a seeded order."""
+    """Exact per-label 70/15/15 shares in a seeded order; a null label is a label too."""
     keyed = df.withColumn("__k", seeded_key(id_col, seed))
     counts = df.groupBy(label).agg(F.count("*").alias("__n"))
     ranked = position(keyed, ["__k", id_col], "__pos", partition=[label], digest=True)
     # one row per label: tiny, broadcast is bounded by the label count
-    joined = ranked.join(F.broadcast(counts), [label])
+    counts = counts.withColumnRenamed(label, "__label")
+    joined = ranked.join(F.broadcast(counts), F.col(label).eqNullSafe(F.col("__label")))
     n_train, n_val = _cuts("__n", train_pct)
-    return joined.withColumn(out, _assign("__pos", n_train, n_val)).drop("__k", "__n", "__pos")
+    return joined.withColumn(out, _assign("__pos", n_train, n_val)).drop("__k", "__n", "__pos", "__label")
 
 
 def group_split(df: DataFrame, group: str, train_pct: int = 70, seed: int = SEED,

@@ -86,7 +86,14 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str | int,
           .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.withColumn("__off", F.coalesce(F.sum("__tot").over(wo), F.lit(0))) \
         .drop("__tot")
-    res = local.join(offsets, ["__slice", *part], "inner")
+    # null-safe on the group: rows of a null group are a group like any other
+    offsets = offsets.select(F.col("__slice").alias("__slice_o"), "__off",
+                             *[F.col(c).alias(f"__part_{i}") for i, c in enumerate(part)])
+    on = F.col("__slice") == F.col("__slice_o")
+    for i, c in enumerate(part):
+        on = on & F.col(c).eqNullSafe(F.col(f"__part_{i}"))
+    res = (local.join(offsets, on, "inner")
+           .select(*[F.col(f"`{c}`") for c in [*part, *(c for c in local.columns if c not in part)]], "__off"))
     expr = F.col("__local") + F.col("__off")
     if not inclusive:
         expr = expr - F.col("__v")

@@ -181,6 +181,21 @@ def test_prefix_sum_hot_group_matches_window(spark):
     assert sorted(r.p for r in pos.collect()) == list(range(3000))
 
 
+def test_null_groups_are_groups(spark):
+    df = spark.range(600).select(F.col("id").alias("o"), F.when(F.col("id") % 3 > 0, F.col("id") % 2).alias("g"),
+                                 F.md5(F.col("id").cast("string")).alias("m"))
+    w = Window.partitionBy("g")
+    for order, digest in ((["o"], False), (["m", "o"], True)):
+        got = position(df, order, "p", partition=["g"], slices=8, digest=digest).withColumn("e", F.row_number().over(w.orderBy(*order)))
+        assert got.count() == 600 and got.where("p <> e").count() == 0
+    s = SP.stratified_split(df, "g", "o")
+    shares = {(r.g, r.split): r["count"] for r in s.groupBy("g", "split").count().collect()}
+    assert shares == {(g, x): n for g in (None, 0, 1) for x, n in (("train", 140), ("val", 30), ("test", 30))}
+    lines = spark.createDataFrame([(None, 1, "1 your persona: a"), (None, 2, "2 your persona: b"), ("f", 1, "1 your persona: c")],
+                                  "file string, n int, line string")
+    assert sorted(r.fact for r in R.persona_blocks(lines, "file", ["n"], "line").collect()) == ["a", "b", "c"]
+
+
 def test_stratified_split_shares_and_disjoint_groups(spark):
     df = spark.createDataFrame([(i, i % 4 == 0) for i in range(400)], "id long, y boolean")
     s = SP.stratified_split(df, "y", "id")
