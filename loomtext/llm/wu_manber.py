@@ -9,10 +9,13 @@ The patterns are the benchmark items' windows of ``width`` consecutive words
 * buckets keyed by the last block of the patterns (the block with shift zero);
 * the patterns themselves, which confirm a candidate by direct comparison.
 
-Documents are searched where they lie (no shuffle of texts). The benchmark is
-sent to the workers in blocks of at most ``block_chars`` characters of item
-text, one pass over the documents per block, so that what a worker holds is
-bounded however large the benchmark is.
+Documents are searched where they lie. The benchmark is compiled and sent to the
+workers in blocks of at most ``block_chars`` characters of item text (an item is
+never cut), one pass over the documents per block: a pass writes its hits by text
+to the checkpoint folder and its tables are dropped before the next block, so
+that what the driver and a worker hold is bounded however large the benchmark
+is. Hits of several passes are merged by text and joined to the documents; with
+one block there is one pass and no shuffle of texts.
 
 Defined cases: a null or wordless text has no words and no hits; a null or
 wordless item has no window; a repeated item row counts once per distinct
@@ -22,13 +25,14 @@ other columns of the documents are ignored.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare
+from .common import prepare, scratch_table
 
 WIDTH = 10
 BLOCK_CHARS = 8_000_000  # of item text in one pass; about 100 times that in a worker's tables at most
@@ -126,13 +130,38 @@ def _blocks(benchmark: DataFrame, block_chars: int):
     yield rows
 
 
+def _text_hashes():
+    return F.xxhash64("__text"), F.xxhash64(F.lit(17), "__text")
+
+
+def _block_hits(texts: DataFrame, block: list[tuple[str, str]], width: int) -> DataFrame:
+    """h1, h2 (a text with hits), starts, ends, items: one pass for one block of items, written out."""
+    classes = texts.sparkSession.sparkContext.broadcast(compile_windows(block, width))
+    arrow = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("starts", pa.list_(pa.int64())),
+                       ("ends", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for h1, h2, text in zip(*(batch.column(i) for i in range(3))):
+                spans, found = scan(words_of(text.as_py()), classes.value)
+                if spans:
+                    rows.append({"h1": h1.as_py(), "h2": h2.as_py(), "starts": [s for s, _ in spans],
+                                 "ends": [e for _, e in spans], "items": sorted(found)})
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    h1, h2 = _text_hashes()
+    hits = scratch_table(texts.select(h1.alias("h1"), h2.alias("h2"), "__text").mapInArrow(
+        run, "h1 long, h2 long, starts array<long>, ends array<long>, items array<string>"), "block")
+    classes.destroy()
+    return hits
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
                block_chars: int = BLOCK_CHARS, extra: tuple[str, ...] = ()) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans (the hit
     words as runs [start, end)), and the ``extra`` columns of the documents."""
     spark = prepare(docs.sparkSession)
-    blocks = [spark.sparkContext.broadcast(compile_windows(rows, width))
-              for rows in _blocks(benchmark, block_chars)]
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("__text"),
                        *(F.col(c) for c in extra))
     schema = T.StructType([kept.schema["doc_id"]] + T._parse_datatype_string(
@@ -142,23 +171,44 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
                        ("items_sha256", pa.string()), ("contaminated", pa.bool_()),
                        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
-    def run(batches):
+    def rows_of(batch, hits):
+        rows = []
+        for words, (spans, found) in hits:
+            n_hit = sum(e - s for s, e in spans)
+            digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+            rows.append({"n_words": len(words), "n_hit": n_hit,
+                         "n_items": len(found), "items_sha256": digest, "contaminated": n_hit > 0,
+                         "spans": [{"start": s, "end": e} for s, e in spans]})
+        out = pa.RecordBatch.from_pylist(rows, schema=arrow)
+        return pa.RecordBatch.from_arrays([batch.column(0), *out.columns, *batch.columns[2:2 + len(extra)]], names=schema.names)
+
+    blocks = _blocks(benchmark, block_chars)
+    block, following = next(blocks), next(blocks, None)
+    if following is None:
+        classes = spark.sparkContext.broadcast(compile_windows(block, width))
+
+        def run(batches):
+            for batch in batches:
+                texts = (words_of(t.as_py()) for t in batch.column(1))
+                yield rows_of(batch, ((words, scan(words, classes.value)) for words in texts))
+
+        return kept.mapInArrow(run, schema)
+
+    parts = []
+    while block is not None:
+        parts.append(_block_hits(kept.select("__text"), block, width))
+        block, following = following, next(blocks, None)
+    merged = scratch_table(reduce(DataFrame.unionByName, parts).groupBy("h1", "h2").agg(
+        F.flatten(F.collect_set(F.arrays_zip("starts", "ends"))).alias("__runs"),
+        F.array_distinct(F.flatten(F.collect_set("items"))).alias("__items")), "hits")
+    h1, h2 = _text_hashes()
+    joined = kept.join(merged, (h1 == F.col("h1")) & (h2 == F.col("h2")), "left").select(
+        *kept.columns, F.col("__runs.starts").alias("__starts"), F.col("__runs.ends").alias("__ends"), "__items")
+
+    def gather(batches):
         for batch in batches:
-            rows = []
-            for text in batch.column(1):
-                words = words_of(text.as_py())
-                spans, found = [], set()
-                for block in blocks:
-                    s, f = scan(words, block.value)
-                    spans += s
-                    found |= f
-                spans = merge(spans)
-                n_hit = sum(e - s for s, e in spans)
-                digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
-                rows.append({"n_words": len(words), "n_hit": n_hit,
-                             "n_items": len(found), "items_sha256": digest, "contaminated": n_hit > 0,
-                             "spans": [{"start": s, "end": e} for s, e in spans]})
-            out = pa.RecordBatch.from_pylist(rows, schema=arrow)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *out.columns, *batch.columns[2:]], names=schema.names)
-
-    return kept.mapInArrow(run, schema)
+            marks = [batch.column(c).to_pylist() for c in ("__starts", "__ends", "__items")]
+            yield rows_of(batch, ((words_of(t.as_py()), (merge(list(zip(s or (), e or ()))), set(items or ())))
+                                  for t, s, e, items in zip(batch.column(1), *marks)))
+
+    return joined.mapInArrow(gather, schema)

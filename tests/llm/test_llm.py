@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark import Broadcast
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -295,6 +296,28 @@ def test_decontamination(spark, docs, empty):
     assert wu_manber.find_leaks(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontamination_holds_one_block(spark, monkeypatch):
+    """A pass per block: no block's tables are with the workers while the next one's are."""
+    context, alive, most = type(spark.sparkContext), set(), []
+    send, drop = context.broadcast, Broadcast.destroy
+
+    def broadcast(self, value):
+        out = send(self, value)
+        alive.add(id(out))
+        most.append(len(alive))
+        return out
+
+    monkeypatch.setattr(context, "broadcast", broadcast)
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: (alive.discard(id(self)), drop(self, *a))[1])
+    bench = spark.createDataFrame([(i, f"x{i} y{i} z{i}") for i in range(4)], "item_id long, text string")
+    rows = [(1, "a x0 y0 z0 x3 y3 z3 b x1 y1 z1"), (1, "a x0 y0 z0 x3 y3 z3 b x1 y1 z1"), (2, None), (None, "x2 y2 z2"), (3, "x2 y2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = wu_manber.find_leaks(docs, bench, block_chars=8, extra=("text",)).collect()
+    assert len(most) == 4 and max(most) == 1
+    assert sorted(repr((r.doc_id, r.n_hit, r.n_items, [tuple(s) for s in r.spans], r.text)) for r in out) == sorted(map(repr, [
+        (1, 9, 3, [(1, 7), (8, 11)], rows[0][1])] * 2 + [(2, 0, 0, [], None), (None, 3, 1, [(0, 3)], "x2 y2 z2"), (3, 0, 0, [], "x2 y2")]))
+
+
 def near_classes(rows, k):
     def shingles(t):
         w = [x for x in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if x]
