@@ -12,7 +12,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.prefix import prefix_sum
+from ..plans.prefix import prefix_sum, prefix_sums
+from ..session import written_table
 
 
 def _grid(spark, labels: Sequence) -> DataFrame:
@@ -96,10 +97,10 @@ def score_counts(df: DataFrame, y: str, score: str) -> DataFrame:
 def roc_curve(df: DataFrame, y: str, score: str, digits: int = 6) -> DataFrame:
     """H6: one point per distinct score (descending thresholds): cumulative
     true/false positive rates of ``score >= threshold``."""
-    sc = score_counts(df, y, score)
+    # the scoring lineage runs once: totals and running sums read the counts
+    sc = written_table(score_counts(df, y, score), "scores")
     # rows scoring >= s = all rows minus those below s (ascending prefix)
-    cum = prefix_sum(sc, ["score"], "pos", "__pb", inclusive=False)
-    cum = prefix_sum(cum, ["score"], "neg", "__nb", inclusive=False)
+    cum = prefix_sums(sc, ["score"], {"__pb": "pos", "__nb": "neg"}, inclusive=False)
     P, N = _totals(sc)
     return (cum.withColumn("P", F.lit(P)).withColumn("N", F.lit(N))
             .withColumn("tp", F.col("P") - F.col("__pb")).withColumn("fp", F.col("N") - F.col("__nb"))
@@ -167,9 +168,11 @@ def binary_summary(df: DataFrame, y: str, score: str, t: float = 0.5, model: str
     den = 2 * F.col("tp") + F.col("fp") + F.col("fn")
     f1 = F.when(den > 0, 2 * F.col("tp") / den).otherwise(0.0)
     acc = (F.col("n") - F.col("fp") - F.col("fn")) / F.col("n")
-    auc_value = roc_auc(df, y, score, 12).first()["auc"]
-    return (c.withColumn("auc", F.lit(auc_value).cast("double"))
-            .select(F.lit(model).alias("model"), F.round(acc, digits).alias("accuracy"),
+    counts = c.columns
+    # two one-row tables side by side: stacked, then the one value of every column
+    both = c.unionByName(roc_auc(df, y, score, 12), allowMissingColumns=True)
+    c = both.agg(*[F.max(k).alias(k) for k in [*counts, "auc"]])
+    return (c.select(F.lit(model).alias("model"), F.round(acc, digits).alias("accuracy"),
                     F.round(prec, digits).alias("precision"), F.round(rec, digits).alias("recall"),
                     F.round(f1, digits).alias("f1"), F.round("auc", digits).alias("auc")))
 

@@ -108,9 +108,10 @@ def shuffle_rows(df: DataFrame, id_col: str, seed: int = SEED) -> DataFrame:
     return df.withColumn("__k", seeded_key(id_col, seed)).orderBy("__k", id_col).drop("__k")
 
 
-def assign_row_id(df: DataFrame, order: Sequence[str], out: str = "row_id") -> DataFrame:
-    """Sequential ids 0..N-1 in ``order`` without a single-task window."""
-    return position(df, list(order), out, start=0)
+def assign_row_id(df: DataFrame, order: Sequence[str], out: str = "row_id", digest: bool = False) -> DataFrame:
+    """Sequential ids 0..N-1 in ``order`` without a single-task window; ``digest``: the order begins
+    with a hex digest (a seeded order)."""
+    return position(df, list(order), out, start=0, digest=digest)
 
 
 def persona_fact(line: Column | str) -> Column:

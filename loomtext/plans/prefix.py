@@ -3,57 +3,31 @@
 A window ``sum(x) over (partition by g order by o)`` puts a whole group in one
 task; a global ``row_number() over (order by o)`` puts the whole table in
 one task. Here rows are cut into slices of the ``(g, o)`` key space instead:
-each slice computes running sums over its own rows, a small table of
-per-slice totals (one row per slice and group) yields the offsets, and a
-join adds them back. A group holding a third of all rows spans many slices.
-
-An order that begins with an md5 digest (every seeded order) is cut by the
-digest's leading hex digits: they are uniform, cost the same per row on any
-cluster and need no job. For other orders slice bounds come from a bounded
-sample of keys taken once on the driver and are applied as a pure expression
-of the key. The slice of a row is
-therefore the same in every branch of the plan and after any recomputation
-(a ``spark_partition_id`` after a range shuffle is not: two exchanges sample
-their own bounds).
+a small table of totals (one row per slice and group) yields the offset at which
+a group goes on in a slice, and a join on (slice, group) adds it to what runs
+inside the slice. A group holding a third of all rows spans many slices.
+
+Two ways to slice, neither of which grows the plan with the number of slices:
+
+* An order that begins with an md5 digest (every seeded order) is cut by the
+  digest's leading hex digits: uniform, the same per row on any cluster, no job.
+* Any other order is range-partitioned and sorted by Spark, and the rows are
+  written once, with their partition and place in it, as a scratch table in the
+  shared checkpoint folder. Slice and place are then stored values, the same in
+  every branch of the plan and after any recomputation (``spark_partition_id``
+  read twice is not: two exchanges sample their own bounds).
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism
+from ..session import default_parallelism, written_table
 
-SAMPLE_PER_SLICE = 40
 HEX_DIGITS = 3  # 4096 slices per partition of a digest order
-
-
-def _slice_expr(df: DataFrame, keys: Sequence[str], n: int) -> Column:
-    key = F.struct(*[F.col(k) for k in keys])
-    # a degenerate slice must not be a literal: Catalyst would fold the
-    # slice join into a nested-loop join
-    zero = (F.xxhash64(*[F.col(k) for k in keys]) * 0).cast("int")
-    total = df.count()
-    if total == 0 or n <= 1:
-        return zero
-    frac = min(1.0, SAMPLE_PER_SLICE * n / total)
-    # bounded: about SAMPLE_PER_SLICE * n keys reach the driver
-    sample = (df.select(key.alias("k")).sample(False, frac, seed=17)
-              .orderBy("k").limit(SAMPLE_PER_SLICE * n * 2).collect())
-    ks = [r.k for r in sample]
-    if not ks:
-        return zero
-    bounds = []
-    for i in range(1, n):
-        b = ks[min(len(ks) - 1, (len(ks) * i) // n)]
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    expr = zero
-    for b in bounds:
-        lit = F.struct(*[F.lit(v).cast(df.schema[k].dataType).alias(k) for k, v in zip(keys, b)])
-        expr = expr + (key > lit).cast("int")
-    return expr
+_ROW_BITS = 33  # monotonically_increasing_id: partition above, row below
 
 
 def _digest_slice(c: str) -> Column:
@@ -61,43 +35,61 @@ def _digest_slice(c: str) -> Column:
     return F.coalesce(F.conv(F.substring(F.col(c), 1, HEX_DIGITS), 16, 10).cast("int"), F.lit(-1))
 
 
-def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str | int,
-               out: str, partition: Sequence[str] = (), slices: int | None = None,
-               inclusive: bool = True, digest: bool = False) -> DataFrame:
-    """Add column ``out`` = running sum of ``value`` in ascending ``order``
-    within ``partition``. ``order`` (column names) must be a total order
-    within a partition (append an id to break ties). ``digest`` says that
-    ``order`` begins with a column of lower-case hex digests."""
+def _cells(df: DataFrame, keys: Sequence[str], slices: int | None) -> DataFrame:
+    """The rows in order of ``keys``, with __slice and __row (place in the slice, from 0)."""
     spark = df.sparkSession
-    n = slices or max(8, default_parallelism(spark))
-    part = list(partition)
-    order = list(order)
-    if isinstance(value, int):
-        val = F.lit(value).cast("long")
-    else:
-        val = F.col(value) if isinstance(value, str) else value
-    base = df.withColumn("__v", val)
-    base = base.withColumn("__slice", _digest_slice(order[0]) if digest else _slice_expr(base, part + order, n))
-    w = (Window.partitionBy("__slice", *part).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = base.withColumn("__local", F.sum("__v").over(w))
-    totals = base.groupBy("__slice", *part).agg(F.sum("__v").alias("__tot"))
-    wo = (Window.partitionBy(*part).orderBy("__slice")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.withColumn("__off", F.coalesce(F.sum("__tot").over(wo), F.lit(0))) \
-        .drop("__tot")
-    # null-safe on the group: rows of a null group are a group like any other
-    offsets = offsets.select(F.col("__slice").alias("__slice_o"), "__off",
-                             *[F.col(c).alias(f"__part_{i}") for i, c in enumerate(part)])
+    n = slices or max(default_parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cols = [F.col(f"`{k}`") for k in keys]
+    placed = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+              .withColumn("__at", F.monotonically_increasing_id()))
+    table = written_table(placed, "cells")
+    return table.select(*[c for c in table.columns if c != "__at"],
+                        F.shiftright("__at", _ROW_BITS).cast("int").alias("__slice"),
+                        F.col("__at").bitwiseAND((1 << _ROW_BITS) - 1).alias("__row"))
+
+
+def _join_totals(rows: DataFrame, totals: DataFrame, part: Sequence[str]) -> DataFrame:
+    """The totals of a row's (slice, group) beside the row; a null group is a group like any other."""
+    sums = totals.select(F.col("__slice").alias("__slice_o"), *[F.col(c).alias(f"__part_{i}") for i, c in enumerate(part)],
+                         *[c for c in totals.columns if c not in ("__slice", *part)])
     on = F.col("__slice") == F.col("__slice_o")
     for i, c in enumerate(part):
         on = on & F.col(c).eqNullSafe(F.col(f"__part_{i}"))
-    res = (local.join(offsets, on, "inner")
-           .select(*[F.col(f"`{c}`") for c in [*part, *(c for c in local.columns if c not in part)]], "__off"))
-    expr = F.col("__local") + F.col("__off")
-    if not inclusive:
-        expr = expr - F.col("__v")
-    return res.withColumn(out, expr).drop("__v", "__local", "__off", "__slice")
+    return rows.join(sums, on, "inner").drop("__slice_o", *[f"__part_{i}" for i in range(len(part))])
+
+
+def prefix_sums(df: DataFrame, order: Sequence[str], values: Mapping[str, Column | str | int],
+                partition: Sequence[str] = (), slices: int | None = None,
+                inclusive: bool = True, digest: bool = False) -> DataFrame:
+    """Add, for every item of ``values``, a column of that name: the running sum of the value in ascending
+    ``order`` within ``partition``, nulls first. ``order`` (column names) must be a total order within a
+    partition (append an id to break ties). ``digest`` says that ``order`` begins with a column of lower-case
+    hex digests. Rows of a null group are a group like any other."""
+    part, order, outs = list(partition), list(order), list(values)
+    columns = df.columns
+    exprs = [F.lit(v).cast("long") if isinstance(v, int) else F.col(v) if isinstance(v, str) else v
+             for v in values.values()]
+    base = df.select("*", *[e.alias(f"__v{i}") for i, e in enumerate(exprs)])
+    if digest:
+        base, inside = base.withColumn("__slice", _digest_slice(order[0])), order
+    else:
+        base, inside = _cells(base, part + order, slices), ["__row"]
+    w = (Window.partitionBy("__slice", *part).orderBy(*inside).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = base.select("*", *[F.sum(f"__v{i}").over(w).alias(f"__s{i}") for i in range(len(outs))])
+    totals = base.groupBy("__slice", *part).agg(*[F.sum(f"__v{i}").alias(f"__t{i}") for i in range(len(outs))])
+    before = Window.partitionBy(*part).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__slice", *part, *[F.coalesce(F.sum(f"__t{i}").over(before), F.lit(0)).alias(f"__o{i}")
+                                                for i in range(len(outs))])
+    res = _join_totals(local, offsets, part)
+    sums = [F.col(f"__s{i}") + F.col(f"__o{i}") - (F.lit(0) if inclusive else F.col(f"__v{i}")) for i in range(len(outs))]
+    return res.select(*[F.col(f"`{c}`") for c in columns if c not in outs], *[s.alias(o) for s, o in zip(sums, outs)])
+
+
+def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str | int,
+               out: str, partition: Sequence[str] = (), slices: int | None = None,
+               inclusive: bool = True, digest: bool = False) -> DataFrame:
+    """``prefix_sums`` of one value."""
+    return prefix_sums(df, order, {out: value}, partition, slices, inclusive, digest)
 
 
 def position(df: DataFrame, order: Sequence[str], out: str,
@@ -105,7 +97,14 @@ def position(df: DataFrame, order: Sequence[str], out: str,
              start: int = 1, digest: bool = False) -> DataFrame:
     """Dense 1-based (or ``start``-based) position in ``order`` within
     ``partition``; equal to ``row_number()`` for a total order."""
-    res = prefix_sum(df, order, 1, out, partition, slices, digest=digest)
-    if start != 1:
-        res = res.withColumn(out, F.col(out) - F.lit(1 - start))
-    return res
+    part = list(partition)
+    if digest:
+        res = prefix_sums(df, order, {out: 1}, part, slices, digest=True)
+        return res.withColumn(out, F.col(out) + F.lit(start - 1)) if start != 1 else res
+    # places in a slice are stored: no window over the rows
+    base = _cells(df, part + list(order), slices)
+    totals = base.groupBy("__slice", *part).agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
+    before = Window.partitionBy(*part).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__slice", *part, "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    at = F.col("__row") - F.col("__first") + F.col("__off") + F.lit(start).cast("long")
+    return _join_totals(base, offsets, part).select(*[F.col(f"`{c}`") for c in df.columns if c != out], at.alias(out))

@@ -90,7 +90,7 @@ def q_query_sample(spark, d):
 SELECT doc_id, row_number() OVER (ORDER BY {MD5_DOC}, doc_id) - 1 AS row_id FROM documents""")
 def q_shuffle(spark, d):
     docs = Tables(spark, d).documents.select("doc_id").withColumn("__k", R.seeded_key("doc_id"))
-    return R.assign_row_id(docs, ["__k", "doc_id"]).select("doc_id", "row_id")
+    return R.assign_row_id(docs, ["__k", "doc_id"], digest=True).select("doc_id", "row_id")
 
 
 @query("assign_row_id", """

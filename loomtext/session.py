@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,6 +77,15 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def written_table(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back: what is
+    stored stays the same in every branch of a plan, and a lost executor costs a re-read."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/loomtext-{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that Python workers
     can import it wherever the driver was started."""

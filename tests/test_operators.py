@@ -16,7 +16,7 @@ from loomtext.operators import rows as R
 from loomtext.operators import splits as SP
 from loomtext.operators import vectors as V
 from loomtext.sources import io as IO
-from loomtext.plans.prefix import position, prefix_sum
+from loomtext.plans.prefix import position, prefix_sum, prefix_sums
 
 
 def test_dedup_first_source_wins(spark):
@@ -357,3 +357,24 @@ def test_logreg_separates_fixture(spark):
     scored = M.score_binary(model, feats)
     auc = C.roc_auc(scored, "y", "prob").first().auc
     assert auc > 0.95
+
+
+def test_positions_in_any_number_of_slices(spark):
+    """Nothing in the plan or on the driver grows with the number of slices."""
+    rows = [(i % 7 if i % 5 else None, (i * 7919) % 20011, i % 3) for i in range(20000)]
+    df = spark.createDataFrame(rows, "g long, o long, v long").withColumn("pos", F.lit("x"))
+    sizes = set()
+    for n in (8, 400, 5000):
+        got = position(df, ["o"], "p", start=0, slices=n)
+        sizes.add(len(got._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+        ranked = {r.o: r.p for r in got.collect()}
+        assert [ranked[o] for o in sorted(ranked)] == list(range(20000))
+        if n == 8:
+            sums = prefix_sums(df, ["o"], {"a": "v", "b": 1}, partition=["g"], slices=n, inclusive=False)
+            want = {}
+            run = {}
+            for g, o, v in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+                want[g, o] = run.get(g, (0, 0))
+                run[g] = (want[g, o][0] + v, want[g, o][1] + 1)
+            assert {(r.g, r.o): (r.a, r.b) for r in sums.collect()} == want
+    assert len(sizes) == 1
