@@ -15,8 +15,9 @@
 3. Spread lines are taken out of every document but the first that has them
    (smallest doc_id). A document without any other line, whose whole text is also
    that of another document, is a full copy: it is left whole, for near-duplicate
-   removal. ``report`` follows its SQL instead, which leaves every document whole
-   that consists of spread lines for more than ``most`` of its characters.
+   removal.
+
+DataFrame operations only.
 
 Defined cases: null text counts as empty; null sites are no site; a null doc_id
 is never the first to have a line; repeated rows are treated alike; line breaks
@@ -27,17 +28,12 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import prepare, scratch_table, text_key, whole_text
 
 MIN_SITES = 5
-MOST = 0.5
-
-_CLEANED = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_removed", T.LongType())])
 
 
 def _sketch_plan(min_sites: int) -> tuple[float, int]:
@@ -48,18 +44,17 @@ def _sketch_plan(min_sites: int) -> tuple[float, int]:
 
 
 def _lines(docs: DataFrame, site: str) -> DataFrame:
-    """d, k (document), pos, site, h1, h2, chars of every line that isn't blank."""
+    """d, k (document), pos, site, h1, h2 of every line that isn't blank."""
     line = F.trim("line")
     return (docs.select(F.col("doc_id").cast("long").alias("d"), whole_text().alias("t"),
                         F.col(site).cast("string").alias("site"))
             .select("d", text_key(F.col("t")).alias("k"), "site", F.posexplode_outer(F.split("t", "\n", -1)).alias("pos", "line"))
             .where(line != "")
-            .select("d", "k", "pos", "site", F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(17), line).alias("h2"),
-                    F.char_length("line").alias("chars")))
+            .select("d", "k", "pos", "site", F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(17), line).alias("h2")))
 
 
 def spread_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """Occurrences of spread lines: d, k, pos, chars, remove (not in the line's first document)."""
+    """Occurrences of spread lines: d, k, pos, remove (not in the line's first document)."""
     rsd, sure = _sketch_plan(min_sites)
     lines = _lines(docs, site)
     often = (lines.groupBy("h1", "h2")
@@ -73,62 +68,44 @@ def spread_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SIT
     near = scratch_table(near.select("h1", "h2"), "near")
     spread = held.where(F.col("estimate") >= sure).unionByName(
         held.where(F.col("estimate") < sure).join(near, ["h1", "h2"], "left_semi").select(held.columns))
-    return spread.select("d", "k", "pos", "chars",
+    return spread.select("d", "k", "pos",
                          F.coalesce(F.col("d") != F.col("first"), F.lit(True)).alias("remove"))
 
 
-def remove_spread(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES,
-                  most: float | None = None) -> DataFrame:
-    """All columns of the documents, with ``text`` cleaned, and __n_lines, __n_removed.
-
-    With ``most``, documents are left whole by their share of spread characters, not as full copies."""
+def remove_spread(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+    """All columns of the documents, with ``text`` cleaned, and __n_lines, __n_removed."""
     prepare(docs.sparkSession)
     # identical rows (same id, same text) are cleaned alike: their positions are gathered as a set
     marked = (spread_lines(docs, site, min_sites)
-              .groupBy("d", "k").agg(F.collect_set(F.struct("pos", "chars", "remove")).alias("__spread"),
-                                     F.count(F.lit(1)).alias("__n"))
+              .groupBy("d", "k").agg(F.collect_set(F.struct("pos", "remove")).alias("__spread"), F.count(F.lit(1)).alias("__n"))
               .select(F.col("d").alias("__d"), F.col("k").alias("__k"), "__spread", "__n"))
-    if most is None:
-        marked = scratch_table(marked, "marked")
-        nameless = F.when(F.col("__d").isNull(), F.col("__n") / F.size("__spread")).otherwise(0)
-        copied = (marked.groupBy("__k").agg(F.min("__d").alias("low"), F.max("__d").alias("high"), F.sum(nameless).alias("nameless"))
-                  .where((F.col("nameless") + F.when(F.col("high").isNull(), 0).when(F.col("low") < F.col("high"), 2).otherwise(1)) >= 2)
-                  .select("__k", F.lit(True).alias("__copied")))
-        marked = marked.join(scratch_table(copied, "copied"), "__k", "left")
-    else:
-        marked = marked.withColumn("__copied", F.lit(False))
-
-    @F.pandas_udf(_CLEANED)
-    def clean(text: pd.Series, spread: pd.Series, copied: pd.Series) -> pd.DataFrame:
-        texts, removed = [], []
-        for t, marks, copy in zip(text, spread, copied):
-            n = 0
-            if t is not None and marks is not None and len(marks):
-                lines = t.split("\n")
-                if most is None:
-                    seen = {m["pos"] for m in marks}
-                    whole = copy and not any(x.strip(" ") for i, x in enumerate(lines) if i not in seen)
-                else:
-                    whole = sum(m["chars"] for m in marks) > most * sum(len(x.strip(" ")) for x in lines)
-                if not whole:
-                    gone = {m["pos"] for m in marks if m["remove"]}
-                    n = len(gone)
-                    t = "\n".join(x for i, x in enumerate(lines) if i not in gone) if n else t
-            texts.append(t)
-            removed.append(n)
-        return pd.DataFrame({"text": texts, "n_removed": removed})
+    marked = scratch_table(marked, "marked")
+    nameless = F.when(F.col("__d").isNull(), F.col("__n") / F.size("__spread")).otherwise(0)
+    copied = (marked.groupBy("__k").agg(F.min("__d").alias("low"), F.max("__d").alias("high"), F.sum(nameless).alias("nameless"))
+              .where((F.col("nameless") + F.when(F.col("high").isNull(), 0).when(F.col("low") < F.col("high"), 2).otherwise(1)) >= 2)
+              .select("__k", F.lit(True).alias("__copied")))
+    marked = marked.drop("__n").join(scratch_table(copied, "copied"), "__k", "left")
 
     own = docs.select("*", F.col("doc_id").cast("long").alias("__d0"), text_key(whole_text()).alias("__k0"))
     joined = own.join(marked, F.col("__d0").eqNullSafe(F.col("__d")) & (F.col("__k0") == F.col("__k")), "left")
-    done = joined.withColumn("__clean", clean(F.col("text").cast("string"), F.col("__spread"),
-                                                F.coalesce("__copied", F.lit(False))))
-    return done.select(
-        *[F.col("__clean.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long").alias("__n_lines"),
-        F.col("__clean.n_removed").alias("__n_removed"))
-
-
-def report(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, most: float = MOST) -> DataFrame:
+    # positions by set difference, so that a text of many spread lines costs no more than its lines
+    spread = F.coalesce("__spread", F.array().cast("array<struct<pos:int,remove:boolean>>"))
+    parts = joined.select("*", F.split(F.col("text").cast("string"), "\n", -1).alias("__lines"),
+                          F.transform(spread, lambda m: m["pos"]).alias("__seen"),
+                          F.transform(F.filter(spread, lambda m: m["remove"]), lambda m: m["pos"]).alias("__gone"))
+    every = F.sequence(F.lit(0), F.size("__lines") - 1)
+    line = lambda i: F.element_at("__lines", i + 1)
+    has_own = F.exists(F.array_except(every, "__seen"), lambda i: F.trim(line(i)) != "")
+    parts = parts.withColumn("__cut", (F.size("__gone") > 0) & ~(F.coalesce("__copied", F.lit(False)) & ~has_own))
+    kept = F.array_join(F.transform(F.array_except(every, "__gone"), line), "\n")
+    text = F.when(F.col("__cut"), kept).otherwise(F.col("text").cast("string"))
+    return parts.select(
+        *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines")).cast("long").alias("__n_lines"),
+        F.when(F.col("__cut"), F.size("__gone")).otherwise(0).cast("long").alias("__n_removed"))
+
+
+def report(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """doc_id, n_lines, n_removed, text: every document after the removal."""
-    done = remove_spread(docs.select("doc_id", "text", F.col(site).alias("source")), "source", min_sites, most)
+    done = remove_spread(docs.select("doc_id", "text", F.col(site).alias("source")), "source", min_sites)
     return done.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), "text")

@@ -62,10 +62,12 @@ u AS (SELECT r, doc_id, source, unnest(range(1, len(ls) + 1)) AS i, ls FROM d),
 l AS (SELECT r, doc_id, source, i, trim(ls[i], ' ') AS line FROM u),
 s AS (SELECT line, min(doc_id) AS first FROM l WHERE line <> '' GROUP BY line
       HAVING count(DISTINCT source) >= {line_spread.MIN_SITES}),
-m AS (SELECT r, sum(length(l.line)) AS chars, sum(CASE WHEN s.line IS NOT NULL THEN length(l.line) ELSE 0 END) AS marked
-      FROM l LEFT JOIN s USING (line) GROUP BY r),
-g AS (SELECT r, i FROM l JOIN s USING (line) JOIN m USING (r)
-      WHERE marked <= {line_spread.MOST} * chars AND coalesce(doc_id <> first, true)),
+own AS (SELECT DISTINCT r FROM l LEFT JOIN s USING (line) WHERE line <> '' AND s.line IS NULL),
+copies AS (SELECT coalesce(text, '') AS t FROM documents GROUP BY 1
+           HAVING count(DISTINCT doc_id) + count(*) FILTER (WHERE doc_id IS NULL) >= 2),
+whole AS (SELECT r FROM d WHERE coalesce(text, '') IN (SELECT t FROM copies) AND r NOT IN (SELECT r FROM own)),
+g AS (SELECT r, i FROM l JOIN s USING (line)
+      WHERE r NOT IN (SELECT r FROM whole) AND coalesce(doc_id <> first, true)),
 k AS (SELECT u.r, string_agg(u.ls[u.i], chr(10) ORDER BY u.i) AS kept, count(g.i) AS gone
       FROM u LEFT JOIN g ON u.r = g.r AND u.i = g.i GROUP BY u.r),
 c AS (SELECT u.r, string_agg(u.ls[u.i], chr(10) ORDER BY u.i) AS kept
