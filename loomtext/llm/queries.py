@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import (chat_rotation, fingerprint, fss_neardup, html_template, license_scan, line_spread, packing, pu_quality,
+from . import (chat_rotation, conversation_repair, fingerprint, fss_neardup, html_template, license_scan, line_spread, packing, pu_quality,
                token_counts, wu_manber)
 from .common import read_table
 
@@ -48,9 +48,13 @@ def op10_near_duplicates(spark, sf_dir):
     return fss_neardup.link(read_table(spark, sf_dir, "documents"), k=2)
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return conversation_repair.repair(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fingerprint, op2_line_spread, op3_license_scan, op4_chat_rotation, op5_packing, op6_token_counts, op7_quality,
-    op8_html_text, op9_decontamination, op10_near_duplicates)}
+    op8_html_text, op9_decontamination, op10_near_duplicates, op11_conversation_repair)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"

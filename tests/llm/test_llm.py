@@ -395,3 +395,11 @@ def test_pipeline(spark, docs, empty):
         assert stage(spark, empty, SF0001).count() == 0
         assert stage(spark, docs.select(*corpus_pipeline.COLUMNS, "k", "pos", "score"), SF0001).count() >= 0
     assert corpus_pipeline.run(spark, SF0001).count() > 0
+
+
+def test_line_spread_of_long_texts(spark):
+    """Tens of thousands of spread lines in one text cost no more than its lines."""
+    lines = [f"shared line {i}" for i in range(40000)]
+    rows = [(i, "\n".join(lines) + f"\nown {i}", f"s{i}") for i in range(6)]
+    out = {r.doc_id: (r.n_removed, r.text) for r in line_spread.report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert out[0] == (0, rows[0][1]) and all(out[i] == (40000, f"own {i}") for i in range(1, 6))
