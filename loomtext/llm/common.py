@@ -1,9 +1,11 @@
 """Shared helpers of the training-data operators."""
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,3 +75,26 @@ def gathered(batches, chars: int):
             ids, texts, n = [], [], 0
     if ids:
         yield ids, texts
+
+
+def stream_sha(separator: str):
+    """Over Arrow batches of (key, piece) in order: (key, sha), the SHA-256 of a key's pieces joined by the separator.
+    A key may run over any number of batches; what is held is one batch."""
+    out = pa.schema([("key", pa.string()), ("sha", pa.string())])
+
+    def run(batches):
+        key = sha = None
+        for batch in batches:
+            done = []
+            for k, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if k == key and sha is not None:
+                    sha.update((separator + piece).encode())
+                    continue
+                if sha is not None:
+                    done.append({"key": key, "sha": sha.hexdigest()})
+                key, sha = k, hashlib.sha256(piece.encode())
+            yield pa.RecordBatch.from_pylist(done, schema=out)
+        if sha is not None:
+            yield pa.RecordBatch.from_pylist([{"key": key, "sha": sha.hexdigest()}], schema=out)
+
+    return run

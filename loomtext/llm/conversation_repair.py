@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.prefix import position
-from .common import prepare, scratch_table
+from .common import prepare, scratch_table, stream_sha
 
 CHUNK = 64
 FAN = 32
@@ -292,26 +292,6 @@ def _long(chunks: DataFrame, last_chunk: int) -> tuple[DataFrame, DataFrame]:
     return best.drop("sizes"), edits
 
 
-def _stream_sha(batches):
-    """SHA-256 per key of pieces that come in order, newline-joined; null pieces are none."""
-    key = sha = None
-    out = pa.schema([("key", pa.string()), ("sha", pa.string())])
-    some = False
-    for batch in batches:
-        done = []
-        for k, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if k != key:
-                if sha is not None:
-                    done.append({"key": key, "sha": sha.hexdigest()})
-                key, sha, some = k, hashlib.sha256(), False
-            if piece is not None:
-                sha.update((b"\n" if some else b"") + piece.encode())
-                some = True
-        yield pa.RecordBatch.from_pylist(done, schema=out)
-    if sha is not None:
-        yield pa.RecordBatch.from_pylist([{"key": key, "sha": sha.hexdigest()}], schema=out)
-
-
 def _line(own: Column) -> Column:
     """What stands for an item in the result, null where nothing does."""
     empty = lambda roles: F.transform(roles, lambda r: F.concat(r, F.lit(":")))
@@ -334,7 +314,7 @@ def _repaired(rows: DataFrame, items: DataFrame, edits: DataFrame) -> DataFrame:
     short = pieces.where("NOT long").select("key", F.sha2("piece", 256).alias("sha"))
     # a hash is made in order: one task a conversation, a batch of pieces at a time
     fed = pieces.where("long").repartition("key").sortWithinPartitions("key", "chunk").select("key", "piece")
-    return short.unionByName(fed.mapInArrow(_stream_sha, "key string, sha string"))
+    return short.unionByName(fed.mapInArrow(stream_sha("\n"), "key string, sha string"))
 
 
 def repair(conversations: DataFrame) -> DataFrame:

@@ -3,8 +3,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import (chat_rotation, conversation_repair, fingerprint, fss_neardup, html_template, license_scan, line_spread, packing, pu_quality,
-               token_counts, wu_manber)
+from . import (chat_rotation, conversation_repair, conversation_trie, fingerprint, fss_neardup, html_template, license_scan,
+               line_spread, packing, piece_codec, pu_quality, token_counts, wu_manber)
 from .common import read_table
 
 
@@ -52,9 +52,18 @@ def op11_conversation_repair(spark, sf_dir):
     return conversation_repair.repair(read_table(spark, sf_dir, "conversations"))
 
 
+def op12_conversation_trie(spark, sf_dir):
+    return conversation_trie.prefix_nodes(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_piece_codec(spark, sf_dir):
+    return piece_codec.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fingerprint, op2_line_spread, op3_license_scan, op4_chat_rotation, op5_packing, op6_token_counts, op7_quality,
-    op8_html_text, op9_decontamination, op10_near_duplicates, op11_conversation_repair)}
+    op8_html_text, op9_decontamination, op10_near_duplicates, op11_conversation_repair, op12_conversation_trie,
+    op13_piece_codec)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
-from loomtext.llm import conversation_repair, queries
+from loomtext.llm import conversation_repair, conversation_trie, queries
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 WHITE = " \t\n\x0b\x0c\r"
@@ -142,3 +142,67 @@ def test_search_is_exact(seed):
     code = {"blank": 1, "duplicate": 1, "truncated": 2, "": 0}
     items = [(r[1][:1], code[f], 1) for r, f in zip(rows, found)]
     assert conversation_repair.solve(items) == cheapest(rows, found)[:2]
+
+
+# ---------------------------------------------------------------- prefix trie
+
+def trie(rows):
+    """Every node by brute force: (conv_id, depth, parent's, n_convs, n_children, n_leaves, saved_tokens, ends)."""
+    convs = {}
+    for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0)):
+        convs.setdefault(r[0], []).append((r[2] or "", r[3] or ""))
+    rebuilt = {}
+    for c, own in convs.items():
+        h = 0 if c is None else zlib.crc32(str(c).encode()) % 6
+        rebuilt[c] = ([] if c is None else convs.get(c - c % 100, [])[:h]) + own[h:]
+    order = lambda c: (c is None, c or 0)
+    nodes = {}
+    for c, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            nodes.setdefault(tuple(turns[:d]), []).append(c)
+    kids = {}
+    for seq in nodes:
+        if seq:
+            kids.setdefault(seq[:-1], []).append(seq)
+    totals = {}
+    for seq in sorted(nodes, key=len, reverse=True):
+        below = [totals[k] for k in kids.get(seq, ())]
+        saved = (len(nodes[seq]) - 1) * len(seq[-1][1]) if seq else 0
+        totals[seq] = (sum(b[0] for b in below) or 1, saved + sum(b[1] for b in below))
+    out = []
+    for seq, members in nodes.items():
+        ends = sorted(c for c in members if len(rebuilt[c]) == len(seq) and c is not None)
+        out.append((min(members, key=order), len(seq), min(nodes[seq[:-1]], key=order) if seq else None, len(members),
+                    len(kids.get(seq, ())), *totals[seq], sha(",".join(map(str, ends)))))
+    return sorted(out, key=repr)
+
+
+def trie_rows(df):
+    cols = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    return sorted((tuple(r[c] for c in cols) for r in conversation_trie.prefix_nodes(df).collect()), key=repr)
+
+
+def test_trie_of_given_table(spark):
+    df = spark.read.parquet(f"{SF0001}/conversations.parquet")
+    assert trie_rows(df) == trie([tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()])
+
+
+def test_trie_edges(spark, monkeypatch):
+    pick = random.Random(3)
+    rows = []
+    for conv in [*range(40), 100, 107, 250, 300]:
+        for turn in range(pick.choice([1, 2, 3, 7, 12])):
+            rows.append((conv, turn * 3, pick.choice(["user", None]), pick.choice(["a", "bb", None, "c" * 3000])))
+    rows += [(100 + i, t, "user", f"t{t}") for i in range(1, 60) for t in range(30 if i % 7 else 75)]  # shared long prefixes
+    rows += [(None, None, "user", "of nobody"), (None, 1, "user", "of nobody"), (400, 5, "user", "same")]
+    rows += [(400, 5, "user", "same")] * 20 + [(333, None, "user", "x"), (333, 0, "user", "y")]
+    want = trie(rows)
+    df = spark.createDataFrame(rows, SCHEMA)
+    for c in ("k", "c", "depth", "band", "at"):
+        df = df.withColumn(c, F.lit("x"))
+    assert trie_rows(df) == want
+    monkeypatch.setattr(conversation_trie, "BAND", 3)  # several levels of bands
+    monkeypatch.setattr(conversation_trie, "BLOCK", 4)
+    monkeypatch.setattr(conversation_trie, "ENDS_PIECE", 2)
+    assert trie_rows(df) == want
+    assert trie_rows(df.limit(0)) == []
