@@ -1,20 +1,18 @@
 """Text scalar functions as Spark Column expressions.
 
-All steps except Unicode repair and emoji naming are JVM regex/translate
-expressions, so a whole cleaner compiles into one projection inside
-whole-stage codegen. The two Python steps are Arrow ``pandas_udf`` helpers
-and can be switched off per call.
+Every step is a JVM expression, so a whole cleaner is one projection: regex and
+translate steps, table-driven rewriting (HTML entities, emoji names: the text is
+cut at what a table may know, and each cut part is looked up, longest name first)
+and, for NFKC, the normaliser of the ICU library that Spark carries.
 """
 from __future__ import annotations
 
-import html
-import re
+import html.entities
 import unicodedata
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import fixed as X
 
@@ -37,32 +35,97 @@ REPEAT_RE = r"([^\n])\1{2,}"
 NONBLANK_RE = r"[^" + X.SPACE + r"]"
 
 
+def _let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(x)`` with ``x`` evaluated once, however often ``f`` uses it."""
+    return F.transform(F.array(x), f)[0]
+
+
+def _table(pairs: dict[str, str]) -> Column:
+    """A map literal (folded once per plan)."""
+    return F.str_to_map(F.lit("\x02".join(f"{k}\x01{v}" for k, v in pairs.items())), F.lit("\x02"), F.lit("\x01"))
+
+
 # --------------------------------------------------------------------------
-# B1 Unicode repair (Python helper: stdlib html + unicodedata)
+# B1 Unicode repair
 # --------------------------------------------------------------------------
-_MOJIBAKE_HINT = re.compile("[ÃÂâ][\u0080-ÿ‘-›€ŒœŠšŸŽžƒˆ˜]")
+def cp1252_pairs() -> tuple[str, str]:
+    """The characters that cp1252 has for bytes 0x80-0x9F, and those bytes as characters."""
+    pairs = [(bytes([b]).decode("cp1252"), chr(b)) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+MOJIBAKE_RE = "[ÃÂâ][\\x{80}-ÿ‘-›€ŒœŠšŸŽžƒˆ˜]"
+CP1252_ONLY_RE = "[\\x00-\\x7F\\x{A0}-\\x{FF}" + cp1252_pairs()[0] + "]*"
+
+
+def repair_mojibake(c: ColumnOrName) -> Column:
+    """UTF-8 that was read as cp1252, read anew where the whole text allows it."""
+    src, dst = cp1252_pairs()
+
+    def repaired(v: Column) -> Column:
+        read = F.try_validate_utf8(F.encode(F.translate(v, src, dst), "ISO-8859-1").cast("string"))
+        return F.when(v.rlike(MOJIBAKE_RE) & v.rlike("\\A" + CP1252_ONLY_RE + "\\z"), F.coalesce(read, v)).otherwise(v)
+
+    return _let(col(c), repaired)
+
+
+# What may follow "&" in a character reference, and the names valid without ";" (longest first).
+REFERENCE_RE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+BARE_NAMES = sorted((k for k in html.entities.html5 if not k.endswith(";")), key=lambda k: (-len(k), k))
+BARE_RE = "^(" + "|".join(BARE_NAMES) + ")"
+
 
+def _numeric_reference(m: Column) -> Column:
+    hexa = F.regexp_extract(m, "^#[xX]0*([0-9a-fA-F]*)", 1)
+    deci = F.regexp_extract(m, "^#0*([0-9]*)", 1)
+    is_hex = m.rlike("^#[xX]")
+    code = F.when(is_hex, F.when(F.length(hexa) > 6, 0x110000).otherwise(F.conv(F.concat(F.lit("0"), hexa), 16, 10).cast("int"))) \
+        .otherwise(F.when(F.length(deci) > 7, 0x110000).otherwise(F.concat(F.lit("0"), deci).cast("int")))
+    char = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    c1, latin = cp1252_pairs()
+    nothing = (n_in(code, 0x1, 0x8) | n_in(code, 0xE, 0x1F) | n_in(code, 0x7F, 0x9F) | n_in(code, 0xFDD0, 0xFDEF)
+               | (code == 0xB) | (code.bitwiseAND(0xFFFE) == 0xFFFE))
+    return (F.when((code == 0) | n_in(code, 0xD800, 0xDFFF) | (code > 0x10FFFF), "�")
+            .when(n_in(code, 0x80, 0x9F), F.translate(char(code), latin, c1))
+            .when(nothing, "").otherwise(char(code)))
 
-def _repair_one(s: object) -> str:
-    if not isinstance(s, str):
-        return ""
-    if _MOJIBAKE_HINT.search(s):
-        try:
-            s = s.encode("cp1252").decode("utf-8")
-        except (UnicodeEncodeError, UnicodeDecodeError):
-            pass
-    s = html.unescape(s)
-    return unicodedata.normalize("NFKC", s)
 
+def n_in(n: Column, low: int, high: int) -> Column:
+    return (n >= low) & (n <= high)
 
-@F.pandas_udf(T.StringType())
-def _fix_unicode_udf(s: pd.Series) -> pd.Series:
-    return s.map(_repair_one)
+
+def unescape_entities(c: ColumnOrName) -> Column:
+    """All HTML character references: numeric, named, and names without ";" as longest prefix."""
+    names = _table(dict(html.entities.html5))
+
+    def named(m: Column) -> Column:
+        return _let(F.regexp_extract(m, BARE_RE, 1), lambda bare: F.coalesce(
+            F.try_element_at(names, m),
+            F.when(bare != "", F.concat(F.try_element_at(names, bare), F.substr(m, F.length(bare) + 1))),
+            F.concat(F.lit("&"), m)))
+
+    def part(p: Column) -> Column:
+        return _let(F.regexp_extract(p, REFERENCE_RE, 1), lambda m: F.concat(
+            F.when(m == "", "&").when(m.startswith("#"), _numeric_reference(m)).otherwise(named(m)),
+            F.substr(p, F.length(m) + 1)))
+
+    def whole(v: Column) -> Column:
+        return F.when(v.contains("&"), _let(F.split(v, "&", -1), lambda a: F.concat(
+            a[0], F.array_join(F.transform(F.slice(a, 2, F.size(a)), part), "")))).otherwise(v)
+
+    return _let(col(c), whole)
+
+
+def compatibility_form(c: ColumnOrName) -> Column:
+    """NFKC; null stays null."""
+    t = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.coalesce(col(c), F.lit("")), F.lit(True))
+    return F.when(col(c).isNotNull(), t)
 
 
 def fix_unicode(c: ColumnOrName) -> Column:
-    """B1: non-string -> '', UTF-8-read-as-cp1252 repair, HTML entities, NFKC."""
-    return _fix_unicode_udf(col(c))
+    """B1: null -> '', UTF-8-read-as-cp1252 repair, HTML entities, NFKC."""
+    t = unescape_entities(repair_mojibake(F.coalesce(col(c), F.lit(""))))
+    return F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), t, F.lit(True))
 
 
 # Entity subset expressible in SQL (used by the oracle-checked query).
@@ -110,46 +173,50 @@ def mask_contacts(c: ColumnOrName) -> Column:
 # B7 contractions (fixed rule list, JVM regex)
 # --------------------------------------------------------------------------
 def expand_contractions(c: ColumnOrName) -> Column:
-    out = col(c)
-    for pat, rep in X.CONTRACTIONS:
-        out = F.regexp_replace(out, pat, rep)
-    # rows without an apostrophe skip the chain (CASE is lazy in the JVM)
-    return F.when(col(c).rlike("['’]"), out).otherwise(col(c))
+    def chain(v: Column) -> Column:
+        out = v
+        for pat, rep in X.CONTRACTIONS:
+            out = F.regexp_replace(out, pat, rep)
+        return out
+
+    # rows without an apostrophe skip the chain
+    return _let(col(c), lambda v: F.when(v.rlike("['’]"), chain(v)).otherwise(v))
 
 
 # --------------------------------------------------------------------------
 # B8/B9 emoji (names from the Unicode database)
 # --------------------------------------------------------------------------
-EMOJI_CLASS = r"[\x{2600}-\x{27BF}\x{1F000}-\x{1FAFF}]"
-_EMOJI_PY = re.compile("([☀-➿\U0001f000-\U0001faff])️?")
-
+EMOJI_RANGES = ((0x2194, 0x2199), (0x21A9, 0x21AA), (0x231A, 0x231B), (0x2328, 0x2328), (0x23CF, 0x23CF), (0x23E9, 0x23FA),
+                (0x25AA, 0x25AB), (0x25B6, 0x25B6), (0x25C0, 0x25C0), (0x25FB, 0x25FE), (0x2600, 0x27BF), (0x2934, 0x2935),
+                (0x2B05, 0x2B07), (0x2B1B, 0x2B1C), (0x2B50, 0x2B50), (0x2B55, 0x2B55), (0x3030, 0x3030), (0x303D, 0x303D),
+                (0x1F000, 0x1FAFF))
+_EMOJI_SET = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in EMOJI_RANGES)
+EMOJI_CLASS = f"[{_EMOJI_SET}]"
+EMOJI_TAIL = r"\x{FE0F}?\x{200D}?"  # variation selector, joiner to the next emoji
 
-def _emoji_name(m: re.Match) -> str:
-    name = unicodedata.name(m.group(1), None)
-    if name is None:
-        return m.group(0)
-    return " :" + name.lower().replace(" ", "_").replace("-", "_") + ": "
 
+def emoji_names() -> dict[str, str]:
+    """Emoji -> ' :unicode_name: '."""
+    named = ((chr(cp), unicodedata.name(chr(cp), None)) for a, b in EMOJI_RANGES for cp in range(a, b + 1))
+    return {ch: " :" + n.lower().replace(" ", "_").replace("-", "_") + ": " for ch, n in named if n}
 
-def _demojize_one(s: object) -> object:
-    if not isinstance(s, str):
-        return s
-    return _EMOJI_PY.sub(_emoji_name, s)
 
+def emoji_to_text(c: ColumnOrName) -> Column:
+    """Emoji -> ' :unicode_name: '; of joined ones every part is named."""
+    parts = f"{EMOJI_CLASS}{EMOJI_TAIL}|[^{_EMOJI_SET}]+"
+    names = _table(emoji_names())
 
-@F.pandas_udf(T.StringType())
-def _demojize_udf(s: pd.Series) -> pd.Series:
-    return s.map(_demojize_one)
-
+    def named(v: Column) -> Column:
+        told = F.transform(F.regexp_extract_all(v, F.lit(parts), F.lit(0)),
+                           lambda p: F.coalesce(F.try_element_at(names, F.substring(p, 1, 1)), p))
+        return F.when(v.rlike(EMOJI_CLASS), F.array_join(told, "")).otherwise(v)
 
-def emoji_to_text(c: ColumnOrName) -> Column:
-    """Emoji -> ' :unicode_name: ' (re-aimed: single code point emoji)."""
-    return _demojize_udf(col(c))
+    return _let(col(c), named)
 
 
 def remove_emojis(c: ColumnOrName) -> Column:
-    """Delete emoji code points and a following variation selector."""
-    return F.regexp_replace(col(c), EMOJI_CLASS + r"\x{FE0F}?", "")
+    """Delete emoji code points with a following variation selector and joiner."""
+    return F.regexp_replace(col(c), EMOJI_CLASS + EMOJI_TAIL, "")
 
 
 # --------------------------------------------------------------------------
@@ -218,17 +285,10 @@ def is_blank(c: ColumnOrName) -> Column:
 # --------------------------------------------------------------------------
 # B17-B19 composed cleaners
 # --------------------------------------------------------------------------
-def _clean(c: ColumnOrName, *, keep: str, lower: bool, numbers: bool,
-           unicode_fix: bool, contractions: bool, emoji: bool) -> Column:
+def _clean(c: ColumnOrName, *, keep: str, lower: bool, numbers: bool) -> Column:
     src = col(c)
-    t = fix_unicode(src) if unicode_fix else src
-    t = mask_contacts(t)
-    t = unwrap_hashtags(mask_mentions(t))
-    if contractions:
-        t = expand_contractions(t)
-    if emoji:
-        t = emoji_to_text(t)
-    t = collapse_repeats(t)
+    t = unwrap_hashtags(mask_mentions(mask_contacts(fix_unicode(src))))
+    t = collapse_repeats(emoji_to_text(expand_contractions(t)))
     if lower:
         t = F.lower(t)
     if numbers:
@@ -237,26 +297,19 @@ def _clean(c: ColumnOrName, *, keep: str, lower: bool, numbers: bool,
     return F.when(is_blank(src), F.lit("")).otherwise(t)
 
 
-def clean_for_embeddings(c: ColumnOrName, *, unicode_fix: bool = True,
-                         contractions: bool = True, emoji: bool = True) -> Column:
+def clean_for_embeddings(c: ColumnOrName) -> Column:
     """Keeps ``<>:_-``."""
-    return _clean(c, keep=X.KEEP_EMBEDDINGS, lower=True, numbers=False,
-                  unicode_fix=unicode_fix, contractions=contractions, emoji=emoji)
+    return _clean(c, keep=X.KEEP_EMBEDDINGS, lower=True, numbers=False)
 
 
-def clean_for_classification(c: ColumnOrName, *, lower: bool = True,
-                             unicode_fix: bool = True, contractions: bool = True,
-                             emoji: bool = True) -> Column:
+def clean_for_classification(c: ColumnOrName, *, lower: bool = True) -> Column:
     """Numbers masked after lower-casing, keeps ``<>:_!?``."""
-    return _clean(c, keep=X.KEEP_CLASSIFICATION, lower=lower, numbers=True,
-                  unicode_fix=unicode_fix, contractions=contractions, emoji=emoji)
+    return _clean(c, keep=X.KEEP_CLASSIFICATION, lower=lower, numbers=True)
 
 
-def clean_for_sentiment(c: ColumnOrName, *, unicode_fix: bool = True,
-                        contractions: bool = True, emoji: bool = True) -> Column:
+def clean_for_sentiment(c: ColumnOrName) -> Column:
     """Keeps ``<>:_!?'-``."""
-    return _clean(c, keep=X.KEEP_SENTIMENT, lower=True, numbers=False,
-                  unicode_fix=unicode_fix, contractions=contractions, emoji=emoji)
+    return _clean(c, keep=X.KEEP_SENTIMENT, lower=True, numbers=False)
 
 
 CLEANERS = {

@@ -17,8 +17,6 @@ from . import sqlgen as Q
 from .q_rows import _split_sql
 from .registry import query
 
-JVM = dict(unicode_fix=False, contractions=False, emoji=False)
-
 
 @query("scan_csv", "SELECT doc_id, text, lang FROM documents")
 def q_scan_csv(spark, d):
@@ -115,38 +113,49 @@ def q_stream_clean(spark, d):
     ensure_checkpoint_dir(spark)
     sdf = RW.read_stream(spark, d, SCHEMAS["documents"], glob="documents.parquet")
     out = RW.apply_rowwise(sdf, lambda s: s.select(
-        "doc_id", TX.clean_for_classification("text", **JVM).alias("text_clean")))
+        "doc_id", TX.clean_for_classification("text").alias("text_clean")))
     path = IO.scratch_dir(spark, "stream")
     RW.run_available(out, path, path + "-ckpt")
     return spark.read.parquet(path)
 
 
 # ---------------------------------------------------------------------------
-# Python-helper text steps (rows-only: no SQL form of NFKC / emoji names)
+# Table-driven text steps
 # ---------------------------------------------------------------------------
-@query("fix_unicode")
+@query("fix_unicode", f"WITH t AS MATERIALIZED ({Q.TABLES_SQL}) SELECT page_id, {Q.fix_unicode('html')} AS html_fixed FROM pages, t")
 def q_fix_unicode(spark, d):
     p = Tables(spark, d).pages
     return p.select("page_id", TX.fix_unicode("html").alias("html_fixed"))
 
 
-@query("emoji_to_text")
+_EMOJI_SRC = "text || CASE WHEN lang = 'en' THEN ' 😀 ❤' ELSE ' 🎉' END"
+
+
+@query("emoji_to_text", f"WITH t AS MATERIALIZED ({Q.TABLES_SQL}) SELECT doc_id, {Q.emoji_to_text(_EMOJI_SRC)} AS out FROM documents, t")
 def q_emoji(spark, d):
     docs = Tables(spark, d).documents
     src = F.concat("text", F.when(F.col("lang") == "en", F.lit(" 😀 ❤")).otherwise(F.lit(" 🎉")))
     return docs.select("doc_id", TX.emoji_to_text(src).alias("out"))
 
 
-@query("expand_contractions")
+_CONTRACTED = "I'm sure it's fine, don't worry: "
+
+
+@query("expand_contractions", f"SELECT doc_id, {Q.contractions(Q.lit(_CONTRACTED) + ' || text')} AS out FROM documents")
 def q_contractions(spark, d):
     docs = Tables(spark, d).documents
-    src = F.concat(F.lit("I'm sure it's fine, don't worry: "), "text")
+    src = F.concat(F.lit(_CONTRACTED), "text")
     return docs.select("doc_id", TX.expand_contractions(src).alias("out"))
 
 
-@query("clean_full")
+_FULL = {"emb": "embeddings", "cls": "classification", "sent": "sentiment"}
+
+
+@query("clean_full", "WITH " + ", ".join(
+    Q.clean_cte("(SELECT doc_id, text || ' can''t &eacute;t&#233; ½ 😀' AS text FROM documents)", "doc_id", "text", kind, out, out)
+    for out, kind in _FULL.items()) + " SELECT doc_id, emb, cls, sent FROM emb JOIN cls USING (doc_id) JOIN sent USING (doc_id)")
 def q_clean_full(spark, d):
+    """The three cleaners on texts that every step of theirs changes."""
     docs = Tables(spark, d).documents
-    return docs.select("doc_id", TX.clean_for_embeddings("text").alias("emb"),
-                       TX.clean_for_classification("text").alias("cls"),
-                       TX.clean_for_sentiment("text").alias("sent"))
+    src = F.concat("text", F.lit(" can't &eacute;t&#233; ½ 😀"))
+    return docs.select("doc_id", *[TX.CLEANERS[kind](src).alias(out) for out, kind in _FULL.items()])

@@ -15,14 +15,13 @@ from ..operators import vectors as V
 from ..sources.tables import Tables
 from .registry import query
 
-JVM = dict(unicode_fix=False, contractions=False, emoji=False)
 VOCAB = 20_000
 LANGS = ["de", "en", "es", "fr"]
 
 
 def _features(t: Tables, label: str):
     """(id, features, label, split) from cleaned text and the exact TF-IDF."""
-    docs = t.documents.select("doc_id", TX.clean_for_classification("text", **JVM).alias("text_clean"))
+    docs = t.documents.select("doc_id", TX.clean_for_classification("text").alias("text_clean"))
     tf = V.term_counts(docs, "doc_id", "text_clean")
     n = t.documents.count()
     vocab = V.build_vocabulary(tf, n, min_df=2, max_features=VOCAB)

@@ -49,8 +49,7 @@ SELECT doc_id FROM cleaned WHERE length(text) > 50 AND
 def q_min_length(spark, d):
     docs = Tables(spark, d).documents.select("doc_id", "text")
     raw = R.min_length_filter(docs, "text", min_chars=50)
-    clean = raw.withColumn("text_clean", TX.clean_for_embeddings("text", unicode_fix=False,
-                                                                 contractions=False, emoji=False))
+    clean = raw.withColumn("text_clean", TX.clean_for_embeddings("text"))
     return R.min_length_filter(clean, "text_clean", min_chars=None, min_words=8).select("doc_id")
 
 

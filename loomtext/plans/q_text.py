@@ -13,8 +13,6 @@ from ..sources.tables import Tables
 from . import sqlgen as Q
 from .registry import query
 
-JVM = dict(unicode_fix=False, contractions=False, emoji=False)
-
 
 # ---------------------------------------------------------------------------
 # Flagship: documents -> drop null -> classification cleaner -> drop blank ->
@@ -22,7 +20,7 @@ JVM = dict(unicode_fix=False, contractions=False, emoji=False)
 # ---------------------------------------------------------------------------
 def _cleaned(t: Tables):
     docs = R.drop_null_text(t.documents.select("doc_id", "text", "source"))
-    return docs.select("doc_id", "source", TX.clean_for_classification("text", **JVM).alias("text_clean"))
+    return docs.select("doc_id", "source", TX.clean_for_classification("text").alias("text_clean"))
 
 
 def clean_dedup(t: Tables):
@@ -147,7 +145,7 @@ WITH {Q.clean_cte("documents", "doc_id", "text", kind)}
 SELECT doc_id, text_clean FROM cleaned"""
 
     def fn(spark, d):
-        return _docs(spark, d).select("doc_id", TX.CLEANERS[kind]("text", **JVM).alias("text_clean"))
+        return _docs(spark, d).select("doc_id", TX.CLEANERS[kind]("text").alias("text_clean"))
     query(name, sql)(fn)
 
 
@@ -183,7 +181,7 @@ SELECT doc_id, array_to_string({Q.lemmatize(Q.remove_stopwords(Q.tokenize('text_
 
 @query("full_tokens", FULL_TOKENS_SQL)
 def q_full_tokens(spark, d):
-    toks = TK.token_chain("text", cleaner="embeddings", **JVM)
+    toks = TK.token_chain("text", cleaner="embeddings")
     return _docs(spark, d).select("doc_id", TK.tokens_str(toks).alias("tokens_str"))
 
 
@@ -231,7 +229,7 @@ SELECT doc_id, CAST(length(text) AS BIGINT) AS len_chars,
   CAST(regexp_matches(text, {Q.lit(X.HAS_MONEY_RE)}) AS INTEGER) AS has_money
 FROM cleaned""")
 def q_scam_features(spark, d):
-    df = _docs(spark, d).withColumn("text_clean", TX.clean_for_classification("text", **JVM))
+    df = _docs(spark, d).withColumn("text_clean", TX.clean_for_classification("text"))
     df = df.withColumn("tokens_str", TK.tokens_str(TK.tokenize("text_clean")))
     len_chars, len_tokens, *flags = S.scam_features("text", "tokens_str")
     return df.select("doc_id", len_chars.cast("long").alias("len_chars"),

@@ -16,7 +16,6 @@ from . import sqlgen as Q
 from .q_rows import _split_sql
 from .registry import query
 
-JVM = dict(unicode_fix=False, contractions=False, emoji=False)
 MIN_DF, MAX_DF, MAX_FEATURES, K = 2, 0.85, 50_000, 5
 REL_T = 0.20  # relevance cut used on the driver's vectors (default 0.35)
 
@@ -26,12 +25,12 @@ REL_T = 0.20  # relevance cut used on the driver's vectors (default 0.35)
 # ---------------------------------------------------------------------------
 def doc_tokens(t: Tables):
     return t.documents.select("doc_id", TK.tokens_str(
-        TK.token_chain("text", cleaner="embeddings", **JVM)).alias("tokens_str"))
+        TK.token_chain("text", cleaner="embeddings")).alias("tokens_str"))
 
 
 def bench_tokens(t: Tables):
     return t.benchmark.select(F.col("item_id").alias("doc_id"), TK.tokens_str(
-        TK.token_chain("text", cleaner="embeddings", **JVM)).alias("tokens_str"))
+        TK.token_chain("text", cleaner="embeddings")).alias("tokens_str"))
 
 
 def doc_model(t: Tables):

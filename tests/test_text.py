@@ -1,6 +1,11 @@
 """Edge rows for the text functions (FIXTURES.md part 2) and Python parity."""
+import html
+import random
 import re
 import string
+import unicodedata
+
+import duckdb
 
 import pytest
 from hypothesis import given, settings
@@ -12,8 +17,6 @@ from loomtext.functions import scalars as S
 from loomtext.functions import text as TX
 from loomtext.functions import tokens as TK
 
-JVM = dict(unicode_fix=False, contractions=False, emoji=False)
-
 
 def apply(spark, values, fn, schema="t string"):
     df = spark.createDataFrame([(v,) for v in values], schema)
@@ -40,27 +43,27 @@ def test_collapse_repeats(spark):
 
 
 def test_numbers_after_lower_stay_upper(spark):
-    out = apply(spark, ["42 c3 7"], lambda c: TX.clean_for_classification(c, **JVM))[0]
+    out = apply(spark, ["42 c3 7"], lambda c: TX.clean_for_classification(c))[0]
     assert out == "<NUM> c3 <NUM>"
 
 
 def test_three_punctuation_keep_sets(spark):
     v = ["wow!? (x)"]
-    assert apply(spark, v, lambda c: TX.clean_for_embeddings(c, **JVM)) == ["wow x"]
-    assert apply(spark, v, lambda c: TX.clean_for_classification(c, **JVM)) == ["wow!? x"]
-    assert apply(spark, v, lambda c: TX.clean_for_sentiment(c, **JVM)) == ["wow!? x"]
+    assert apply(spark, v, lambda c: TX.clean_for_embeddings(c)) == ["wow x"]
+    assert apply(spark, v, lambda c: TX.clean_for_classification(c)) == ["wow!? x"]
+    assert apply(spark, v, lambda c: TX.clean_for_sentiment(c)) == ["wow!? x"]
 
 
 def test_blank_to_empty(spark):
-    assert apply(spark, [None, "  ", "\t\n"], lambda c: TX.clean_for_embeddings(c, **JVM)) == ["", "", ""]
+    assert apply(spark, [None, "  ", "\t\n"], lambda c: TX.clean_for_embeddings(c)) == ["", "", ""]
 
 
 def test_placeholders_lowercased(spark):
-    out = apply(spark, ["See https://x.io/a now"], lambda c: TX.clean_for_embeddings(c, **JVM))[0]
+    out = apply(spark, ["See https://x.io/a now"], lambda c: TX.clean_for_embeddings(c))[0]
     assert out == "see <url> now"
 
 
-def test_full_cleaner_python_steps(spark):
+def test_full_cleaner_table_steps(spark):
     out = apply(spark, ["I don&#39;t like it 😀 ＡＢＣ"], TX.clean_for_sentiment)[0]
     assert "do not" in out and ":grinning_face:" in out and "abc" in out
 
@@ -165,15 +168,15 @@ ALPHABET = st.sampled_from(list("aAbé ü1234567890.@#-_+()!?\n\t:x") + ["www.",
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(ALPHABET, max_size=25).map("".join), min_size=1, max_size=8))
 def test_classification_cleaner_matches_python(spark, texts):
-    got = apply(spark, texts, lambda c: TX.clean_for_classification(c, **JVM))
+    got = apply(spark, texts, lambda c: TX.clean_for_classification(c))
     assert got == [py_classify(t) for t in texts]
 
 
 @pytest.mark.parametrize("kind", ["embeddings", "sentiment"])
 def test_cleaners_idempotent(spark, kind):
     vals = ["Hello  WORLD!!! see www.x.com #tag @me 123", "soooo   gooood"]
-    once = apply(spark, vals, lambda c: TX.CLEANERS[kind](c, **JVM))
-    twice = apply(spark, once, lambda c: TX.CLEANERS[kind](c, **JVM))
+    once = apply(spark, vals, lambda c: TX.CLEANERS[kind](c))
+    twice = apply(spark, once, lambda c: TX.CLEANERS[kind](c))
     assert once == twice
 
 
@@ -181,3 +184,44 @@ def test_to_ascii_letters_without_decomposition(spark):
     df = spark.createDataFrame([("Đorđe i Łukasz, Øre, Straße, Æon, čćžš", ), (None,)], "t string")
     from loomtext.functions.text import to_ascii
     assert [r.o for r in df.select(to_ascii("t").alias("o")).collect()] == ["Dorde i Lukasz, Ore, Strasse, AEon, cczs", None]
+
+
+# --- table-driven steps against Python's own, and their SQL against both ---
+
+def repaired(s):
+    if re.search("[ÃÂâ][\u0080-ÿ‘-›€ŒœŠšŸŽžƒˆ˜]", s):
+        try:
+            s = s.encode("cp1252").decode("utf-8")
+        except (UnicodeEncodeError, UnicodeDecodeError):
+            pass
+    return unicodedata.normalize("NFKC", html.unescape(s))
+
+
+def emoji_named(s):
+    out = "".join(chr(c) for a, b in TX.EMOJI_RANGES for c in range(a, b + 1))
+    name = lambda m: next((f" :{n.lower().replace(' ', '_').replace('-', '_')}: " for n in [unicodedata.name(m[1], "")] if n), m[0])
+    return re.sub(f"([{re.escape(out)}])\ufe0f?\u200d?", name, s)
+
+
+def odd_strings(n):
+    pick = random.Random(11)
+    parts = ["&amp;", "&amp", "&ampx", "&notit;", "&notin;", "&#65;", "&#x41", "&#0;", "&#128;", "&#xD800;", "&#99999999;", "&#x110000;", "&#11;",
+             "&#xFFFE;", "&#x;", "&#;", "&", "&;", "& ", "&CounterClockwiseContourIntegral;", "&acE;", "&NotEqualTilde;", "é", "e\u0301",
+             "\u1100\u1161\u11a8", "ﬁ", "½", "Ⅷ", "ｶﾞ", "ＡＢＣ", "ế", "e\u0302\u0301", "q\u0307\u0323", "㍿", "\u00a0", "cafÃ©", "â€™", "Â£",
+             "Ã\u0081", "😀", "❤️", "👩\u200d💻", "⏰", "a", "text ", "\n", "don't ", "can't won’t ", "they'll've ", "'s"]
+    return ["".join(pick.choice(parts) for _ in range(pick.randrange(1, 9))) for _ in range(n)] + ["cafÃ© ok", "â€œquotedâ€\u009d", ""]
+
+
+def test_table_steps_match_python_and_sql(spark):
+    from loomtext.plans import sqlgen as Q
+    texts = odd_strings(600)
+    assert apply(spark, texts, TX.fix_unicode) == [repaired(s) for s in texts]
+    assert apply(spark, texts, TX.emoji_to_text) == [emoji_named(s) for s in texts]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE x (i INT, s VARCHAR)")
+    con.executemany("INSERT INTO x VALUES (?, ?)", list(enumerate(texts)))
+    sql = lambda e: [r[0] for r in con.execute(f"WITH t AS MATERIALIZED ({Q.TABLES_SQL}) SELECT {e} FROM x, t ORDER BY i").fetchall()]
+    assert sql(Q.fix_unicode("s")) == [repaired(s) for s in texts]
+    assert sql(Q.emoji_to_text("s")) == [emoji_named(s) for s in texts]
+    assert sql(Q.contractions("s")) == apply(spark, texts, TX.expand_contractions)
+    assert apply(spark, [None], TX.fix_unicode) == [""] and apply(spark, [None], TX.emoji_to_text) == [None]
