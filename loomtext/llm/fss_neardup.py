@@ -15,12 +15,17 @@
 3. Candidates are confirmed on their full sets. In every bucket all members are
    first compared with its hub, the member with most bucket mates overall (of
    copies that were edited independently, their original). What is then connected
-   need not be compared again. In buckets that still hold several components,
-   every member outside the largest one is compared with all members of other
+   need not be compared again. Members of buckets that still hold several
+   components meet over their rarest shingles, not over the bucket: sets that are
+   similar enough share one of their first ``n - ceil(n p / 100) + 1`` elements in
+   any common order, and the order taken here puts first what no other component
+   has (it pairs nobody), then the rarer ones. So documents that share much
+   boilerplate and are no duplicates never meet. Of those who meet over an element, every
+   member outside the largest component is compared with all members of other
    components, unless an exact bound refutes the pair: the parities of how many
    elements fall on each of 2048 bits differ in at most as many bits as there are
    elements that only one of the two sets has. So every candidate pair is confirmed, refuted or known to be
-   connected, without listing the pairs of a group of copies.
+   connected, without listing the pairs of a bucket.
 4. Components come from repeated minimum labels with pointer jumping, each round
    written to the shared folder.
 
@@ -179,6 +184,35 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
+def rare_prefixes(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """key, rep, component, size: the elements over which members (rep, component) may meet one of another component."""
+    held = sets.select(F.col("id").alias("rep"), "size", "elements").join(members, "rep")
+
+    def run(batches):
+        for batch in batches:
+            for rep, component, size, elements in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                x = np.frombuffer(elements, np.int64)
+                for at in range(0, len(x), 65536):  # a long text's set in several batches
+                    part = x[at:at + 65536]
+                    same = lambda v: pa.array(np.full(len(part), v))  # noqa: E731, B023
+                    yield pa.RecordBatch.from_arrays([same(rep), same(component), same(size), pa.array(part)],
+                                                     names=["rep", "component", "size", "key"])
+
+    each = scratch_table(held.select("rep", "component", "size", "elements")
+                         .mapInArrow(run, "rep long, component long, size long, key long"), "elements")
+    # an element of one component only pairs nobody, however many have it
+    across = (each.groupBy("key").agg(F.count(F.lit(1)).alias("often"), F.min("component").alias("a"), F.max("component").alias("b"))
+              .where("a < b").select("key", "often"))
+    across = scratch_table(across, "across")
+    own = (each.join(across, "key").groupBy("rep", "component", "size")
+           .agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("xs")))
+    prefix = F.col("size") - F.floor((F.col("size") * percent + 99) / 100) + 1
+    take = (prefix - (F.col("size") - F.size("xs"))).cast("int")
+    return (own.withColumn("take", take).where("take > 0")
+            .select("rep", "component", "size", F.explode(F.slice("xs", F.lit(1), F.col("take"))).alias("x"))
+            .select(F.col("x.key").alias("key"), "rep", "component", "size"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of an edge."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -226,14 +260,15 @@ def link(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, rows: int =
                            .select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v")).distinct(), "spokes")
     edges = scratch_table(confirmed(spokes, sets, percent), "confirmed")
     first = components(edges)
-    # what is left: buckets that hold several components
+    # what is left: members of buckets that hold several components, over their rarest elements
     placed = (shared.select("key", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left")
               .select("key", "rep", F.coalesce("component", "rep").alias("component")))
     open_keys = scratch_table(placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"))
                               .where("a < b").select("key"), "open")
-    placed = scratch_table(placed.join(open_keys, "key", "left_semi"), "placed")
+    members = scratch_table(placed.join(open_keys, "key", "left_semi").select("rep", "component").distinct(), "placed")
     bits = [F.get("parity", i).alias(f"p{i}") for i in range(WORDS)]
-    placed = scratch_table(placed.join(sets.select(F.col("id").alias("rep"), "size", *bits), "rep"), "placed")
+    placed = scratch_table(rare_prefixes(sets, members, percent)
+                           .join(sets.select(F.col("id").alias("rep"), *bits), "rep"), "placed")
     largest = scratch_table(placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
                             .groupBy("key").agg(F.max(F.struct("c", F.negative("component").alias("component"))).alias("m"))
                             .select("key", F.negative("m.component").alias("largest")), "largest")
