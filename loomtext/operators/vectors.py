@@ -23,7 +23,6 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import tokens as TK
 from ..plans.prefix import position
@@ -186,9 +185,38 @@ def cosine_sparse(q: DataFrame, c: DataFrame, exclude_self: bool = False, salts:
     return pairs.groupBy("qid", "cid").agg(F.sum(F.col("wq") * F.col("wc")).alias("score"))
 
 
-def sparse_topk(q: DataFrame, c: DataFrame, k: int, exclude_self: bool = False) -> DataFrame:
-    """Top-k candidates per query by sparse cosine."""
-    return topk_per_query(cosine_sparse(q, c, exclude_self), k)
+def fill_topk(top: DataFrame, queries: DataFrame, qid: str, cands: DataFrame, cid: str, k: int,
+              exclude_self: bool = False) -> DataFrame:
+    """Candidates of score 0 by ascending id where fewer than ``k`` scored, so that every query has ``k`` rows
+    when there are ``k`` candidates. Only the least ``2 k + 1`` ids can be needed: no pairing with the bank."""
+    spare = [r[0] for r in cands.select(F.col(cid).alias("c")).where("c IS NOT NULL").distinct().orderBy("c").limit(2 * k + 1).collect()]
+    if not spare:
+        return top
+    have = top.groupBy("qid").agg(F.collect_set("cid").alias("__cids"))
+    short = (queries.select(F.col(qid).alias("qid")).distinct().join(have, "qid", "left")
+             .withColumn("__cids", F.coalesce("__cids", F.array().cast("array<bigint>"))).where(F.size("__cids") < k))
+    taken = F.array_union("__cids", F.array("qid")) if exclude_self else F.col("__cids")
+    free = F.slice(F.array_except(F.array(*[F.lit(c).cast("bigint") for c in spare]), taken), F.lit(1), F.lit(k) - F.size("__cids"))
+    fill = (short.select("qid", F.size("__cids").alias("__n"), F.posexplode(free).alias("__p", "cid"))
+            .select("qid", "cid", F.lit(0.0).alias("score"), (F.col("__n") + F.col("__p") + 1).cast("int").alias("rank")))
+    return top.select("qid", "cid", "score", "rank").unionByName(fill)
+
+
+def sparse_topk(q: DataFrame, c: DataFrame, k: int, exclude_self: bool = False,
+                queries: tuple[DataFrame, str] | None = None, cands: tuple[DataFrame, str] | None = None) -> DataFrame:
+    """Top-k candidates per query by sparse cosine. With ``queries`` and ``cands`` (a table and its id
+    column) candidates without a common term rank too, at score 0, as do all of a query without terms."""
+    scored = cosine_sparse(q, c, exclude_self).where(F.round("score", 6) > 0)
+    top = topk_per_query(scored, k)
+    return fill_topk(top, *queries, *cands, k, exclude_self) if queries and cands else top
+
+
+def require_id(df: DataFrame, id_col: str, value) -> DataFrame:
+    """The row of a known id; an unknown one is an IndexError."""
+    row = df.where(F.col(id_col) == value)
+    if not row.limit(1).count():
+        raise IndexError(f"no profile {value!r}")
+    return row
 
 
 # ---------------------------------------------------------------------------
@@ -274,18 +302,6 @@ def dense_topk(queries: DataFrame, qid: str, qvec: Column | str, cands: DataFram
     return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def vector_slice(v: Column | str, start: int, length: int) -> Column:
-    a = F.col(v) if isinstance(v, str) else v
-    return F.slice(a, start + 1, length)
-
-
-def with_ids(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*cols)
-
-
-DOUBLE_ARRAY = T.ArrayType(T.DoubleType())
-
-
 _COUNT_SCHEMA = "qid long, n_before long"
 
 

@@ -11,6 +11,7 @@ from ..operators import retrieval as RT
 from ..operators import rows as R
 from ..operators import splits as SP
 from ..operators import vectors as V
+from ..session import written_table
 from ..sources.tables import Tables
 from . import sqlgen as Q
 from .q_rows import _split_sql
@@ -80,6 +81,7 @@ def _weights_cte(tf: str, name: str) -> str:
 
 DOC_MODEL_SQL = ",\n".join([_tokens_cte("documents", "doc_id", "dt"), _grams_cte("dt", "dtf"),
                             _model_cte("dtf", "SELECT count(*) FROM documents"), _weights_cte("dtf", "dw")])
+ALL_DOCS_SQL = "SELECT doc_id FROM documents"
 QDOCS_SQL = f"SELECT doc_id FROM documents ORDER BY {Q.md5key('doc_id')}, doc_id LIMIT 50"
 
 
@@ -88,6 +90,13 @@ def _topk_sql(scores: str, k: int) -> str:
             f"(PARTITION BY qid ORDER BY score DESC, cid) AS rank FROM {scores}) WHERE rank <= {k}")
 
 
+def _all_pairs_sql(qw: str, cw: str, queries: str, cands: str, exclude_self: bool) -> str:
+    """Scores of all pairs of (queries, cands), SQL for tables of ids; 0 without a common term."""
+    cond = "WHERE qid <> cid" if exclude_self else ""
+    return (f"(SELECT qid, cid, coalesce(score, 0.0) AS score FROM (SELECT qid, cid FROM ({queries}) x(qid), ({cands}) y(cid) {cond}) p "
+            f"LEFT JOIN {_pairs_sql(qw, cw, exclude_self)} s USING (qid, cid))")
+
+
 def _pairs_sql(qw: str, cw: str, exclude_self: bool) -> str:
     cond = "WHERE q.id <> c.id" if exclude_self else ""
     return (f"(SELECT q.id AS qid, c.id AS cid, round(sum(q.weight * c.weight), 6) AS score "
@@ -161,30 +170,32 @@ def q_cosine_sparse(spark, d):
 
 @query("recommend_by_id", f"""WITH {DOC_MODEL_SQL},
 qw AS (SELECT * FROM dw WHERE id = 7)
-{_topk_sql(_pairs_sql('qw', 'dw', True), K)}""")
+{_topk_sql(_all_pairs_sql('qw', 'dw', 'SELECT 7', ALL_DOCS_SQL, True), K)}""")
 def q_rec_by_id(spark, d):
     t = Tables(spark, d)
+    profile = V.require_id(t.documents.select("doc_id"), "doc_id", 7)
     _, w = doc_model(t)
-    return V.sparse_topk(w.filter(F.col("id") == 7), w, K, exclude_self=True)
+    return V.sparse_topk(w.filter(F.col("id") == 7), w, K, True, (profile, "doc_id"), (t.documents, "doc_id"))
 
 
-@query("recommend_by_text", f"WITH {BENCH_W_SQL} {_topk_sql(_pairs_sql('bw', 'dw', False), K)}")
+@query("recommend_by_text", f"WITH {BENCH_W_SQL} "
+       f"{_topk_sql(_all_pairs_sql('bw', 'dw', 'SELECT item_id FROM benchmark', ALL_DOCS_SQL, False), K)}")
 def q_rec_by_text(spark, d):
     t = Tables(spark, d)
     model, w = doc_model(t)
     qw = model.transform(bench_tokens(t), "doc_id", "tokens_str")
-    return V.sparse_topk(qw, w, K)
+    return V.sparse_topk(qw, w, K, False, (t.benchmark, "item_id"), (t.documents, "doc_id"))
 
 
 BATCH_SQL = f"""{DOC_MODEL_SQL},
 qw AS (SELECT * FROM dw WHERE id IN ({QDOCS_SQL})),
-recs AS ({_topk_sql(_pairs_sql('qw', 'dw', True), K)})"""
+recs AS ({_topk_sql(_all_pairs_sql('qw', 'dw', QDOCS_SQL, ALL_DOCS_SQL, True), K)})"""
 
 
 def batch_recs(t: Tables):
     _, w = doc_model(t)
     qids = query_docs(t).select(F.col("doc_id").alias("id"))
-    return V.sparse_topk(w.join(qids, "id", "left_semi"), w, K, exclude_self=True)
+    return V.sparse_topk(w.join(qids, "id", "left_semi"), w, K, True, (qids, "id"), (t.documents, "doc_id"))
 
 
 @query("recommend_batch", f"WITH {BATCH_SQL} SELECT * FROM recs")
@@ -225,11 +236,33 @@ def q_random(spark, d):
     return random_recs(Tables(spark, d))
 
 
-@query("compare_methods", f"""WITH {BATCH_SQL}, {RANDOM_SQL}
-SELECT 'tfidf' AS method, qid, cid, rank FROM recs UNION ALL SELECT 'random', qid, cid, rank FROM rnd""")
+def dense_recs(t: Tables):
+    """The dense method: documents by the whole vector that the embeddings table has under their id."""
+    e = t.embeddings.select("vec_id", V.l2_normalize("embedding").alias("vec"))
+    qids = query_docs(t).select(F.col("doc_id").alias("vec_id"))
+    return V.dense_topk(e.join(qids, "vec_id", "left_semi"), "vec_id", "vec", e, "vec_id", "vec", K, exclude_self=True)
+
+
+def all_recs(t: Tables):
+    return RM.compare_methods({"tfidf": batch_recs(t), "dense": dense_recs(t), "random": random_recs(t)})
+
+
+def _norm_sql(e: str) -> str:
+    return (f"list_transform(CAST({e} AS DOUBLE[]), lambda x: x / sqrt(list_sum(list_transform("
+            f"CAST({e} AS DOUBLE[]), lambda y: y * y))))")
+
+
+DENSE_RECS_SQL = f"""dv AS (SELECT vec_id, {_norm_sql('embedding')} AS vec FROM embeddings),
+dpairs AS (SELECT a.vec_id AS qid, b.vec_id AS cid, round(list_dot_product(a.vec, b.vec), 6) AS score
+           FROM dv a, dv b WHERE a.vec_id <> b.vec_id AND a.vec_id IN ({QDOCS_SQL})),
+drecs AS ({_topk_sql('dpairs', K)})"""
+
+
+@query("compare_methods", f"""WITH {BATCH_SQL}, {DENSE_RECS_SQL}, {RANDOM_SQL}
+SELECT 'tfidf' AS method, qid, cid, rank FROM recs UNION ALL SELECT 'dense', qid, cid, rank FROM drecs
+UNION ALL SELECT 'random', qid, cid, rank FROM rnd""")
 def q_compare(spark, d):
-    t = Tables(spark, d)
-    return RM.compare_methods({"tfidf": batch_recs(t), "random": random_recs(t)})
+    return all_recs(Tables(spark, d))
 
 
 def profiles(t: Tables):
@@ -244,8 +277,8 @@ def profiles(t: Tables):
 
 _NC = lambda e: f"lower({Q.rx('coalesce(CAST(' + e + ' AS VARCHAR), ' + chr(39) + chr(39) + ')', '^[' + Q.SP + ']+|[' + Q.SP + ']+$', '')})"
 
-DETAILS_SQL = f"""{BATCH_SQL}, {RANDOM_SQL},
-allrec AS (SELECT 'tfidf' AS method, qid, cid FROM recs UNION ALL SELECT 'random', qid, cid FROM rnd),
+DETAILS_SQL = f"""{BATCH_SQL}, {DENSE_RECS_SQL}, {RANDOM_SQL},
+allrec AS (SELECT 'tfidf' AS method, qid, cid FROM recs UNION ALL SELECT 'dense', qid, cid FROM drecs UNION ALL SELECT 'random', qid, cid FROM rnd),
 prof AS (SELECT d.doc_id, {_NC('d.lang')} AS lang, {_NC('d.source')} AS source, {_NC('c.c_mktsegment')} AS segment,
          {Q.rx("split_part(" + _NC("concat_ws(', ', n.n_name, d.lang)") + ", ',', 1)", '^[' + Q.SP + ']+|[' + Q.SP + ']+$', '')} AS city,
          TRY_CAST(CAST(c.c_acctbal / 100 AS VARCHAR) AS DOUBLE) AS age
@@ -261,8 +294,7 @@ details AS (SELECT a.method, a.qid,
 
 
 def details(t: Tables):
-    recs = RM.compare_methods({"tfidf": batch_recs(t), "random": random_recs(t)})
-    return RM.metadata_metrics(recs, profiles(t), "doc_id",
+    return RM.metadata_metrics(all_recs(t), profiles(t), "doc_id",
                                {"lang": "lang", "source": "source", "segment": "c_mktsegment"},
                                city_col="location", age_col="age", top_k=K)
 
@@ -290,11 +322,6 @@ def q_summary_eval(spark, d):
 # ---------------------------------------------------------------------------
 # F6, G2 dense; G15-G20 retrieval on the embeddings table
 # ---------------------------------------------------------------------------
-def _norm_sql(e: str) -> str:
-    return (f"list_transform(CAST({e} AS DOUBLE[]), lambda x: x / sqrt(list_sum(list_transform("
-            f"CAST({e} AS DOUBLE[]), lambda y: y * y))))")
-
-
 @query("load_embeddings", f"""
 SELECT vec_id, list_transform({_norm_sql('embedding')}, lambda x: round(x, 6)) AS vec FROM embeddings""")
 def q_load_emb(spark, d):
@@ -314,27 +341,35 @@ def q_cosine_dense(spark, d):
 
 
 def retrieval_sides(t: Tables):
-    """Bank = 80 % per label (seeded), queries = the rest; ranking on the
-    first or last 32 dimensions, relevance on all 64."""
+    """Bank = 80 % per label (seeded), queries = the rest. Every item has a vector and, under the same id, a text."""
     e = t.embeddings.select("vec_id", "label", "embedding")
     s = SP.stratified_split(e, "label", "vec_id", train_pct=80)
-    s = s.select("vec_id", "split",
-                 V.l2_normalize("embedding").alias("full"),
-                 V.l2_normalize(V.vector_slice("embedding", 0, 32)).alias("head32"),
-                 V.l2_normalize(V.vector_slice("embedding", 32, 32)).alias("tail32"))
-    # both sides are scanned by several tile passes and counts: keep them
-    s = s.persist(StorageLevel.MEMORY_AND_DISK)
+    s = written_table(s.select("vec_id", "split", V.l2_normalize("embedding").alias("full")), "sides")
     return s.filter(F.col("split") != "train"), s.filter(F.col("split") == "train")
 
 
-RET_SQL = f"""sp AS ({_split_sql("embeddings", "vec_id", "label", "vec_id, embedding", 80)}),
-v AS (SELECT vec_id, split, {_norm_sql('embedding')} AS full,
-        {_norm_sql('embedding[1:32]')} AS head32, {_norm_sql('embedding[33:64]')} AS tail32 FROM sp),
-qs AS (SELECT * FROM v WHERE split <> 'train'), bk AS (SELECT * FROM v WHERE split = 'train'),
-pairs AS (SELECT q.vec_id AS qid, b.vec_id AS cid,
-   round(list_dot_product(q.head32, b.head32), 6) AS s_head32,
-   round(list_dot_product(q.tail32, b.tail32), 6) AS s_tail32,
+def retrieval_weights(t: Tables):
+    """TF-IDF weights of the items' texts, fitted on queries and bank together."""
+    texts = t.embeddings.select(F.col("vec_id").alias("doc_id")).join(t.documents.select("doc_id", "text"), "doc_id", "left")
+    tokens = texts.select("doc_id", TK.tokens_str(TK.token_chain("text", cleaner="embeddings")).alias("tokens_str"))
+    _, w = V.fit_tfidf(tokens, "doc_id", "tokens_str", MIN_DF, MAX_DF, MAX_FEATURES)
+    return written_table(w, "weights")
+
+
+SIDES_SQL = f"""sp AS ({_split_sql("embeddings", "vec_id", "label", "vec_id, embedding", 80)}),
+v AS (SELECT vec_id, split, {_norm_sql('embedding')} AS full FROM sp),
+qs AS (SELECT * FROM v WHERE split <> 'train'), bk AS (SELECT * FROM v WHERE split = 'train')"""
+RET_SQL = f"""{SIDES_SQL},
+pairs AS (SELECT q.vec_id AS qid, b.vec_id AS cid, round(list_dot_product(q.full, b.full), 6) AS s_dense,
    round(list_dot_product(q.full, b.full), 6) AS rel_score FROM qs q, bk b)"""
+BOTH_SQL = ",\n".join([
+    _tokens_cte("(SELECT e.vec_id, d.text FROM embeddings e LEFT JOIN documents d ON e.vec_id = d.doc_id)", "vec_id", "rt"),
+    _grams_cte("rt", "rtf"), _model_cte("rtf", "SELECT count(*) FROM embeddings"), _weights_cte("rtf", "rw"), SIDES_SQL,
+    "rwq AS (SELECT * FROM rw WHERE id IN (SELECT vec_id FROM qs))", "rwb AS (SELECT * FROM rw WHERE id IN (SELECT vec_id FROM bk))",
+    f"sparse AS {_pairs_sql('rwq', 'rwb', False)}",
+    """pairs AS (SELECT q.vec_id AS qid, b.vec_id AS cid, round(list_dot_product(q.full, b.full), 6) AS s_dense,
+   coalesce(p.score, 0.0) AS s_tfidf, round(list_dot_product(q.full, b.full), 6) AS rel_score
+   FROM qs q CROSS JOIN bk b LEFT JOIN sparse p ON p.qid = q.vec_id AND p.cid = b.vec_id)"""])
 
 
 def _per_query_sql(m: str) -> str:
@@ -350,32 +385,42 @@ pq_{m} AS (SELECT qid, CAST(sum(CAST(rel AS INTEGER)) AS BIGINT) AS n_relevant,
    coalesce(1.0 / min(CASE WHEN rel THEN rank END), 0.0) AS rr FROM r_{m} GROUP BY qid)"""
 
 
-def per_query(t: Tables, method: str, sides=None):
-    qs, bank = sides or retrieval_sides(t)
-    return RT.per_query_metrics(qs, bank, "vec_id", method, "full", REL_T)
+def per_query(t: Tables):
+    """(method, per-query metrics) of both methods, as one table: the queries' items against the bank's."""
+    qs, bank = retrieval_sides(t)
+    w = retrieval_weights(t)
+    ids = lambda side: side.select(F.col("vec_id").alias("id"))
+    relevant = written_table(RT.oracle_relevance(qs, bank, "vec_id", "full", REL_T), "relevant")
+    dense = RT.per_query_metrics(qs, bank, "vec_id", "full", "full", REL_T)
+    sparse = RT.per_query_metrics_sparse(qs, bank, "vec_id", w.join(ids(qs), "id", "left_semi"),
+                                         w.join(ids(bank), "id", "left_semi"), relevant)
+    return {"dense": dense, "tfidf": sparse}
 
 
 def _pq_cols(cols: str) -> str:
-    return f"WITH {RET_SQL}, {_per_query_sql('head32')} SELECT qid, {cols} FROM pq_head32"
+    return (f"WITH {BOTH_SQL}, {_per_query_sql('dense')}, {_per_query_sql('tfidf')} SELECT 'dense' AS method, qid, {cols} FROM pq_dense "
+            f"UNION ALL SELECT 'tfidf', qid, {cols} FROM pq_tfidf")
+
+
+def _pq_query(t: Tables, *cols):
+    d, s = (m.select(F.lit(name).alias("method"), "qid", *cols) for name, m in per_query(t).items())
+    return d.unionByName(s)
 
 
 @query("precision_at_k", _pq_cols("round(p_at_1, 6) AS p_at_1, round(p_at_3, 6) AS p_at_3, round(p_at_5, 6) AS p_at_5"))
 def q_precision(spark, d):
-    pq = per_query(Tables(spark, d), "head32")
-    return pq.select("qid", *[F.round(f"p_at_{k}", 6).alias(f"p_at_{k}") for k in X.K_VALUES])
+    return _pq_query(Tables(spark, d), *[F.round(f"p_at_{k}", 6).alias(f"p_at_{k}") for k in X.K_VALUES])
 
 
 @query("recall_at_k", _pq_cols("n_relevant, round(r_at_1, 6) AS r_at_1, round(r_at_3, 6) AS r_at_3, "
                                "round(r_at_5, 6) AS r_at_5"))
 def q_recall(spark, d):
-    pq = per_query(Tables(spark, d), "head32")
-    return pq.select("qid", "n_relevant", *[F.round(f"r_at_{k}", 6).alias(f"r_at_{k}") for k in X.K_VALUES])
+    return _pq_query(Tables(spark, d), "n_relevant", *[F.round(f"r_at_{k}", 6).alias(f"r_at_{k}") for k in X.K_VALUES])
 
 
 @query("mrr", _pq_cols("round(rr, 6) AS rr"))
 def q_mrr(spark, d):
-    pq = per_query(Tables(spark, d), "head32")
-    return pq.select("qid", F.round("rr", 6).alias("rr"))
+    return _pq_query(Tables(spark, d), F.round("rr", 6).alias("rr"))
 
 
 @query("oracle_relevance", f"""WITH {RET_SQL}
@@ -392,28 +437,25 @@ def _summary_sql(m: str) -> str:
             f"round(avg(n_relevant), 6) AS mean_relevant FROM pq_{m}")
 
 
-@query("retrieval_report", f"""WITH {RET_SQL}, {_per_query_sql('head32')}, {_per_query_sql('tail32')},
-s AS ({_summary_sql('head32')} UNION ALL {_summary_sql('tail32')}),
+@query("retrieval_report", f"""WITH {BOTH_SQL}, {_per_query_sql('dense')}, {_per_query_sql('tfidf')},
+s AS ({_summary_sql('dense')} UNION ALL {_summary_sql('tfidf')}),
 r AS (SELECT *, row_number() OVER (ORDER BY mrr DESC, method) AS rk FROM s),
 x AS (SELECT max(CASE WHEN rk = 2 THEN mrr END) AS second, max(CASE WHEN rk = 1 THEN method END) AS winner FROM r)
 SELECT s.*, x.winner, round(s.mrr - x.second, 6) AS mrr_lift,
   round((s.mrr - x.second) * 100.0 / CASE WHEN x.second <> 0 THEN x.second END, 6) AS mrr_lift_pct
 FROM s, x""")
 def q_report(spark, d):
-    t = Tables(spark, d)
-    sides = retrieval_sides(t)
-    sums = RT.summarize(per_query(t, "head32", sides), "head32").unionByName(
-        RT.summarize(per_query(t, "tail32", sides), "tail32"))
-    return RT.retrieval_report(sums)
+    dense, sparse = (RT.summarize(m, name) for name, m in per_query(Tables(spark, d)).items())
+    return RT.retrieval_report(dense.unionByName(sparse))
 
 
 @query("retrieval_examples", f"""WITH {RET_SQL},
-r AS (SELECT qid, cid, s_head32 AS score, rel_score,
-      row_number() OVER (PARTITION BY qid ORDER BY s_head32 DESC, cid) AS rank FROM pairs)
+r AS (SELECT qid, cid, s_dense AS score, rel_score,
+      row_number() OVER (PARTITION BY qid ORDER BY s_dense DESC, cid) AS rank FROM pairs)
 SELECT qid, rank, cid, score, rel_score FROM r WHERE rank <= 3""")
 def q_examples(spark, d):
     qs, bank = retrieval_sides(Tables(spark, d))
-    top = V.dense_topk(qs, "vec_id", "head32", bank, "vec_id", "head32", 3)
+    top = V.dense_topk(qs, "vec_id", "full", bank, "vec_id", "full", 3)
     qv = qs.select(F.col("vec_id").alias("qid"), F.col("full").alias("__q"))
     cv = bank.select(F.col("vec_id").alias("cid"), F.col("full").alias("__c"))
     return (top.join(qv, "qid").join(cv, "cid")
