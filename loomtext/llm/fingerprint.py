@@ -29,10 +29,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.prefix import position
 from .common import prepare, scratch_table, whole_text
 
 EQUALITY_SEEDS = (101, 102, 103, 104)
@@ -47,7 +48,6 @@ _LANE = (1 << BITS) - 1
 _ONES = 1 | (1 << BITS) | (1 << 2 * BITS)
 #: After any mark that is no letter, digit or white space; and at line ends.
 PIECE_BORDER = r"(?<=[^\p{L}\p{N}\s])\s+|\s*\n\s*"
-IDS_PER_BUCKET = 4096
 
 
 def _hashed(parts: Column, seed: int) -> Column:
@@ -118,21 +118,14 @@ def as_text(v: Column) -> Column:
 
 
 def next_ids(ids: DataFrame) -> DataFrame:
-    """(doc_id, next_id): the next larger id, after the last the first.
-
-    Ids are dealt to buckets of about 4096 neighbours; only the buckets' first
-    ids (one in some thousands) meet in one window."""
+    """(doc_id, next_id): the next larger id, after the last the first, by places in a distributed prefix
+    scan, whose slices follow the ids as they lie."""
     ids = ids.where("doc_id IS NOT NULL").distinct()
-    span = ids.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    width = max(1.0, (span.hi - span.lo) / span.n * IDS_PER_BUCKET) if span.n else 1.0
-    bucketed = ids.withColumn("bucket", F.floor(F.col("doc_id").cast("double") / F.lit(width)).cast("long"))
-    order = Window.orderBy("bucket")
-    firsts = (bucketed.groupBy("bucket").agg(F.min("doc_id").alias("first"))
-              .select("bucket", F.coalesce(F.lead("first").over(order), F.min("first").over(Window.partitionBy()))
-                      .alias("beyond")))
-    inside = Window.partitionBy("bucket").orderBy("doc_id")
-    return (bucketed.withColumn("next_id", F.lead("doc_id").over(inside)).join(firsts, "bucket")
-            .select("doc_id", F.coalesce("next_id", "beyond").alias("next_id")))
+    placed = scratch_table(position(ids, ["doc_id"], "at"), "ids")
+    first = placed.agg(F.min("doc_id")).first()[0]
+    after = placed.select((F.col("at") - 1).alias("at"), F.col("doc_id").alias("next_id"))
+    return (placed.join(after, "at", "left")
+            .select("doc_id", F.coalesce("next_id", F.lit(first).cast("long")).alias("next_id")))
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:

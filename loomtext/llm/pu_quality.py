@@ -162,7 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = F
     part = (chosen(known.where("quality = 1"), seed).select("doc_id", F.lit(True).alias("positive"))
             .unionByName(chosen(ids, seed + 1).select("doc_id", F.lit(False).alias("positive"))))
     picked = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-              .join(F.broadcast(part.select("doc_id").distinct()), "doc_id", "left_semi"))  # 2 * sample ids at most
+              .join(F.broadcast(part.select("doc_id").distinct()), "doc_id", "left_semi")  # 2 * sample ids at most
+              .groupBy("doc_id").agg(F.min("text").alias("text")))  # of rows that repeat an id the least text
     rows = {r.doc_id: np.frombuffer(bytes(r.x), dtype=np.float32) for r in _feature_rows(picked).collect()}
     sides = {True: [], False: []}
     for r in sorted(part.collect(), key=lambda r: (r.positive, r.doc_id)):
