@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import SEED
 from ..functions.scalars import argmax_label, softmax
+from ..session import written_table
 from .rows import assign_row_id
 
 
@@ -31,8 +32,8 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Attach balanced weights (class table is tiny: broadcast)."""
-    return df.join(F.broadcast(balanced_weights(df, label).withColumnRenamed("weight", out)), label)
+    """Attach balanced weights; the class table is written, so that its size decides how it is joined."""
+    return df.join(written_table(balanced_weights(df, label).withColumnRenamed("weight", out), "classes"), label)
 
 
 def majority_baseline(train: DataFrame, test: DataFrame, label: str, out: str = "pred") -> DataFrame:
@@ -113,13 +114,25 @@ def score_multiclass(model, df: DataFrame, labels: Sequence[str]) -> DataFrame:
 def top_features(weights: DataFrame, coefs: DataFrame, n: int = 10, positive_only: bool = False) -> DataFrame:
     """per document, weight x coefficient, largest contributions first."""
     from pyspark.sql import Window
-    c = weights.join(F.broadcast(coefs), "term").withColumn("contribution", F.col("weight") * F.col("coef"))
+    c = weights.join(coefs, "term").withColumn("contribution", F.round(F.col("weight") * F.col("coef"), 9))
     if positive_only:
         c = c.filter(F.col("contribution") > 0)
     w = Window.partitionBy("id").orderBy(F.desc("contribution"), "term")
     return c.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
+def top_features_of_class(weights: DataFrame, coefs: DataFrame, predicted: DataFrame, n: int = 8) -> DataFrame:
+    """F13 for several classes: per document, weight x coefficient of its predicted class, largest first.
+
+    ``coefs``: (term, cls, coef) of a one-vs-rest model; ``predicted``: (id, cls). A class the model does not
+    have, or a document without terms, gives no rows."""
+    from pyspark.sql import Window
+    c = (weights.join(predicted.select("id", "cls"), "id").join(coefs, ["term", "cls"])
+         .select("id", "cls", "term", F.round(F.col("weight") * F.col("coef"), 9).alias("contribution")))
+    w = Window.partitionBy("id").orderBy(F.desc("contribution"), "term")
+    return c.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+
 def coefficients(model, index: DataFrame) -> DataFrame:
     """``(term, coef)`` of a binary linear model (vocabulary-sized, bounded)."""
     spark = index.sparkSession

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import SEED
 from ..plans.prefix import position
+from ..session import written_table
 from .rows import seeded_key
 
 
@@ -37,11 +38,10 @@ def stratified_split(df: DataFrame, label: str, id_col: str, train_pct: int = 70
                      seed: int = SEED, out: str = "split") -> DataFrame:
     """Exact per-label 70/15/15 shares in a seeded order; a null label is a label too."""
     keyed = df.withColumn("__k", seeded_key(id_col, seed))
-    counts = df.groupBy(label).agg(F.count("*").alias("__n"))
+    # one row per label, written: its size decides whether the join is a broadcast
+    counts = written_table(df.groupBy(F.col(label).alias("__label")).agg(F.count("*").alias("__n")), "labels")
     ranked = position(keyed, ["__k", id_col], "__pos", partition=[label], digest=True)
-    # one row per label: tiny, broadcast is bounded by the label count
-    counts = counts.withColumnRenamed(label, "__label")
-    joined = ranked.join(F.broadcast(counts), F.col(label).eqNullSafe(F.col("__label")))
+    joined = ranked.join(counts, F.col(label).eqNullSafe(F.col("__label")))
     n_train, n_val = _cuts("__n", train_pct)
     return joined.withColumn(out, _assign("__pos", n_train, n_val)).drop("__k", "__n", "__pos", "__label")
 

@@ -96,12 +96,22 @@ def flag_rate_by_label(df: DataFrame, label: str, flags: Sequence[str], digits:
     return df.groupBy(label).agg(*[F.round(F.avg(f), digits).alias(f"{f}_rate") for f in flags])
 
 
+def emotion_score(label: Column | str, scores: Mapping[str, float]) -> Column:
+    """The score of an emotion by a table such as ``fixed.EMOTION_SCORE`` (trimmed, any case); null for others."""
+    c = F.col(label) if isinstance(label, str) else label
+    table = F.create_map(*[F.lit(x) for kv in scores.items() for x in kv])
+    return F.try_element_at(table, F.lower(F.trim(c)))
+
+
 def emotion_progression(df: DataFrame, turn: str, flow: str, score: Column | str,
-                        flows: Sequence[str], digits: int = 6) -> DataFrame:
-    """Mean score by turn, one column per flow, sorted by turn."""
+                        flows: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
+    """Mean score by turn, one column per flow, sorted by turn. Without ``flows``: one row per (turn, flow),
+    whatever flows there are."""
     s = F.col(score) if isinstance(score, str) else score
-    return (df.withColumn("__s", s).groupBy(turn).pivot(flow, list(flows))
-            .agg(F.round(F.avg("__s"), digits)).orderBy(turn))
+    scored = df.withColumn("__s", s)
+    if flows is None:
+        return scored.groupBy(turn, flow).agg(F.round(F.avg("__s"), digits).alias("mean_score"))
+    return scored.groupBy(turn).pivot(flow, list(flows)).agg(F.round(F.avg("__s"), digits)).orderBy(turn)
 
 
 def mean_list_size(df: DataFrame, c: str) -> DataFrame:

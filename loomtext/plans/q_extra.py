@@ -162,3 +162,32 @@ def q_score_multi(spark, d):
     out = M.score_multiclass_sql(w, coefs, t.documents.select(F.col("doc_id").alias("id")),
                                  ["negative", "neutral", "positive"])
     return out.select("id", "label_pred", F.round("confidence", 6).alias("confidence"))
+
+
+_FEATURE_SQL = """f AS (SELECT {ids}, term, round(weight * coef, 9) AS contribution FROM {source}),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY contribution DESC, term) AS rank FROM f)
+SELECT {ids}, term, round(contribution, 6) AS contribution, rank FROM r WHERE rank <= {n}"""
+
+
+@query("top_features_of_class", f"""WITH {DOC_MODEL_SQL},
+cf AS (SELECT term, c AS cls, (((length(term) + c) % 5) - 2) / 10.0 AS coef FROM vocab, range(3) r(c)),
+m AS (SELECT dw.id, cf.cls, sum(weight * coef) AS margin FROM dw JOIN cf USING (term) GROUP BY dw.id, cf.cls),
+best AS (SELECT id, first(cls ORDER BY round(margin, 9) DESC, cls) AS cls FROM m GROUP BY id),
+""" + _FEATURE_SQL.format(ids="id, cls", source="dw JOIN best USING (id) JOIN cf USING (term, cls)", n=8))
+def q_top_of_class(spark, d):
+    _, w = doc_model(Tables(spark, d))
+    coefs = _coefs(w.select("term").distinct(), 3)
+    margins = w.join(coefs, "term").groupBy("id", "cls").agg(F.round(F.sum(F.col("weight") * F.col("coef")), 9).alias("m"))
+    best = margins.groupBy("id").agg(F.min(F.struct((-F.col("m")).alias("m"), "cls")).alias("b")).select("id", "b.cls")
+    out = M.top_features_of_class(w, coefs, best, 8)
+    return out.select("id", F.col("cls").cast("long").alias("cls"), "term", F.round("contribution", 6).alias("contribution"), "rank")
+
+
+@query("top_features_by_document", f"""WITH {DOC_MODEL_SQL},
+cf AS (SELECT term, ((length(term) % 5) - 2) / 10.0 AS coef FROM vocab),
+""" + _FEATURE_SQL.format(ids="id", source="dw JOIN cf USING (term) WHERE weight * coef > 0", n=10))
+def q_top_by_document(spark, d):
+    _, w = doc_model(Tables(spark, d))
+    out = M.top_features(w, _coefs(w.select("term").distinct(), 1).select("term", "coef"),
+                         n=10, positive_only=True)
+    return out.select("id", "term", F.round("contribution", 6).alias("contribution"), "rank")

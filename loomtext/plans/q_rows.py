@@ -358,15 +358,28 @@ def q_flag_rate(spark, d):
     return ST.flag_rate_by_label(j, "toxic", ["has_phone", "has_money"])
 
 
+# the tables carry no emotion: a turn's is drawn from the score table's names by its word count
+_EMOTIONS = list(S.X.EMOTION_SCORE)
+_EMOTION_SQL = "CASE {} % {} {} END".format(_WC_SQL, len(_EMOTIONS), " ".join(
+    f"WHEN {i} THEN CAST({S.X.EMOTION_SCORE[e]} AS DOUBLE)" for i, e in enumerate(_EMOTIONS)))
+
+
 @query("emotion_progression", f"""
-WITH w AS (SELECT turn, role, {_WC_SQL} AS s FROM conversations)
-SELECT turn, round(avg(s) FILTER (WHERE role = 'user'), 6) AS "user",
-       round(avg(s) FILTER (WHERE role = 'assistant'), 6) AS assistant,
-       round(avg(s) FILTER (WHERE role = 'system'), 6) AS system
-FROM w GROUP BY turn""")
+SELECT turn, role, round(avg({_EMOTION_SQL}), 6) AS mean_score FROM conversations GROUP BY turn, role""")
 def q_progression(spark, d):
     c = Tables(spark, d).conversations
-    return ST.emotion_progression(c, "turn", "role", S.word_count("text"), ["user", "assistant", "system"])
+    emotion = F.get(F.array(*[F.lit(e) for e in _EMOTIONS]), (S.word_count("text") % len(_EMOTIONS)).cast("int"))
+    return ST.emotion_progression(c, "turn", "role", ST.emotion_score(emotion, S.X.EMOTION_SCORE))
+
+
+@query("emotion_by_flow", f"""
+SELECT turn, round(avg({_EMOTION_SQL}) FILTER (WHERE role = 'user'), 6) AS "user",
+       round(avg({_EMOTION_SQL}) FILTER (WHERE role = 'assistant'), 6) AS assistant
+FROM conversations GROUP BY turn""")
+def q_progression_wide(spark, d):
+    c = Tables(spark, d).conversations
+    emotion = F.get(F.array(*[F.lit(e) for e in _EMOTIONS]), (S.word_count("text") % len(_EMOTIONS)).cast("int"))
+    return ST.emotion_progression(c, "turn", "role", ST.emotion_score(emotion, S.X.EMOTION_SCORE), ["user", "assistant"])
 
 
 @query("mean_list_size", "SELECT round(avg(len(string_split(text, chr(10)))), 6) AS mean_size FROM conversations")
