@@ -44,6 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.prefix import position
 from .common import prepare, scratch_table
 
 SHINGLE = 5
@@ -293,3 +294,19 @@ def link(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, rows: int =
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("class_id"),
                     F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def numbered_rows(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """One row per (doc_id, text), with its other ``columns`` (the least ones where they differ), and __row: the
+    rows' places by doc_id, null ones last."""
+    identity = [F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text") for seed in (0, 17)]
+    keyed = docs.select(*columns, identity[0].alias("__h1"), identity[1].alias("__h2"))
+    keys = keyed.select("__h1", "__h2", F.col("doc_id").isNull().cast("int").alias("__null"),
+                        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__id")).distinct()
+    order = position(keys, ["__null", "__id", "__h1", "__h2"], "__row")
+    others = [c for c in columns if c not in ("doc_id", "text")]
+    # combined in every task before the shuffle, and joined where the shuffle put them
+    once = keyed.groupBy("__h1", "__h2").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"),
+                                             F.min(F.struct(*others)).alias("__rest"))
+    rows = once.join(order.select("__h1", "__h2", "__row"), ["__h1", "__h2"]).select("__row", "doc_id", "text", "__rest.*")
+    return scratch_table(rows, "rows")
