@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from loomtext.llm import fss_neardup, line_spread, packing, pu_quality, wu_manber
 from loomtext.llm.common import read_table, scratch_table
-from loomtext.plans.prefix import position
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -41,25 +40,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are linked, not ids: of equal (doc_id, text) one row stays, different texts under one id are rows of
     their own, and rows without an id come last, so one of them stays only where no row with an id is like it."""
-    rows = _numbered(docs)
+    rows = fss_neardup.numbered_rows(docs, COLUMNS)
     found = fss_neardup.link(rows.select(F.col("__row").alias("doc_id"), "text")).where("NOT kept")
     return rows.join(found.select(F.col("doc_id").alias("__row")), "__row", "left_anti").select(*COLUMNS)
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """One row per (doc_id, text), and __row: their positions by doc_id, null ones last."""
-    identity = [F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text") for seed in (0, 17)]
-    keyed = docs.select(*COLUMNS, identity[0].alias("__h1"), identity[1].alias("__h2"))
-    keys = keyed.select("__h1", "__h2", F.col("doc_id").isNull().cast("int").alias("__null"),
-                        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__id")).distinct()
-    order = position(scratch_table(keys, "keys"), ["__null", "__id", "__h1", "__h2"], "__row")
-    # combined in every task before the shuffle, and joined where the shuffle put them
-    once = keyed.groupBy("__h1", "__h2").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"),
-                                             F.min(F.struct("lang", "source", "n_chars")).alias("__rest"))
-    rows = once.join(order.select("__h1", "__h2", "__row"), ["__h1", "__h2"]).select("__row", "doc_id", "text", "__rest.*")
-    return scratch_table(rows, "rows")
-
-
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with benchmark passages go."""
     leaks = wu_manber.find_leaks(docs, read_table(spark, sf_dir, "benchmark"), extra=COLUMNS[1:])
