@@ -8,6 +8,7 @@ from loomtext.plans import catalog
 PYTHON_OK = {
     "cosine_dense", "theta_similarity", "oracle_relevance", "mrr",     # tiled block products
     "precision_at_k", "recall_at_k", "retrieval_report", "retrieval_examples",
+    "compare_methods", "metadata_metrics", "summarize_eval", "same_value_at_k", "same_city_at_k", "avg_age_diff",  # dense method
     "train_logreg", "train_linear_svc", "top_features",                # spark.ml features
 }
 # at sf0.001 every conversation is held out, the bank is empty and the
