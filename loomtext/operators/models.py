@@ -1,25 +1,16 @@
-"""Features, models and scoring (F7-F15) on ``spark.ml``.
-
-Features are the exact sublinear TF-IDF long table turned into sparse
-vectors over a capped vocabulary (term index from the vocabulary's
-sequential id). Training is ``spark.ml`` (distributed L-BFGS / OWL-QN);
-scoring is ``transform`` and works on streaming DataFrames too.
-"""
+"""Class weights, baselines, clustering, scoring tables (F7, F10-F15); training is in ``linear``, scoring row by row in ``rowvectors``."""
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import SEED
 from ..functions.scalars import argmax_label, softmax
 from ..session import written_table
-from .rows import assign_row_id
 
 
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:
@@ -44,73 +35,10 @@ def majority_baseline(train: DataFrame, test: DataFrame, label: str, out: str =
     return test.withColumn(out, F.lit(top[label] if top else None).cast(dtype))
 
 
-# Convergence tolerance of both trainers; the iteration limit is a backstop.
-TOL = 1e-4
-
-
-def term_index(vocab: DataFrame) -> DataFrame:
-    """``(term, idx)`` with idx 0..V-1 in term order."""
-    return assign_row_id(vocab.select("term"), ["term"], "idx")
-
-
-_to_sparse = F.udf(lambda n, idx, val: SparseVector(n, idx, val), VectorUDT())
-
-
-def to_vectors(weights: DataFrame, index: DataFrame, size: int, bounded: bool = True) -> DataFrame:
-    """``(id, features)`` from the long ``(id, term, weight)`` table.
-
-    One small per-row helper builds the ML vector from already sorted
-    index/value arrays; all grouping happens in Spark."""
-    side = F.broadcast(index) if bounded else index
-    grouped = (weights.join(side, "term")
-               .groupBy("id").agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("__e")))
-    return grouped.select("id", _to_sparse(F.lit(size), F.col("__e.idx"), F.col("__e.weight")).alias("features"))
-
-
 def dense_features(df: DataFrame, vec: str, out: str = "features") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.transform(vec, lambda x: x.cast("double"))))
 
 
-def train_logreg(train: DataFrame, label: str, C: float = 1.0, max_iter: int = 1000,
-                 balanced: bool = True, features: str = "features"):
-    """F8: scikit-learn's ``C`` maps to ``regParam = 1 / (C * sum(w))``; ``TOL`` is its tolerance."""
-    df = with_weights(train, label) if balanced else train.withColumn("weight", F.lit(1.0))
-    total_w = df.agg(F.sum("weight")).first()[0]
-    lr = LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight",
-                            regParam=1.0 / (C * total_w), elasticNetParam=0.0,
-                            standardization=False, maxIter=max_iter, tol=TOL, family="auto")
-    return lr.fit(df)
-
-
-def train_linear_svc(train: DataFrame, label: str, C: float = 1.0, max_iter: int = 1000,
-                     balanced: bool = True, features: str = "features"):
-    """one-vs-rest linear SVMs (hinge loss), balanced weights."""
-    df = with_weights(train, label) if balanced else train.withColumn("weight", F.lit(1.0))
-    total_w = df.agg(F.sum("weight")).first()[0]
-    svc = LinearSVC(featuresCol=features, labelCol=label, weightCol="weight",
-                    regParam=1.0 / (C * total_w), standardization=False, maxIter=max_iter, tol=TOL)
-    return OneVsRest(classifier=svc, featuresCol=features, labelCol=label, weightCol="weight").fit(df)
-
-
-def score_binary(model, df: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """probability of class 1 and the label at ``threshold``."""
-    out = model.transform(df)
-    p1 = vector_to_array("probability")[1]
-    return out.withColumn("prob", p1).withColumn("pred", (F.col("prob") >= threshold).cast("int")) \
-        .drop("rawPrediction", "probability", "prediction")
-
-
-def score_multiclass(model, df: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """per-class margins -> softmax scores map -> best label, confidence."""
-    out = model.transform(df)
-    margins = vector_to_array("rawPrediction")
-    scores = softmax(margins)
-    m = F.map_from_arrays(F.array(*[F.lit(x) for x in labels]), scores)
-    best = argmax_label(m)
-    return (out.withColumn("scores", m).withColumn("label_pred", best["label"])
-            .withColumn("confidence", best["confidence"]).drop("rawPrediction", "prediction"))
-
-
 def top_features(weights: DataFrame, coefs: DataFrame, n: int = 10, positive_only: bool = False) -> DataFrame:
     """per document, weight x coefficient, largest contributions first."""
     from pyspark.sql import Window
@@ -133,14 +61,6 @@ def top_features_of_class(weights: DataFrame, coefs: DataFrame, predicted: DataF
     return c.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def coefficients(model, index: DataFrame) -> DataFrame:
-    """``(term, coef)`` of a binary linear model (vocabulary-sized, bounded)."""
-    spark = index.sparkSession
-    coef = model.coefficients.toArray().tolist()
-    arr = spark.createDataFrame([(i, float(v)) for i, v in enumerate(coef)], "idx long, coef double")
-    return index.join(arr, "idx").select("term", "coef")
-
-
 def kmeans(df: DataFrame, vec: str, k: int = 100, seed: int = SEED, out: str = "cluster") -> DataFrame:
     """k = min(k, n) clusters on (unit) vectors."""
     n = df.count()
@@ -190,15 +110,35 @@ def score_multiclass_sql(weights: DataFrame, coefs: DataFrame, ids: DataFrame, l
                     best["confidence"].alias("confidence"))
 
 
+# A form in more than one of HOT tokens is hot: there are fewer than HOT such forms.
+HOT = 1000
+
+
 def dictionary_join(df: DataFrame, id_col: str, tokens: str, dictionary: DataFrame,
                     bounded: bool = True, out: str = "mapped") -> DataFrame:
-    """Replace tokens found in a ``(form, value)`` dictionary, keep the
+    """Replace tokens found in a ``(form, value)`` dictionary (one row a form), keep the
     others, order preserved. For dictionaries too large for a literal map:
-    explode with position, left join (broadcast when the dictionary is
-    bounded), re-assemble per row (one row's tokens: bounded). A row without
-    tokens keeps an empty list."""
-    side = F.broadcast(dictionary) if bounded else dictionary
+    explode with position, left join, re-assemble per row (one row's tokens: bounded). A row without
+    tokens keeps an empty list, a null token stays null.
+
+    A bounded dictionary is broadcast. Of any other, the entries of hot tokens (fewer than ``HOT``) are broadcast
+    and only the rest is joined by a shuffle, so a token in every row is no task of its own; tokens that are null
+    meet no join."""
     ex = df.select(id_col, F.posexplode_outer(tokens).alias("__p", "form"))
-    j = ex.join(side, "form", "left").select(id_col, "__p", F.coalesce("value", "form").alias("__t"))
+    if bounded:
+        j = ex.join(F.broadcast(dictionary), "form", "left")
+    else:
+        counts = ex.where(F.col("form").isNotNull()).groupBy("form").agg(F.count("*").alias("__n"))
+        counts = written_table(counts, "forms")
+        total = counts.agg(F.sum("__n")).first()[0] or 0
+        hot = F.broadcast(counts.where(F.col("__n") * HOT > total).select("form", F.lit(True).alias("__hot")))
+        entries = written_table(dictionary.join(hot, "form", "left"), "entries")
+        marked = ex.join(hot, "form", "left")
+        often = marked.where("__hot OR form IS NULL").drop("__hot").join(
+            F.broadcast(entries.where("__hot").drop("__hot")), "form", "left")
+        rest = marked.where("__hot IS NULL AND form IS NOT NULL").drop("__hot").join(
+            entries.where("__hot IS NULL").drop("__hot"), "form", "left")
+        j = often.unionByName(rest)
+    j = j.select(id_col, "__p", F.coalesce("value", "form").alias("__t"))
     return (j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.when(F.col("__p").isNotNull(), F.struct("__p", "__t")))).alias("__a"))
             .select(id_col, F.transform("__a", lambda s: s["__t"]).alias(out)))

@@ -188,20 +188,23 @@ def persona_structured_long(df: DataFrame, id_col: str, order_cols: Sequence[str
     return facts.join(keep, "id").select("id", *order_cols, "fact", "signature")
 
 
-def detect_layout(df: DataFrame, candidates: Sequence[str] = X.PERSONA_FIELDS) -> tuple[str, str | None]:
-    """C12, by the first row: ('structured', field) for a non-empty list of
+def record_layout(df: DataFrame, candidates: Sequence[str] = X.PERSONA_FIELDS) -> Column:
+    """C12 of every row, a struct ``(kind, field)``: ('structured', field) for a non-empty list of
     strings, candidates before other fields; ('text', 'text') when the text
-    is a persona line; else ('unknown', None). An empty table is unknown."""
-    lists = [f.name for f in df.schema.fields if f.dataType == T.ArrayType(T.StringType(), True)
-             or f.dataType == T.ArrayType(T.StringType(), False)]
+    is a persona line; else ('unknown', null)."""
+    lists = [f.name for f in df.schema.fields if f.dataType in (T.ArrayType(T.StringType(), True), T.ArrayType(T.StringType(), False))]
     lists.sort(key=lambda c: list(candidates).index(c) if c in candidates else len(candidates))
     texts = [f.name for f in df.schema.fields if f.name == "text" and f.dataType == T.StringType()]
-    checks = [(F.coalesce(F.get(c, F.lit(0)).isNotNull(), F.lit(False)), ("structured", c)) for c in lists]
-    checks += [(F.coalesce(F.col(c).rlike(X.PERSONA_FACT_RE), F.lit(False)), ("text", c)) for c in texts]
-    if not checks:
-        return "unknown", None
-    first = df.select(*[cond.alias(f"c{i}") for i, (cond, _) in enumerate(checks)]).first()
-    return next((kind for hit, (_, kind) in zip(first or (), checks) if hit), ("unknown", None))
+    kind = lambda k, c: F.struct(F.lit(k).alias("kind"), F.lit(c).cast("string").alias("field"))
+    hits = [F.when(F.get(c, F.lit(0)).isNotNull(), kind("structured", c)) for c in lists]
+    hits += [F.when(F.col(c).rlike(X.PERSONA_FACT_RE), kind("text", c)) for c in texts]
+    return F.coalesce(*hits, kind("unknown", None))
+
+
+def detect_layout(df: DataFrame, candidates: Sequence[str] = X.PERSONA_FIELDS) -> tuple[str, str | None]:
+    """C12 of a table, by its first row; an empty table is unknown."""
+    first = df.select(record_layout(df, candidates).alias("l")).first()
+    return (first["l"]["kind"], first["l"]["field"]) if first else ("unknown", None)
 
 
 def diverse_sample(df: DataFrame, cluster_col: str, id_col: str, target_n: int,

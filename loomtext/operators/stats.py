@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clip
+from ..plans.prefix import prefix_sum
 
 
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
@@ -79,16 +80,33 @@ def histogram(df: DataFrame, c: Column | str, lo: float, hi: float, width: float
 
 
 def box_stats(df: DataFrame, c: Column | str, by: str) -> DataFrame:
-    """Quartiles (linear interpolation) and whisker bounds per group."""
+    """Quartiles (linear interpolation) and whisker bounds per group.
+
+    Rows are counted by value first; the values of a group, however many, are ranked by a distributed prefix sum
+    and the one or two that a quartile lies between are picked by rank. ``n`` counts all rows; null values have no
+    rank, and a group of nulls alone has null quartiles. A null group is a group."""
     v = F.col(c) if isinstance(c, str) else c
-    q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    res = df.groupBy(by).agg(q.alias("__q"), F.min(v).alias("min"), F.max(v).alias("max"),
-                             F.count("*").alias("n"))
-    iqr = F.col("__q")[2] - F.col("__q")[0]
-    return res.select(by, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                      F.col("__q")[2].alias("q3"), "min", "max",
-                      F.greatest(F.col("min"), F.col("__q")[0] - 1.5 * iqr).alias("whisker_lo"),
-                      F.least(F.col("max"), F.col("__q")[2] + 1.5 * iqr).alias("whisker_hi"))
+    counts = df.select(F.col(by).alias("__g"), v.cast("double").alias("__v"), v.alias("__x")).groupBy("__g", "__v").agg(
+        F.count("*").alias("__c"), F.min("__x").alias("__x"))
+    totals = counts.groupBy("__g").agg(F.sum("__c").alias("n"), F.coalesce(F.sum(F.when(F.col("__v").isNotNull(), F.col("__c"))), F.lit(0)).alias("__m"),
+                                       F.min("__x").alias("min"), F.max("__x").alias("max"))
+    ranked = prefix_sum(counts.where(F.col("__v").isNotNull()).drop("__x"), ["__v"], "__c", "__end", partition=["__g"])
+    sizes = totals.select(F.col("__g").alias("__h"), "__m")
+    at = ranked.join(sizes, F.col("__g").eqNullSafe(F.col("__h"))).drop("__h")
+    holds = lambda i: F.max(F.when((F.col("__end") - F.col("__c") <= i) & (i < F.col("__end")), F.col("__v")))
+    picks = []
+    for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        rank = F.lit(p) * (F.col("__m") - 1)
+        picks += [holds(F.floor(rank)).alias(f"__lo_{name}"), holds(F.ceil(rank)).alias(f"__hi_{name}"),
+                  F.max(rank - F.floor(rank)).alias(f"__f_{name}")]
+    q = at.groupBy(F.col("__g").alias("__h")).agg(*picks)
+    q = q.select("__h", *[(F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__f_{n}")).alias(n)
+                          for n in ("q1", "median", "q3")])
+    res = totals.join(q, F.col("__g").eqNullSafe(F.col("__h")), "left")
+    iqr = F.col("q3") - F.col("q1")
+    return res.select(F.col("__g").alias(by), "n", "q1", "median", "q3", "min", "max",
+                      F.greatest(F.col("min"), F.col("q1") - 1.5 * iqr).alias("whisker_lo"),
+                      F.least(F.col("max"), F.col("q3") + 1.5 * iqr).alias("whisker_hi"))
 
 
 def flag_rate_by_label(df: DataFrame, label: str, flags: Sequence[str], digits: int = 6) -> DataFrame:

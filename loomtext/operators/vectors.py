@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from ..functions import tokens as TK
 from ..plans.prefix import position
+from ..session import written_table
+from .rowvectors import TermModel, fit_terms
 
 # Broadcast bound for a query-side table, in rows (checked by count()).
 BROADCAST_ROWS = 2_000_000
@@ -66,12 +68,18 @@ def build_vocabulary(tf: DataFrame, n_docs: int | Column, min_df: int = 2, max_d
                      max_features: int | None = None) -> DataFrame:
     """``(term, df, cf)`` with df >= min_df, df <= max_df * n_docs, then
     the ``max_features`` most frequent terms (tie: term ascending)."""
-    stats = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    return vocabulary_of(tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf")),
+                         n_docs, min_df, max_df, max_features)
+
+
+def vocabulary_of(stats: DataFrame, n_docs: int | Column, min_df: int = 2, max_df: float = 1.0,
+                  max_features: int | None = None) -> DataFrame:
+    """F2 from ``(term, df, cf)``."""
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
     kept = stats.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * n))
     if max_features:
-        # read by the cutoff, the tie ranking and the result: keep it once
-        kept = _top_by_frequency(kept.persist(StorageLevel.MEMORY_AND_DISK), max_features)
+        # read by the cutoff, the tie ranking and the result: written once
+        kept = _top_by_frequency(written_table(kept, "terms"), max_features)
     return kept
 
 
@@ -116,27 +124,33 @@ def tfidf_weights(tf: DataFrame, idf: DataFrame, bounded_vocab: bool) -> DataFra
 
 
 class TfidfModel:
-    """Fitted vocabulary + idf; ``transform`` weights new text."""
+    """Fitted vocabulary + idf; ``transform`` weights new text (F4). A capped vocabulary weighs row by row
+    (``rows``), any other by a join with ``idf``."""
 
-    def __init__(self, idf: DataFrame, n_docs: int, bounded: bool, bigrams: bool):
-        self.idf, self.n_docs, self.bounded, self.bigrams = idf, n_docs, bounded, bigrams
+    def __init__(self, bigrams: bool, idf: DataFrame | None = None, rows: TermModel | None = None):
+        self.bigrams, self.idf, self.rows = bigrams, idf, rows
 
     def transform(self, df: DataFrame, id_col: str, text: Column | str) -> DataFrame:
-        return tfidf_weights(term_counts(df, id_col, text, self.bigrams), self.idf, self.bounded)
+        if self.rows is not None:
+            return self.rows.long(df.select(F.col(id_col).alias("id"), TK.terms(text).alias("units")), "units", ["id"])
+        return tfidf_weights(term_counts(df, id_col, text, self.bigrams), self.idf, False)
 
 
 def fit_tfidf(df: DataFrame, id_col: str, text: Column | str, min_df: int = 2,
               max_df: float = 1.0, max_features: int | None = None,
               bigrams: bool = True) -> tuple[TfidfModel, DataFrame]:
-    """fit on ``df`` and return (model, weights of ``df``).
+    """fit on ``df``, one row a document, and return (model, weights of ``df``).
 
-    The term counts feed the vocabulary cutoff, the vocabulary and the
-    weights, so they are kept (spilling to disk; lost blocks recompute)."""
+    The cleaned words feed the vocabulary and the weights, so they are written once."""
+    if max_features:
+        units = written_table(df.select(F.col(id_col).alias("id"), TK.terms(text).alias("units")), "units")
+        rows = fit_terms(units, "units", units.count(), max_features, min_df, max_df, bigrams)
+        return TfidfModel(bigrams, rows=rows), rows.long(units, "units", ["id"])
     tf = term_counts(df, id_col, text, bigrams).persist(StorageLevel.MEMORY_AND_DISK)
     n_docs = df.count()
-    vocab = build_vocabulary(tf, n_docs, min_df, max_df, max_features)
-    model = TfidfModel(idf_table(vocab, n_docs), n_docs, max_features is not None, bigrams)
-    return model, tfidf_weights(tf, model.idf, model.bounded)
+    vocab = build_vocabulary(tf, n_docs, min_df, max_df)
+    model = TfidfModel(bigrams, idf=idf_table(vocab, n_docs))
+    return model, tfidf_weights(tf, model.idf, False)
 
 
 def fit_joint_corpus(a: DataFrame, b: DataFrame, id_col: str, text: str, **kw):

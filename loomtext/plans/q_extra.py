@@ -133,12 +133,15 @@ def _coefs(vocab_terms, classes: int = 1):
         .withColumn("coef", (((F.length("term") + F.col("cls")) % 5) - 2) / 10.0)
 
 
-@query("score_binary", f"""WITH {DOC_MODEL_SQL},
+SCORE_BINARY_SQL = f"""WITH {DOC_MODEL_SQL},
 cf AS (SELECT term, ((length(term) % 5) - 2) / 10.0 AS coef FROM vocab),
 m AS (SELECT d.doc_id AS id, coalesce(sum(weight * coef), 0.0) AS margin FROM documents d
       LEFT JOIN dw ON dw.id = d.doc_id LEFT JOIN cf USING (term) GROUP BY d.doc_id)
 SELECT id, round(1.0 / (1.0 + exp(-(margin - 0.1))), 6) AS prob,
-       CAST(1.0 / (1.0 + exp(-(margin - 0.1))) >= 0.5 AS INTEGER) AS pred FROM m""")
+       CAST(1.0 / (1.0 + exp(-(margin - 0.1))) >= 0.5 AS INTEGER) AS pred FROM m"""
+
+
+@query("score_binary", SCORE_BINARY_SQL)
 def q_score_binary(spark, d):
     t = Tables(spark, d)
     _, w = doc_model(t)
@@ -147,14 +150,17 @@ def q_score_binary(spark, d):
     return out.select("id", F.round("prob", 6).alias("prob"), "pred")
 
 
-@query("score_multiclass", f"""WITH {DOC_MODEL_SQL},
+SCORE_MULTICLASS_SQL = f"""WITH {DOC_MODEL_SQL},
 cf AS (SELECT term, c AS cls, (((length(term) + c) % 5) - 2) / 10.0 AS coef FROM vocab, range(3) r(c)),
 m AS (SELECT d.doc_id AS id, r.c AS cls, coalesce(sum(weight * coef), 0.0) AS margin
       FROM documents d CROSS JOIN range(3) r(c) LEFT JOIN dw ON dw.id = d.doc_id
       LEFT JOIN cf ON cf.term = dw.term AND cf.cls = r.c GROUP BY d.doc_id, r.c),
 x AS (SELECT id, cls, margin, exp(margin - max(margin) OVER (PARTITION BY id)) AS e FROM m),
 p AS (SELECT id, ['negative', 'neutral', 'positive'][cls + 1] AS label, e / sum(e) OVER (PARTITION BY id) AS s FROM x)
-SELECT id, first(label ORDER BY s DESC, label) AS label_pred, round(max(s), 6) AS confidence FROM p GROUP BY id""")
+SELECT id, first(label ORDER BY s DESC, label) AS label_pred, round(max(s), 6) AS confidence FROM p GROUP BY id"""
+
+
+@query("score_multiclass", SCORE_MULTICLASS_SQL)
 def q_score_multi(spark, d):
     t = Tables(spark, d)
     _, w = doc_model(t)
@@ -169,11 +175,14 @@ r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY contribution DESC, t
 SELECT {ids}, term, round(contribution, 6) AS contribution, rank FROM r WHERE rank <= {n}"""
 
 
-@query("top_features_of_class", f"""WITH {DOC_MODEL_SQL},
+FEATURES_BY_CLASS_SQL = (f"""WITH {DOC_MODEL_SQL},
 cf AS (SELECT term, c AS cls, (((length(term) + c) % 5) - 2) / 10.0 AS coef FROM vocab, range(3) r(c)),
 m AS (SELECT dw.id, cf.cls, sum(weight * coef) AS margin FROM dw JOIN cf USING (term) GROUP BY dw.id, cf.cls),
 best AS (SELECT id, first(cls ORDER BY round(margin, 9) DESC, cls) AS cls FROM m GROUP BY id),
 """ + _FEATURE_SQL.format(ids="id, cls", source="dw JOIN best USING (id) JOIN cf USING (term, cls)", n=8))
+
+
+@query("top_features_of_class", FEATURES_BY_CLASS_SQL)
 def q_top_of_class(spark, d):
     _, w = doc_model(Tables(spark, d))
     coefs = _coefs(w.select("term").distinct(), 3)

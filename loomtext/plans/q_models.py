@@ -1,76 +1,130 @@
-"""Registered queries: model training and scoring.
+"""Registered queries: model training and scoring (F8, F9, F11-F15), TF-IDF and scoring on a stream.
 
 Training is iterative (no SQL oracle): the driver records a rows-only check
-and pytest bounds the quality. ``scores_table`` has an oracle.
+and pytest holds the coefficients against a brute-force fit. ``scores_table`` and the streams have an oracle.
 """
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
+from ..functions import tokens as TK
+from ..operators import linear as L
 from ..operators import models as M
+from ..operators import rowvectors as RV
 from ..operators import splits as SP
 from ..operators import vectors as V
-from ..sources.tables import Tables
+from ..session import ensure_checkpoint_dir, written_table
+from ..sources import io as IO
+from ..sources.tables import SCHEMAS, Tables
+from ..streaming import rowwise as RW
+from . import sqlgen as Q
+from .q_extra import FEATURES_BY_CLASS_SQL, SCORE_BINARY_SQL, SCORE_MULTICLASS_SQL
+from .q_vectors import DOC_MODEL_SQL, MAX_DF, MAX_FEATURES, MIN_DF, doc_tokens
 from .registry import query
 
 VOCAB = 20_000
-LANGS = ["de", "en", "es", "fr"]
 
 
-def _features(t: Tables, label: str):
-    """(id, features, label, split) from cleaned text and the exact TF-IDF."""
-    docs = t.documents.select("doc_id", TX.clean_for_classification("text").alias("text_clean"))
-    tf = V.term_counts(docs, "doc_id", "text_clean")
-    n = t.documents.count()
-    vocab = V.build_vocabulary(tf, n, min_df=2, max_features=VOCAB)
-    idf = V.idf_table(vocab, n)
-    w = V.tfidf_weights(tf, idf, bounded_vocab=True)
-    index = M.term_index(vocab)
-    # iterative training re-reads its input many times: keep the (small,
-    # vocabulary-bounded) feature rows; lost blocks are recomputed from lineage
-    feats = M.to_vectors(w, index, VOCAB).persist(StorageLevel.MEMORY_AND_DISK)
-    return feats, w, index
+def _features(t: Tables):
+    """(doc_id, idx, weight) of every document's cleaned text and the fitted vocabulary."""
+    docs = written_table(t.documents.select("doc_id", TK.terms(TX.clean_for_classification("text")).alias("units")), "units")
+    model = RV.fit_terms(docs, "units", docs.count(), VOCAB)
+    return model, model.vectors(docs, "units", ["doc_id"])
 
 
 def _binary(t: Tables):
-    feats, w, index = _features(t, "toxic")
+    model, feats = _features(t)
     lab = SP.stratified_split(t.labels.select("doc_id", "toxic"), "toxic", "doc_id")
-    data = feats.join(lab.withColumnRenamed("doc_id", "id"), "id")
-    train = data.filter(F.col("split") == "train")
-    test = data.filter(F.col("split") != "train")
-    model = M.train_logreg(train.withColumn("toxic", F.col("toxic").cast("double")), "toxic", max_iter=100)
-    return model, test, w, index
+    data = written_table(feats.join(lab, "doc_id"), "features")  # every training pass reads it
+    fitted = L.fit_logistic(data.filter(F.col("split") == "train"), "toxic", len(model.terms))
+    return model, fitted, data.filter(F.col("split") != "train")
 
 
 @query("train_logreg")
 def q_logreg(spark, d):
-    model, test, _, _ = _binary(Tables(spark, d))
-    scored = M.score_binary(model, test)
-    return scored.select(F.col("id").alias("doc_id"), "toxic", F.round("prob", 6).alias("prob"), "pred")
+    _, fitted, test = _binary(Tables(spark, d))
+    scored = RV.score_binary_rows(test, ["doc_id", "toxic"], fitted.coef, float(fitted.intercept[0]))
+    return scored.select("doc_id", "toxic", F.round("prob", 6).alias("prob"), "pred")
 
 
 @query("top_features")
 def q_top_features(spark, d):
-    model, test, w, index = _binary(Tables(spark, d))
-    coefs = M.coefficients(model, index)
-    ids = test.select("id")
-    return M.top_features(w.join(ids, "id", "left_semi"), coefs, n=5).select(
-        F.col("id").alias("doc_id"), "term", F.round("contribution", 6).alias("contribution"), "rank")
+    model, fitted, test = _binary(Tables(spark, d))
+    out = RV.top_features_rows(test, ["doc_id"], model, fitted.coef, n=5)
+    return out.select("doc_id", "term", F.round("contribution", 6).alias("contribution"), "rank")
 
 
 @query("train_linear_svc")
 def q_svc(spark, d):
     t = Tables(spark, d)
-    feats, _, _ = _features(t, "lang")
-    idx = F.create_map(*[x for i, l in enumerate(LANGS) for x in (F.lit(l), F.lit(float(i)))])
+    model, feats = _features(t)
     docs = SP.stratified_split(t.documents.select("doc_id", "lang"), "lang", "doc_id")
-    data = feats.join(docs.select(F.col("doc_id").alias("id"), "split",
-                                  F.element_at(idx, F.col("lang")).alias("y")), "id")
-    model = M.train_linear_svc(data.filter(F.col("split") == "train"), "y", max_iter=50)
-    out = M.score_multiclass(model, data.filter(F.col("split") != "train"), LANGS)
-    return out.select(F.col("id").alias("doc_id"), "label_pred", F.round("confidence", 6).alias("confidence"))
+    data = written_table(feats.join(docs, "doc_id"), "features")
+    fitted = L.fit_squared_hinge(data.filter(F.col("split") == "train"), "lang", len(model.terms))
+    out = RV.score_multiclass_rows(data.filter(F.col("split") != "train"), ["doc_id"], *_per_class(fitted))
+    return out.select("doc_id", "label_pred", F.round("confidence", 6).alias("confidence"))
+
+
+def _per_class(fitted: L.LinearModel):
+    """Coefficients and intercepts of every class: of two classes, the first has margin 0."""
+    if len(fitted.classes) > 2:
+        return fitted.coef, fitted.intercept, fitted.classes
+    return np.vstack([np.zeros_like(fitted.coef), fitted.coef]), np.append(0.0, fitted.intercept), fitted.classes
+
+
+# ---------------------------------------------------------------------------
+# F4, F11-F13 on a stream: fitted once on the table, then applied to documents as they come
+# ---------------------------------------------------------------------------
+def _streamed(spark, d, step):
+    """``step(model, vectors or rows)`` on the stream of documents, through the exactly-once file sink."""
+    ensure_checkpoint_dir(spark)
+    fitted, _ = V.fit_tfidf(doc_tokens(Tables(spark, d)), "doc_id", "tokens_str", MIN_DF, MAX_DF, MAX_FEATURES)
+    sdf = RW.read_stream(spark, d, SCHEMAS["documents"], glob="documents.parquet")
+    words = TK.terms(TK.tokens_str(TK.token_chain("text", cleaner="embeddings")))
+    out = RW.apply_rowwise(sdf, lambda s: step(fitted.rows, s.select(F.col("doc_id").alias("id"), words.alias("units"))))
+    path = IO.scratch_dir(spark, "stream")
+    RW.run_available(out, path, path + "-ckpt")
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def _rule_coef(model: RV.TermModel, classes: int) -> np.ndarray:
+    """The rule-derived coefficients of the scoring queries."""
+    n = np.array([len(t) for t in model.terms], dtype=np.int64)
+    return np.stack([(((n + c) % 5) - 2) / 10.0 for c in range(classes)])
+
+
+@query("stream_tfidf", f"WITH {DOC_MODEL_SQL} SELECT id AS doc_id, term, round(weight, 6) AS weight FROM dw")
+def q_stream_tfidf(spark, d):
+    out = _streamed(spark, d, lambda m, s: m.long(s, "units", ["id"]))
+    return out.select(F.col("id").alias("doc_id"), "term", F.round("weight", 6).alias("weight"))
+
+
+@query("stream_score_binary", SCORE_BINARY_SQL)
+def q_stream_binary(spark, d):
+    out = _streamed(spark, d, lambda m, s: RV.score_binary_rows(m.vectors(s, "units", ["id"]), ["id"], _rule_coef(m, 1), -0.1))
+    return out.select("id", F.round("prob", 6).alias("prob"), "pred")
+
+
+@query("stream_score_multiclass", SCORE_MULTICLASS_SQL)
+def q_stream_multiclass(spark, d):
+    out = _streamed(spark, d, lambda m, s: RV.score_multiclass_rows(
+        m.vectors(s, "units", ["id"]), ["id"], _rule_coef(m, 3), [0.0] * 3, ["negative", "neutral", "positive"]))
+    return out.select("id", "label_pred", F.round("confidence", 6).alias("confidence"))
+
+
+@query("stream_top_features", FEATURES_BY_CLASS_SQL)
+def q_stream_top_features(spark, d):
+    def step(m, s):
+        coef = _rule_coef(m, 3)
+        scored = RV.margins(m.vectors(s, "units", ["id"]), ["id", "idx", "weight"], coef, [0.0] * 3)
+        rounded = F.transform("margins", lambda x: F.round(x, 9))
+        cls = (F.array_position(rounded, F.array_max(rounded)) - 1).alias("cls")
+        return RV.top_features_rows(scored.select("id", "idx", "weight", cls), ["id", "cls"], m, coef, n=8, cls="cls")
+
+    out = _streamed(spark, d, step)
+    return out.select("id", "cls", "term", F.round("contribution", 6).alias("contribution"), "rank")
 
 
 @query("kmeans")

@@ -108,6 +108,23 @@ def q_unique_seq(spark, d):
     return R.assert_unique_sequential(ids, "row_id")
 
 
+@query("detect_layout", f"""
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND text IS NOT NULL THEN 'structured'
+    WHEN doc_id % 3 = 1 AND regexp_matches('7 your persona: ' || text, {Q.lit(X.PERSONA_FACT_RE)}) THEN 'text'
+    WHEN regexp_matches(text, {Q.lit(X.PERSONA_FACT_RE)}) THEN 'text' ELSE 'unknown' END AS kind,
+  CASE WHEN doc_id % 3 = 0 AND text IS NOT NULL THEN 'personality'
+    WHEN doc_id % 3 = 1 AND regexp_matches('7 your persona: ' || text, {Q.lit(X.PERSONA_FACT_RE)}) THEN 'text'
+    WHEN regexp_matches(text, {Q.lit(X.PERSONA_FACT_RE)}) THEN 'text' END AS field
+FROM documents""")
+def q_detect_layout(spark, d):
+    # three shapes of record: a list of facts, a persona line, plain text
+    docs = Tables(spark, d).documents
+    line = F.when(F.col("doc_id") % 3 == 1, F.concat(F.lit("7 your persona: "), "text")).otherwise(F.col("text"))
+    facts = F.when(F.col("doc_id") % 3 == 0, F.split("text", "\\n"))
+    shaped = docs.select("doc_id", facts.alias("personality"), line.alias("text"))
+    return shaped.select("doc_id", R.record_layout(shaped).alias("l")).select("doc_id", "l.kind", "l.field")
+
+
 @query("diverse_sample", f"""
 WITH r AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY {Q.md5key('vec_id')}, vec_id)
            AS round FROM embeddings)

@@ -14,6 +14,7 @@ from loomtext.operators import recmetrics as RM
 from loomtext.operators import retrieval as RT
 from loomtext.operators import rows as R
 from loomtext.operators import splits as SP
+from loomtext.operators import stats as ST
 from loomtext.operators import vectors as V
 from loomtext.sources import io as IO
 from loomtext.plans.prefix import position, prefix_sum, prefix_sums
@@ -74,14 +75,6 @@ def test_kmeans_finds_two_groups(spark):
     assert len({r.cluster for r in M.kmeans(df.limit(3), "v", k=100).collect()}) <= 3
 
 
-def test_linear_svc_separates_three_classes(spark):
-    rows = [(float(c), [1.0 if j == c else 0.05 * (i % 3) for j in range(3)]) for c in range(3) for i in range(10)]
-    df = M.dense_features(spark.createDataFrame(rows, "y double, v array<double>"), "v")
-    model = M.train_linear_svc(df, "y", max_iter=30)
-    scored = M.score_multiclass(model, df, ["a", "b", "c"]).select("y", "label_pred").collect()
-    assert all(r.label_pred == "abc"[int(r.y)] for r in scored)
-
-
 def test_top_features_fixed_coefficients(spark):
     weights = spark.createDataFrame([(1, "x", 0.5), (1, "y", 0.5), (1, "z", 1.0), (2, "x", 1.0), (2, "w", 1.0)],
                                     "id long, term string, weight double")
@@ -344,21 +337,6 @@ def test_overlap_between_splits(spark):
 
 
 
-def test_logreg_separates_fixture(spark):
-    from loomtext.operators import models as M
-    rows = [(i, "good great fine nice" if i % 2 else "bad awful poor nasty", i % 2 == 0) for i in range(60)]
-    df = spark.createDataFrame(rows, "id long, text string, y boolean").withColumn("y", F.col("y").cast("double"))
-    tf = V.term_counts(df, "id", "text", bigrams=False)
-    vocab = V.build_vocabulary(tf, 60, 1, max_features=100)
-    w = V.tfidf_weights(tf, V.idf_table(vocab, 60), True)
-    idx = M.term_index(vocab)
-    feats = M.to_vectors(w, idx, 100).join(df.select("id", "y"), "id")
-    model = M.train_logreg(feats, "y", max_iter=50)
-    scored = M.score_binary(model, feats)
-    auc = C.roc_auc(scored, "y", "prob").first().auc
-    assert auc > 0.95
-
-
 def test_positions_in_any_number_of_slices(spark):
     """Nothing in the plan or on the driver grows with the number of slices."""
     rows = [(i % 7 if i % 5 else None, (i * 7919) % 20011, i % 3) for i in range(20000)]
@@ -378,3 +356,36 @@ def test_positions_in_any_number_of_slices(spark):
                 run[g] = (want[g, o][0] + v, want[g, o][1] + 1)
             assert {(r.g, r.o): (r.a, r.b) for r in sums.collect()} == want
     assert len(sizes) == 1
+
+
+def test_box_stats_of_hot_null_and_empty_groups(spark):
+    rows = [("hot", float((i * 7919) % 1009)) for i in range(3000)] + [("one", 4.0), (None, 1.0), (None, 2.0), ("two", None),
+                                                                       ("gap", None), ("gap", 3.0), ("gap", 3.0), ("gap", 9.0)]
+    df = spark.createDataFrame(rows, "g string, v double").withColumn("n", F.lit("clash")).repartition(4)
+    got = {r.g: r for r in ST.box_stats(df, "v", "g").collect()}
+    assert set(got) == {"hot", "one", None, "two", "gap"}
+    for g in ("hot", "one", None, "gap"):
+        values = [v for k, v in rows if k == g and v is not None]
+        assert [got[g].q1, got[g].median, got[g].q3] == pytest.approx(list(np.quantile(values, [0.25, 0.5, 0.75])))
+        assert (got[g].min, got[g].max, got[g].n) == (min(values), max(values), sum(k == g for k, _ in rows))
+    assert got["two"].n == 1 and got["two"].median is None
+    assert ST.box_stats(df.limit(0), "v", "g").count() == 0
+
+
+def test_dictionary_join_splits_hot_tokens(spark):
+    rows = [(i, ["the", f"w{i % 1500}", None, "the", f"x{i}"]) for i in range(3000)] + [(3000, []), (3001, None)]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>").withColumn("value", F.lit("clash")).repartition(4)
+    entries = [("the", "THE"), ("x7", "seven")] + [(f"w{i}", f"W{i}") for i in range(0, 1500, 2)]
+    dic = spark.createDataFrame(entries, "form string, value string")
+    table = dict(entries)
+    want = {i: [table.get(t, t) for t in ts or []] for i, ts in rows}
+    for bounded in (True, False):
+        assert {r.id: r.mapped for r in M.dictionary_join(df, "id", "tokens", dic, bounded=bounded).collect()} == want
+    assert M.dictionary_join(df.limit(0), "id", "tokens", dic, bounded=False).count() == 0
+
+
+def test_record_layout_by_row(spark):
+    df = spark.createDataFrame([(["a"], "x"), (None, "2 your persona: I ski"), ([], "plain"), (None, None)],
+                               "persona array<string>, text string")
+    assert [tuple(r.l) for r in df.select(R.record_layout(df).alias("l")).collect()] == [
+        ("structured", "persona"), ("text", "text"), ("unknown", None), ("unknown", None)]
