@@ -141,9 +141,9 @@ def fit_tfidf(df: DataFrame, id_col: str, text: Column | str, min_df: int = 2,
               bigrams: bool = True) -> tuple[TfidfModel, DataFrame]:
     """fit on ``df``, one row a document, and return (model, weights of ``df``).
 
-    The cleaned words feed the vocabulary and the weights, so they are written once."""
+    The cleaned words feed the vocabulary and the weights, so they are kept (spilling to disk; lost blocks recompute)."""
     if max_features:
-        units = written_table(df.select(F.col(id_col).alias("id"), TK.terms(text).alias("units")), "units")
+        units = df.select(F.col(id_col).alias("id"), TK.terms(text).alias("units")).persist(StorageLevel.MEMORY_AND_DISK)
         rows = fit_terms(units, "units", units.count(), max_features, min_df, max_df, bigrams)
         return TfidfModel(bigrams, rows=rows), rows.long(units, "units", ["id"])
     tf = term_counts(df, id_col, text, bigrams).persist(StorageLevel.MEMORY_AND_DISK)
