@@ -3,21 +3,18 @@
 Sparse vectors live in a long table ``(id, term, weight)``; dense vectors in
 an ``ARRAY<FLOAT>`` column. Similarity search never materialises all pairs:
 
-* sparse: postings joined on term, summed per (query, candidate); the query
-  side is broadcast only below a counted row bound, otherwise both sides are
-  salted on the candidate hash so a frequent term spreads over many tasks;
-* dense: the two tables are cut into tiles by hashed id; each
-  (query tile, candidate tile) pair meets in one ``applyInPandas`` call that
-  multiplies two bounded blocks and keeps k per query;
-* top-k is two-stage (per query and candidate bucket, then per query), so no
-  task sorts all candidates of one query.
+* sparse: postings joined on term, summed per (query, candidate); top-k reads
+  only the postings that a query's bounds leave (``topk.py``); the query side is
+  broadcast only below a counted row bound, otherwise both sides are salted on
+  the candidate hash so a frequent term spreads over many tasks;
+* dense: candidates lie in cells around pivots, queries visit the cells whose
+  bound reaches the score they need (``cells.py``); a query tile and a cell's
+  tile meet in one ``applyInPandas`` call that multiplies two bounded blocks;
+* sparse top-k is two-stage (per query and candidate bucket, then per query),
+  so no task sorts all candidates of one query.
 """
 from __future__ import annotations
 
-import math
-import weakref
-from collections.abc import Sequence
-
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
@@ -27,22 +24,9 @@ from pyspark.sql import functions as F
 from ..functions import tokens as TK
 from ..plans.prefix import position
 from ..session import written_table
+from .cells import Cells, vectors
 from .rowvectors import TermModel, fit_terms
-
-# Broadcast bound for a query-side table, in rows (checked by count()).
-BROADCAST_ROWS = 2_000_000
-
-_COUNTS: dict[int, tuple[weakref.ref, int]] = {}
-
-
-def row_count(df: DataFrame) -> int:
-    """``df.count()`` once per DataFrame object (tile sizing reuses it)."""
-    hit = _COUNTS.get(id(df))
-    if hit is not None and hit[0]() is df:
-        return hit[1]
-    n = df.count()
-    _COUNTS[id(df)] = (weakref.ref(df), n)
-    return n
+from .topk import meet, pruned_pairs, topk_per_query
 
 
 # ---------------------------------------------------------------------------
@@ -159,26 +143,6 @@ def fit_joint_corpus(a: DataFrame, b: DataFrame, id_col: str, text: str, **kw):
     return fit_tfidf(both, id_col, text, **kw)
 
 
-# ---------------------------------------------------------------------------
-# Top-k helpers
-# ---------------------------------------------------------------------------
-def topk_per_query(scores: DataFrame, k: int, digits: int = 6, buckets: int = 64) -> DataFrame:
-    """Keep ``k`` candidates per ``qid`` by (score rounded desc, cid asc).
-
-    Stage 1 ranks inside (qid, cid bucket) groups, stage 2 over at most
-    ``buckets * k`` survivors per query."""
-    s = scores.withColumn("score", F.round("score", digits))
-    b = s.withColumn("__b", F.pmod(F.xxhash64("cid"), F.lit(buckets)))
-    w1 = Window.partitionBy("qid", "__b").orderBy(F.desc("score"), "cid")
-    stage1 = b.withColumn("__r", F.row_number().over(w1)).filter(F.col("__r") <= k).drop("__r", "__b")
-    w2 = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")
-    return stage1.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)
-
-
-def _rows_bounded(df: DataFrame, limit: int) -> bool:
-    return df.limit(limit + 1).count() <= limit
-
-
 # ---------------------------------------------------------------------------
 # G1 sparse cosine
 # ---------------------------------------------------------------------------
@@ -186,17 +150,8 @@ def cosine_sparse(q: DataFrame, c: DataFrame, exclude_self: bool = False, salts:
     """G1: ``(qid, cid, score)`` for every pair sharing a term.
 
     ``q``/``c``: ``(id, term, weight)`` with unit-length vectors."""
-    qa = q.select(F.col("id").alias("qid"), "term", F.col("weight").alias("wq"))
-    ca = c.select(F.col("id").alias("cid"), "term", F.col("weight").alias("wc"))
-    if _rows_bounded(qa, BROADCAST_ROWS):
-        pairs = ca.join(F.broadcast(qa), "term")
-    else:
-        qs = qa.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        cs = ca.withColumn("__s", F.pmod(F.xxhash64("cid"), F.lit(salts)))
-        pairs = cs.join(qs, ["term", "__s"])
-    if exclude_self:
-        pairs = pairs.filter(F.col("qid") != F.col("cid"))
-    return pairs.groupBy("qid", "cid").agg(F.sum(F.col("wq") * F.col("wc")).alias("score"))
+    pairs = meet(q.select(F.col("id").alias("qid"), "term", F.col("weight").alias("wq")), c, exclude_self, salts)
+    return pairs.groupBy("qid", "cid").agg(F.sum("part").alias("score"))
 
 
 def fill_topk(top: DataFrame, queries: DataFrame, qid: str, cands: DataFrame, cid: str, k: int,
@@ -218,9 +173,9 @@ def fill_topk(top: DataFrame, queries: DataFrame, qid: str, cands: DataFrame, ci
 
 def sparse_topk(q: DataFrame, c: DataFrame, k: int, exclude_self: bool = False,
                 queries: tuple[DataFrame, str] | None = None, cands: tuple[DataFrame, str] | None = None) -> DataFrame:
-    """Top-k candidates per query by sparse cosine. With ``queries`` and ``cands`` (a table and its id
+    """Top-k candidates per query by sparse cosine, postings pruned by bounds (``topk.py``). With ``queries`` and ``cands`` (a table and its id
     column) candidates without a common term rank too, at score 0, as do all of a query without terms."""
-    scored = cosine_sparse(q, c, exclude_self).where(F.round("score", 6) > 0)
+    scored = pruned_pairs(q, c, k, exclude_self).where(F.round("score", 6) > 0)
     top = topk_per_query(scored, k)
     return fill_topk(top, *queries, *cands, k, exclude_self) if queries and cands else top
 
@@ -255,16 +210,6 @@ def dot(a: Column | str, b: Column | str) -> Column:
 _PAIR_SCHEMA = "qid long, cid long, score double"
 
 
-def _tiles(df: DataFrame, id_col: str, vec: Column | str, tile_rows: int, own: str, other: str,
-           other_tiles: int, n_rows: int) -> tuple[DataFrame, int]:
-    v = F.col(vec) if isinstance(vec, str) else vec
-    ntiles = max(1, math.ceil(n_rows / tile_rows))
-    out = (df.select(F.col(id_col).alias("id"), v.alias("vec"))
-           .withColumn(own, F.pmod(F.xxhash64("id"), F.lit(ntiles)).cast("int"))
-           .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(other_tiles - 1)))))
-    return out, ntiles
-
-
 def _block_scores(q: pd.DataFrame, c: pd.DataFrame, k: int | None, exclude_self: bool,
                   digits: int, min_score: float | None) -> pd.DataFrame:
     if q.empty or c.empty:
@@ -289,31 +234,44 @@ def _block_scores(q: pd.DataFrame, c: pd.DataFrame, k: int | None, exclude_self:
 
 
 def dense_pairs(queries: DataFrame, qid: str, qvec: Column | str, cands: DataFrame, cid: str,
-                cvec: Column | str, k: int | None = None, exclude_self: bool = False,
-                min_score: float | None = None, tile_q: int = 1024, tile_c: int = 4096,
-                digits: int = 6) -> DataFrame:
-    """Tiled block product. With ``k``: up to k best candidates per query and
-    tile. With ``min_score``: every pair scoring at least that (theta join).
-    """
-    nq, nc = row_count(queries), row_count(cands)
-    bq = max(1, math.ceil(nq / tile_q))
-    bc = max(1, math.ceil(nc / tile_c))
-    qt, _ = _tiles(queries, qid, qvec, tile_q, "qt", "ct", bc, nq)
-    ct, _ = _tiles(cands, cid, cvec, tile_c, "ct", "qt", bq, nc)
+                cvec: Column | str, min_score: float, exclude_self: bool = False, tile_q: int = 1024,
+                tile_c: int = 4096, digits: int = 6) -> DataFrame:
+    """Every pair whose rounded product is at least ``min_score`` (theta join); a query meets only the cells
+    that can hold such a candidate (``cells.py``)."""
+    cells = Cells(cands, cid, cvec, tile_c)
+    q = vectors(queries, qid, qvec)
+    q = q.withColumn("cells", cells.within("vec", F.lit(min_score - _slack(digits))))
+    return cells.search(q, tile_q, lambda a, b: _block_scores(a, b, None, exclude_self, digits, min_score), _PAIR_SCHEMA)
 
-    def fn(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        return _block_scores(qpdf, cpdf, k, exclude_self, digits, min_score)
 
-    return (qt.groupBy("qt", "ct").cogroup(ct.groupBy("qt", "ct"))
-            .applyInPandas(fn, schema=_PAIR_SCHEMA))
+def dense_topk(queries: DataFrame, qid: str, qvec: Column | str, cands: DataFrame, cid: str,
+               cvec: Column | str, k: int, exclude_self: bool = False, tile_q: int = 1024,
+               tile_c: int = 4096, digits: int = 6, cells: Cells | None = None) -> DataFrame:
+    """Exact top-k by dot product (cosine on unit vectors): the nearest cells first, then those whose bound
+    reaches the k-th score found there."""
+    cells = cells or Cells(cands, cid, cvec, tile_c)
+    q = vectors(queries, qid, qvec)
+    first = k + int(exclude_self)
 
+    def block(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return _block_scores(a, b, k, exclude_self, digits, None)
 
-def dense_topk(queries: DataFrame, qid: str, qvec: Column | str, cands: DataFrame, cid: str,
-               cvec: Column | str, k: int, exclude_self: bool = False, **kw) -> DataFrame:
-    """Exact top-k by dot product (cosine on unit vectors)."""
-    pairs = dense_pairs(queries, qid, qvec, cands, cid, cvec, k=k, exclude_self=exclude_self, **kw)
     w = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")
-    return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+    def best(pairs: DataFrame) -> DataFrame:
+        return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+    near = written_table(best(cells.search(q.withColumn("cells", cells.nearest("vec", first)), tile_q, block, _PAIR_SCHEMA)), "near")
+    least = (near.groupBy(F.col("qid").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
+             .where(F.col("n") >= k).select("id", (F.col("least") - _slack(digits)).alias("least")))
+    rest = q.join(least, "id", "left").fillna(float("-inf"), ["least"])
+    far = cells.search(rest.withColumn("cells", cells.within("vec", F.col("least"), first)).drop("least"), tile_q, block, _PAIR_SCHEMA)
+    return best(near.drop("rank").unionByName(far))
+
+
+def _slack(digits: int) -> float:
+    """What rounding of two scores can hide."""
+    return 1.001 * 10.0 ** -digits
 
 
 _COUNT_SCHEMA = "qid long, n_before long"
@@ -335,24 +293,12 @@ def _block_count(q: pd.DataFrame, c: pd.DataFrame, digits: int) -> pd.DataFrame:
 
 def dense_rank_of(queries: DataFrame, qid: str, qvec: Column | str, s_star: str, c_star: str,
                   cands: DataFrame, cid: str, cvec: Column | str, tile_q: int = 1024,
-                  tile_c: int = 4096, digits: int = 6, n_queries: int | None = None) -> DataFrame:
-    """Number of candidates ranked before ``(s_star, c_star)`` per query
-    (score desc, id asc), counted tile by tile; nothing is emitted per pair.
-    ``n_queries`` (an upper bound is enough) sizes the tiles without a count."""
-    nq = n_queries if n_queries is not None else row_count(queries)
-    nc = row_count(cands)
-    bq = max(1, math.ceil(nq / tile_q))
-    bc = max(1, math.ceil(nc / tile_c))
-    v = F.col(qvec) if isinstance(qvec, str) else qvec
-    qt = (queries.select(F.col(qid).alias("id"), v.alias("vec"), F.col(s_star).alias("s_star"),
-                         F.col(c_star).alias("c_star"))
-          .withColumn("qt", F.pmod(F.xxhash64("id"), F.lit(bq)).cast("int"))
-          .withColumn("ct", F.explode(F.sequence(F.lit(0), F.lit(bc - 1)))))
-    ct, _ = _tiles(cands, cid, cvec, tile_c, "ct", "qt", bq, nc)
-
-    def fn(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        return _block_count(qpdf, cpdf, digits)
-
-    counts = (qt.groupBy("qt", "ct").cogroup(ct.groupBy("qt", "ct"))
-              .applyInPandas(fn, schema=_COUNT_SCHEMA))
-    return counts.groupBy("qid").agg(F.sum("n_before").alias("n_before"))
+                  tile_c: int = 4096, digits: int = 6) -> DataFrame:
+    """Number of candidates ranked before ``(s_star, c_star)`` per query (score desc, id asc), counted tile by
+    tile in the cells that can hold such a candidate; nothing is emitted per pair."""
+    cells = Cells(cands, cid, cvec, tile_c)
+    q = vectors(queries, qid, qvec, F.col(s_star).alias("s_star"), F.col(c_star).alias("c_star"))
+    q = q.withColumn("cells", cells.within("vec", F.col("s_star") - _slack(digits)))
+    counts = cells.search(q, tile_q, lambda a, b: _block_count(a, b, digits), _COUNT_SCHEMA)
+    none = queries.select(F.col(qid).alias("qid"), F.lit(0).cast("long").alias("n_before"))
+    return counts.unionByName(none).groupBy("qid").agg(F.sum("n_before").alias("n_before"))

@@ -391,7 +391,7 @@ def per_query(t: Tables):
     w = retrieval_weights(t)
     ids = lambda side: side.select(F.col("vec_id").alias("id"))
     relevant = written_table(RT.oracle_relevance(qs, bank, "vec_id", "full", REL_T), "relevant")
-    dense = RT.per_query_metrics(qs, bank, "vec_id", "full", "full", REL_T)
+    dense = RT.per_query_metrics(qs, bank, "vec_id", "full", "full", REL_T, relevant=relevant)
     sparse = RT.per_query_metrics_sparse(qs, bank, "vec_id", w.join(ids(qs), "id", "left_semi"),
                                          w.join(ids(bank), "id", "left_semi"), relevant)
     return {"dense": dense, "tfidf": sparse}
