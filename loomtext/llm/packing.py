@@ -5,12 +5,14 @@
 2. The number of pieces per length (at most ``capacity`` numbers, however many
    documents there are) is all the planner sees. It starts a sequence with the
    longest length left, and fills the gap that remains from an index of the
-   sums of one, two and three lengths: a combination whose sum is exactly the
-   gap is consumed as often as the availability counts allow. What no
-   combination completes is filled best-fit, longest fitting length first,
-   ending again in an exact complement where there is one. A second plan is
-   best fit alone; the plan with fewer sequences is taken. Each step gives a
-   pattern (lengths side by side) and how many sequences take it.
+   sums of one, two and three lengths, kept current as counts run out: a
+   combination whose sum is exactly the gap is consumed as often as the
+   availability counts allow. What no combination completes is filled best-fit,
+   longest fitting length first, ending again in an exact complement where there
+   is one. Small pieces can be reserved for gaps that no longer one fits: a
+   combination is then taken only if its longest length is the longest that fits.
+   Both ways are planned, the one with fewer sequences is taken. Each step gives
+   a pattern (lengths side by side) and how many sequences take it.
 3. Pieces of one length get ranks (counts per hashed slice, running sums over
    the slices, row numbers inside a slice: no length is ever one task's work),
    and the patterns turn (length, rank) into a sequence and an offset.
@@ -133,12 +135,27 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id
 
 
 class Shelf:
-    """Availability counts by length, with the index of one-, two- and three-length sums."""
+    """Availability counts by length, with the index of one-, two- and three-length sums.
+
+    ``pairs[total]`` is the number of available pairs of lengths of that sum; it follows every change of a count
+    from or to none (or one, for a length beside itself). A triple is a length and an indexed pair."""
 
     def __init__(self, counts: dict[int, int], capacity: int):
+        self.capacity = capacity
         self.count = np.zeros(capacity + 1, dtype=np.int64)
+        self.pairs = np.zeros(capacity + 1, dtype=np.int64)
         for length, n in counts.items():
-            self.count[length] = n
+            self.add(length, n)
+
+    def add(self, length: int, n: int) -> None:
+        old = int(self.count[length])
+        new = old + n
+        if (old > 0) != (new > 0):
+            others = np.flatnonzero(self.count[:self.capacity - length + 1])
+            self.pairs[others[others != length] + length] += 1 if new else -1
+        if 2 * length <= self.capacity and (old > 1) != (new > 1):
+            self.pairs[2 * length] += 1 if new > 1 else -1
+        self.count[length] = new
 
     def largest(self, most: int) -> int:
         at = np.flatnonzero(self.count[:most + 1])
@@ -146,28 +163,27 @@ class Shelf:
 
     def pair(self, total: int) -> tuple[int, ...] | None:
         """Two available lengths of that sum, the larger as large as can be."""
-        if total < 2:
+        if total < 2 or not self.pairs[total]:
             return None
         large = np.arange(total - 1, (total - 1) // 2, -1)
         c = self.count
-        ok = (c[large] > 0) & (c[total - large] > 0) & ((large * 2 != total) | (c[large] > 1))
-        at = int(ok.argmax())
-        return (int(large[at]), int(total - large[at])) if ok[at] else None
+        at = int(((c[large] > 0) & (c[total - large] > 0) & ((large * 2 != total) | (c[large] > 1))).argmax())
+        return int(large[at]), int(total - large[at])
 
-    def complement(self, gap: int) -> tuple[int, ...] | None:
-        """One, two or three available lengths whose sum is exactly the gap."""
+    def complement(self, gap: int, least: int = 0) -> tuple[int, ...] | None:
+        """One, two or three available lengths whose sum is exactly the gap, the first the longest of them and, of
+        several, at least ``least``."""
         if gap <= 0:
             return None
         if self.count[gap]:
             return (gap,)
-        if two := self.pair(gap):
+        if (two := self.pair(gap)) and two[0] >= least:
             return two
-        for a in np.flatnonzero(self.count[:gap - 1])[::-1].tolist():
-            if 3 * a < gap:
-                break
-            self.count[a] -= 1
+        longest = np.arange(gap - 2, max((gap - 1) // 3, least - 1), -1)
+        for a in longest[(self.count[longest] > 0) & (self.pairs[gap - longest] > 0)].tolist():
+            self.add(a, -1)
             two = self.pair(gap - a)
-            self.count[a] += 1
+            self.add(a, 1)
             if two:
                 return (a, *two)
         return None
@@ -177,7 +193,7 @@ class Shelf:
         need = {x: lengths.count(x) for x in lengths}
         times = min(int(self.count[x]) // n for x, n in need.items())
         for x, n in need.items():
-            self.count[x] -= times * n
+            self.add(x, -times * n)
         return times
 
 
@@ -185,45 +201,40 @@ def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
     """(lengths of a sequence in order, number of such sequences), covering all counts.
 
     Exact combinations of small pieces starve the gaps of long pieces where these are many, and leave less
-    room unused where they are few: of both plans the one with fewer sequences is taken."""
-    plans = [completed(counts, capacity), best_fit(Shelf(counts, capacity), capacity, exact=False)]
-    return min(plans, key=lambda plan: sum(times for _, times in plan))
+    room unused where few lengths repeat: planned with and without reserving small pieces."""
+    return min((completed(counts, capacity, reserve) for reserve in (True, False)),
+               key=lambda plan: sum(times for _, times in plan))
 
 
-def completed(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Exact combinations of up to four lengths, longest first, then best fit."""
+def completed(counts: dict[int, int], capacity: int, reserve: bool) -> list[tuple[tuple[int, ...], int]]:
+    """Exact combinations of up to four lengths, longest first; then the rest, the longest that fits behind, until a
+    combination is exactly the gap."""
     shelf, out = Shelf(counts, capacity), []
-    for length in range(capacity, 0, -1):  # exact completions
+
+    def exact(gap: int) -> tuple[int, ...] | None:
+        return shelf.complement(gap, shelf.largest(gap) if reserve else 0)
+
+    for length in range(capacity, 0, -1):
         while shelf.count[length]:
-            if length == capacity:
-                out.append(((length,), shelf.take((length,))))
-                continue
-            shelf.count[length] -= 1
-            rest = shelf.complement(capacity - length)
-            shelf.count[length] += 1
-            if not rest:
+            shelf.add(length, -1)
+            rest = () if length == capacity else exact(capacity - length)
+            shelf.add(length, 1)
+            if rest is None:
                 break
             out.append(((length, *rest), shelf.take((length, *rest))))
-    return out + best_fit(shelf, capacity, exact=True)
-
-
-def best_fit(shelf: Shelf, capacity: int, exact: bool) -> list[tuple[tuple[int, ...], int]]:
-    """What is on the shelf, longest first and the longest that fits behind it; ``exact`` prefers a
-    combination that is exactly the gap."""
-    out = []
     while (length := shelf.largest(capacity)):
         pattern, gap = [length], capacity - length
-        shelf.count[length] -= 1
+        shelf.add(length, -1)
         while gap:
-            rest = exact and shelf.complement(gap) or ((fit,) if (fit := shelf.largest(gap)) else ())
+            rest = exact(gap) or ((fit,) if (fit := shelf.largest(gap)) else ())
             if not rest:
                 break
             pattern += rest
             gap -= sum(rest)
             for x in rest:
-                shelf.count[x] -= 1
+                shelf.add(x, -1)
         for x in pattern:
-            shelf.count[x] += 1
+            shelf.add(x, 1)
         out.append((tuple(pattern), shelf.take(tuple(pattern))))
     return out
 

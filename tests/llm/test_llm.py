@@ -189,6 +189,16 @@ def test_packing_plan():
     assert sum(n for _, n in plan) <= 1.01 * total / 2048 + 1
 
 
+def _best_fit_decreasing(lengths):
+    """Sorted room of the sequences."""
+    gaps: list[int] = []
+    for x in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(gaps, x)
+        room = gaps.pop(at) if at < len(gaps) else 2048
+        bisect.insort(gaps, room - x)
+    return gaps
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_packing_plan_of_long_pieces(seed):
     """Half of the lengths need a sequence each: no more sequences than best-fit decreasing."""
@@ -201,12 +211,32 @@ def test_packing_plan_of_long_pieces(seed):
         for x in pattern:
             used[x] += times
     assert used == counts
-    gaps: list[int] = []  # sorted room of the sequences
-    for x in lengths:
-        at = bisect.bisect_left(gaps, x)
-        room = gaps.pop(at) if at < len(gaps) else 2048
-        bisect.insort(gaps, room - x)
-    assert sum(n for _, n in plan) <= len(gaps)
+    assert sum(n for _, n in plan) <= len(_best_fit_decreasing(lengths))
+
+
+def test_packing_index():
+    """Pairs of the index and complements against brute force, as counts run out."""
+    rng = np.random.default_rng(4)
+    shelf = packing.Shelf(dict(collections.Counter(rng.integers(1, 41, 60).tolist())), 40)
+    while (x := shelf.largest(40)):
+        have = [n for n in range(1, 41) for _ in range(min(int(shelf.count[n]), 3))]
+        sums = [{c for c in itertools.combinations(have, r)} for r in (1, 2, 3)]
+        for gap in range(1, 41):
+            assert shelf.pairs[gap] == sum(sum(c) == gap for c in sums[1])
+            fits = [c for r in sums for c in r if sum(c) == gap]
+            for least in (0, shelf.largest(gap)):
+                got = shelf.complement(gap, least)
+                ok = [c for c in fits if len(c) == 1 or max(c) >= least]
+                assert (tuple(sorted(got)) in ok) if got else not ok
+        shelf.take((int(rng.choice(have)),))
+
+
+def test_packing_few_lengths():
+    """Where few lengths repeat, exact combinations of small pieces need fewer sequences than best fit (824)."""
+    lengths = np.random.default_rng(7).choice([1100, 700, 650, 300, 290, 48], 3000).tolist()
+    plan = packing.plan_patterns(dict(collections.Counter(lengths)))
+    assert sum(n * len(p) for p, n in plan) == 3000
+    assert sum(n for _, n in plan) < 0.98 * len(_best_fit_decreasing(lengths))
 
 
 def test_token_counts(docs, empty):
