@@ -81,7 +81,7 @@ def _streamed(spark, d, step):
     """``step(model, vectors or rows)`` on the stream of documents, through the exactly-once file sink."""
     ensure_checkpoint_dir(spark)
     fitted, _ = V.fit_tfidf(doc_tokens(Tables(spark, d)), "doc_id", "tokens_str", MIN_DF, MAX_DF, MAX_FEATURES)
-    sdf = RW.read_stream(spark, d, SCHEMAS["documents"], glob="documents.parquet")
+    sdf = RW.table_stream(spark, d, "documents", SCHEMAS["documents"])
     words = TK.terms(TK.tokens_str(TK.token_chain("text", cleaner="embeddings")))
     out = RW.apply_rowwise(sdf, lambda s: step(fitted.rows, s.select(F.col("doc_id").alias("id"), words.alias("units"))))
     path = IO.scratch_dir(spark, "stream")

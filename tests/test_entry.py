@@ -56,3 +56,14 @@ def test_oracles_match_on_sf0001(spark):
 def test_streaming_clean(spark):
     df = E.queries()["stream_clean"](spark, SF0001)
     assert df.count() == spark.read.parquet(f"{SF0001}/documents.parquet").count()
+
+
+def test_streams_read_a_table_in_part_files(spark, tmp_path):
+    """A table may be a folder of part files: every row is streamed; one without rows gives none."""
+    src = spark.read.parquet(f"{SF0001}/documents.parquet")
+    src.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = E.queries()["stream_clean"](spark, str(tmp_path))
+    want = E.queries()["stream_clean"](spark, SF0001)
+    assert got.count() == src.count() and got.exceptAll(want).count() == 0
+    src.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert E.queries()["stream_clean"](spark, str(tmp_path / "none")).count() == 0
