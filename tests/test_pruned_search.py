@@ -123,3 +123,34 @@ def test_sparse_ties_few_and_empty(spark):
     assert [c for c, _ in got[0]] == [1, 2, 3] and [c for c, _ in got[5]] == [0, 1, 2] and 9 not in got
     none = spark.createDataFrame([], schema)
     assert V.sparse_topk(none, w, 3).count() == 0 and V.sparse_topk(w, none, 3).count() == 0
+
+
+def test_dense_candidates_are_sent_once_per_query_tile(spark):
+    """Unclustered vectors: every query visits every cell, and yet a candidate meets each tile of queries once."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+    m = np.random.default_rng(5).normal(size=(600, 8))
+    df = _table(spark, m)
+    cells = Cells(df, "id", "v", 100)
+    q = df.select("id", F.col("v").alias("vec")).withColumn("cells", cells.within("vec", F.lit(-1e9)))
+    sent = cells.search(q, 10_000, lambda a, b: pd.DataFrame({"n_q": [len(a)], "n_c": [len(b)]}), "n_q long, n_c long").collect()
+    assert len(cells.pivots) > 10 and sum(r.n_c for r in sent) == 600
+    assert cells.met == sum(r.n_q * r.n_c for r in sent)
+
+
+def test_dense_best_counts_in_tiles(spark):
+    """The number of relevant candidates and the best of them by another vector, against brute force."""
+    rng = np.random.default_rng(6)
+    rel, rank = rng.normal(size=(200, 4)), rng.normal(size=(200, 6))
+    rank[30:40] = rank[20:30]
+    df = spark.createDataFrame([(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(rel, rank))], "id long, a array<double>, b array<double>")
+    q = df.where("id < 40")
+    got = {r.qid: (r.n_relevant, r.s_star, r.c_star) for r in V.dense_best(q, "id", "a", "b", df, "id", 3.0, tile_q=7, tile_c=30).collect()}
+    s, r = np.round(rank @ rank.T, 6), np.round(rel @ rel.T, 6)
+    want = {}
+    for i in range(40):
+        js = [j for j in range(200) if r[i, j] >= 3.0]
+        if js:
+            best = min(js, key=lambda j: (-s[i, j], j))
+            want[i] = (len(js), s[i, best], best)
+    assert got == want and len(want) > 5
