@@ -154,3 +154,41 @@ def test_dense_best_counts_in_tiles(spark):
             best = min(js, key=lambda j: (-s[i, j], j))
             want[i] = (len(js), s[i, best], best)
     assert got == want and len(want) > 5
+
+
+def test_sparse_tiles_rank_all_candidates(spark):
+    """Best, relevant and preceding candidates by sparse weights over many tiles, against brute force."""
+    from loomtext.operators import sparsetiles as ST
+    rng = np.random.default_rng(8)
+    n, terms = 150, 200
+    w = np.zeros((n, terms))
+    for i in range(n):
+        w[i, rng.choice(terms, rng.integers(1, 12), replace=False)] = 1.0
+        w[i, :2] = rng.uniform(0.1, 1, 2)  # terms that all have: columns of the matrix
+        w[i] /= np.linalg.norm(w[i])
+    w[40], w[41] = 0.0, w[42]
+    vec = rng.normal(size=(n, 3))
+    rows = [(i, vec[i].tolist(), None if i == 40 else np.flatnonzero(w[i]).tolist(), None if i == 40 else w[i][w[i] > 0].tolist()) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, idx array<int>, weight array<double>")
+    q, c = df.where("id < 50"), df.where("id >= 35")
+    s, rel = np.round(w @ w.T, 6), np.round(vec @ vec.T, 6) >= 2.0
+    met = ST.sparse_best(q, c, 4, 2.0, tile=20)
+    got = {}
+    for r in met.collect():
+        g = got.setdefault(r.qid, [0, [], []])
+        g[0] += r.n_relevant
+        g[1] += [(-r.s_star, r.c_star)] * (r.n_relevant > 0)
+        g[2] += [(-x.score, x.cid) for x in r.top]
+    assert sorted(got) == list(range(50))
+    star = []
+    for i in range(50):
+        order = sorted(range(35, n), key=lambda j: (-s[i, j], j))
+        own = [j for j in order if rel[i, j]]
+        assert got[i][0] == len(own)
+        assert [j for _, j in sorted(got[i][2])[:4]] == order[:4]
+        if own:
+            assert min(got[i][1]) == (-s[i, own[0]], own[0])
+            star.append((i, float(s[i, own[0]]), own[0], order.index(own[0])))
+    sdf = spark.createDataFrame(star, "id long, s_star double, c_star long, place long")
+    ahead = {r.qid: r.n_before for r in ST.sparse_rank_of(q.join(sdf.drop("place"), "id"), c, tile=20).collect()}
+    assert ahead == {i: p for i, _, _, p in star}
