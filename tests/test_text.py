@@ -225,3 +225,19 @@ def test_table_steps_match_python_and_sql(spark):
     assert sql(Q.emoji_to_text("s")) == [emoji_named(s) for s in texts]
     assert sql(Q.contractions("s")) == apply(spark, texts, TX.expand_contractions)
     assert apply(spark, [None], TX.fix_unicode) == [""] and apply(spark, [None], TX.emoji_to_text) == [None]
+
+
+def test_no_map_is_searched_whole_for_a_reference(spark):
+    """Spark looks through a map from its start: names are dealt by first letter, and what no name can be is not looked up."""
+    import html
+    plan = spark.range(1).select(TX.unescape_entities(F.concat(F.col("id").cast("string"), F.lit("&")))) \
+        ._jdf.queryExecution().analyzed().toString()
+    assert plan.count("str_to_map") >= 52
+    texts = ["&", "&&& les", "&amp", "&ampere;", "&Aacute;x", "&Aacutex", "&é;", "&zwnj;", "&notit;", "&;"]
+    assert apply(spark, texts, TX.unescape_entities) == [html.unescape(t) for t in texts]
+
+
+def test_white_space_and_lemmas_as_before(spark):
+    texts = ["a b", "a  b", " a\tb ", "a  b", " a  b", "a\n\nb c", "  "]
+    assert apply(spark, texts, TX.norm_whitespace) == [" ".join(t.split()) for t in texts]
+    assert TX.SPACES_RE.startswith("(?!")  # most characters are told apart by one range
