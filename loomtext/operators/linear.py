@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .rowvectors import _list, row_margins
+from .rowvectors import _list, pieces, row_margins
 
 MAX_CLASSES = 1000     # more labels than this are an error, not a model
 SLICE = 1 << 16        # gradient components that meet in one group
@@ -109,9 +109,7 @@ def _gradient(rows: DataFrame, loss, size: int, class_weight: np.ndarray, rest_w
         def partial(batches):
             p = shared.value
             total, value = np.zeros_like(p), 0.0
-            for b in batches:
-                if not b.num_rows:
-                    continue
+            for b in (p for b in batches for p in pieces(b, "idx")):
                 idx, weight = _list(b.column("idx")), _list(b.column("weight"))
                 y = b.column("y").to_numpy(zero_copy_only=False)
                 w = np.repeat(class_weight[y][:, None], len(p), axis=1)

@@ -147,3 +147,21 @@ def test_streams_equal_batches(spark):
     assert key(q["stream_score_binary"](spark, SF0001)) == key(q["score_binary"](spark, SF0001))
     assert key(q["stream_score_multiclass"](spark, SF0001)) == key(q["score_multiclass"](spark, SF0001))
     assert key(q["stream_top_features"](spark, SF0001)) == key(q["top_features_of_class"](spark, SF0001))
+
+
+def test_batches_are_weighed_in_bounded_pieces(monkeypatch):
+    """A step of a task holds a bounded number of words; a longer row is a piece of its own, no row is lost."""
+    import pyarrow as pa
+    from loomtext.operators import rowvectors as RV
+    monkeypatch.setattr(RV, "PIECE", 10)
+    sizes = [3, 0, 6, 2, 25, 0, 1, 10, 4]
+    b = pa.RecordBatch.from_arrays([pa.array(range(len(sizes))), pa.array([["w"] * n for n in sizes], pa.list_(pa.string()))], ["id", "u"])
+    got = [p.column("u").to_pylist() for p in RV.pieces(b.slice(1), "u")]
+    assert [len(x) for p in got for x in p] == sizes[1:]
+    assert all(len(p) == 1 or sum(map(len, p)) <= 10 for p in got)
+    assert list(RV.pieces(b.slice(0, 0), "u")) == []
+    model = pa.array(["w", "w w"])
+    whole = RV.row_tfidf(b.column("u"), model, np.array([1.0, 2.0]), True)
+    parts = [RV.row_tfidf(p.column("u"), model, np.array([1.0, 2.0]), True) for p in RV.pieces(b, "u")]
+    for i in range(2):
+        assert [r for p in parts for r in p[i].to_pylist()] == whole[i].to_pylist()
