@@ -75,3 +75,12 @@ def test_vocabulary_by_bounds_is_the_vocabulary(spark, monkeypatch, most):
     assert _stats(V.vocabulary_of(found, len(rows), 2, 0.3, 20)) == whole
     if most == 120:
         assert counted and counted[0] < len(_want(rows))
+
+
+def test_text_vocabulary_counts_rows_of_an_id_once(spark):
+    docs = spark.createDataFrame([(1, "red fox red fox"), (1, "red dog"), (2, "red fox"), (3, None), (None, "fox"), (None, "fox")], "id long, text string")
+    for df in (docs, docs.where("id > 1")):
+        want = V.build_vocabulary(V.term_counts(df, "id", "text"), df.count(), 1, 1.0, 5)
+        assert _stats(V.text_vocabulary(df, "id", "text", 1, 1.0, 5)) == _stats(want)
+    plan = V.text_vocabulary(docs.where("id > 1"), "id", "text", 1, 1.0, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan
