@@ -104,3 +104,12 @@ def test_recommendations_in_tiles_match_those_of_long_tables(spark, exclude, mon
     assert pairs.groupBy("qid").count().agg(F.max("count")).first()[0] <= 4 * 5  # k of a tile, not all that share a term
     none = vec.where("id < 0")
     assert V.sparse_topk(none, vec, 3).count() == 0 and V.sparse_topk(vec, none, 3).count() == 0
+
+
+def test_norm_of_a_vector_is_computed_once(spark):
+    """Not anew for every element: the lambda that divides holds no sum."""
+    df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],), ([],), (None,), ([1.0, None],)], "v array<float>").select(V.l2_normalize("v").alias("n"))
+    assert [r.n for r in df.collect()] == [[0.6, 0.8], [0.0, 0.0], [], None, [1.0, None]]
+    plan = df._jdf.queryExecution().analyzed().toString()
+    divides = [part for part in plan.split("lambdafunction(")[1:] if "/" in part.split(", lambda")[0]]
+    assert divides and all("aggregate" not in part.split(", lambda")[0] for part in divides)
