@@ -44,3 +44,49 @@ def test_dense_searches_over_many_blocks(spark, monkeypatch, block):
     assert {(r.qid, r.cid) for r in pairs.collect()} == {(i, j) for i, j in zip(*np.nonzero(s >= 2.0)) if i != j}
     for plan in (_plan(top), _plan(pairs)):
         assert "CoGroup" not in plan and "Generate explode" not in plan
+
+
+def _sparse(spark, n, seed):
+    rng = np.random.default_rng(seed)
+    w = np.zeros((n, 60))
+    for i in range(n):
+        w[i, rng.choice(60, rng.integers(1, 9), replace=False)] = rng.uniform(0.1, 1)
+        w[i] /= np.linalg.norm(w[i])
+    vec = rng.normal(size=(n, 3))
+    rows = [(i, vec[i].tolist(), np.flatnonzero(w[i]).tolist(), w[i][w[i] > 0].tolist()) for i in range(n)]
+    return w, vec, spark.createDataFrame(rows, "id long, vec array<double>, idx array<int>, weight array<double>").repartition(3)
+
+
+def test_sparse_candidates_are_read_once(spark, monkeypatch):
+    """No candidate is shuffled, and a query has a row of each task, not of each pair of tiles."""
+    monkeypatch.setattr(ST, "ENTRIES", 100)  # several blocks
+    w, vec, df = _sparse(spark, 150, 4)
+    q, c = df.where("id < 40"), df.where("id >= 30")
+    met = ST.sparse_best(q, c, 3, 1.0, tile=10)
+    assert "Exchange" not in _plan(met).replace("RoundRobinPartitioning(3)", "").replace("Exchange , REPARTITION", "") and "CoGroup" not in _plan(met)
+    rows = met.collect()
+    assert len(rows) <= 40 * 3
+    s, rel = np.round(w @ w.T, 6), np.round(vec @ vec.T, 6) >= 1.0
+    assert {i: sum(r.n_relevant for r in rows if r.qid == i) for i in range(40)} == {i: int(rel[i, 30:].sum()) for i in range(40)}
+    pairs = ST.sparse_best_pairs(q, c, 3, True, tile=10).collect()
+    for i in range(40):
+        own = sorted((-r.score, r.cid) for r in pairs if r.qid == i)[:3]
+        assert own == sorted((-s[i, j], j) for j in range(30, 150) if j != i and s[i, j] > 0)[:3]
+
+
+def test_ranks_known_from_the_best_are_not_counted_again(spark, monkeypatch):
+    w, vec, df = _sparse(spark, 90, 7)
+    own = df.select("id", F.col("vec").alias("full"))
+    q, bank, weights = own.where("id < 30"), own.where("id >= 30"), df.select("id", "idx", "weight")
+    counted = []
+    for name in ("sparse_rank_of", "dense_rank_of"):
+        monkeypatch.setattr(RT, name, lambda a, *x, f=getattr(RT, name), **y: counted.append(a.count()) or f(a, *x, **y))
+    sparse = {r.qid: r for r in RT.per_query_metrics_sparse(q, bank, "id", "full", weights, 1.0).collect()}
+    dense = {r.qid: r for r in RT.per_query_metrics(q, bank, "id", "full", "full", 1.0).collect()}
+    rel = np.round(vec @ vec.T, 6) >= 1.0
+    for got, s in ((sparse, np.round(w @ w.T, 6)), (dense, np.round(vec @ vec.T, 6))):
+        for i in range(30):
+            order = sorted(range(30, 90), key=lambda j: (-s[i, j], j))
+            ranks = [n + 1 for n, j in enumerate(order) if rel[i, j]]
+            assert got[i].n_relevant == len(ranks) and got[i].rr == (1 / ranks[0] if ranks else 0.0)
+    assert 0 < counted[1 - 1] < 25 and counted[1] == 0  # dense: relevance and rank go by the same vector
