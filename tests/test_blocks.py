@@ -90,3 +90,56 @@ def test_ranks_known_from_the_best_are_not_counted_again(spark, monkeypatch):
             ranks = [n + 1 for n, j in enumerate(order) if rel[i, j]]
             assert got[i].n_relevant == len(ranks) and got[i].rr == (1 / ranks[0] if ranks else 0.0)
     assert 0 < counted[1 - 1] < 25 and counted[1] == 0  # dense: relevance and rank go by the same vector
+
+
+def test_counting_needs_little_more_than_the_words():
+    """One number for a word and its row: the step of a task that held most."""
+    rng = np.random.default_rng(1)
+    words = pa.array([f"w{i}" for i in range(3000)])
+    n = 400_000
+    units = pa.ListArray.from_arrays(pa.array(np.arange(0, n + 1, 400), pa.int32()), words.take(pa.array(rng.zipf(1.2, n) % 3000)))
+    tracemalloc.start()
+    RV.gram_counts(units, True, 10_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * n
+
+
+def test_batches_are_bounded_unless_set(spark):
+    key, size = SS.BATCH_BYTES
+    spark.conf.unset(key)
+    SS.bound_batches(spark)
+    assert spark.conf.get(key) == size
+    spark.conf.set(key, "1m")
+    SS.bound_batches(spark)
+    assert spark.conf.get(key) == "1m"
+    spark.conf.set(key, size)
+
+
+TEXTS = ["red fox and red hen", "fox hen owl", "owl owl red", "", None, "hen fox fox owl", "blue"]
+
+
+def test_fitted_words_are_not_kept_by_the_executors(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "id long, text string")
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    V.fit_tfidf(docs, "id", "text", 1, 1.0, 50)[1].count()
+    V.text_vocabulary(docs, "id", "text", 1, 1.0, 50).count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_top_features_of_rows_match_those_of_long_tables(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "id long, text string")
+    model, long = V.fit_tfidf(docs, "id", "text", 1, 1.0, 50)
+    rows = model.vectors(docs, "id", "text")
+    terms = [t for t in model.rows.terms if t != "hen"]  # a term without a coefficient has no row
+    coefs = spark.createDataFrame([(t, c, ((len(t) + c) % 3 - 1) / 7) for t in terms for c in range(2)], "term string, cls int, coef double")
+    key = lambda df: sorted((r.id, r.term, r.contribution, r["rank"]) for r in df.collect())
+    one = coefs.where("cls = 0").select("term", "coef")
+    for positive in (False, True):
+        got = M.top_features(rows, one, 3, positive, model.rows)
+        assert key(got) == key(M.top_features(long, one, 3, positive)) and "Exchange" not in _plan(got)
+    cls = docs.select("id", (F.col("id") % 3).cast("int").alias("cls"))  # class 2: the model has none
+    want = key(M.top_features_of_class(long, coefs, cls, 3))
+    assert key(M.top_features_of_class(rows, coefs, cls, 3, model.rows)) == want
+    got = M.top_features_of_class(rows.withColumn("c", (F.col("id") % 3).cast("int")), coefs, "c", 3, model.rows)
+    assert key(got) == want and want and "Exchange" not in _plan(got)
