@@ -103,14 +103,14 @@ def q_stream_tfidf(spark, d):
 
 @query("stream_score_binary", SCORE_BINARY_SQL)
 def q_stream_binary(spark, d):
-    out = _streamed(spark, d, lambda m, s: RV.score_binary_rows(m.vectors(s, "units", ["id"]), ["id"], _rule_coef(m, 1), -0.1))
+    out = _streamed(spark, d, lambda m, s: RV.score_binary_rows(m.weighed(s, "units", ["id"]), ["id"], _rule_coef(m, 1), -0.1))
     return out.select("id", F.round("prob", 6).alias("prob"), "pred")
 
 
 @query("stream_score_multiclass", SCORE_MULTICLASS_SQL)
 def q_stream_multiclass(spark, d):
     out = _streamed(spark, d, lambda m, s: RV.score_multiclass_rows(
-        m.vectors(s, "units", ["id"]), ["id"], _rule_coef(m, 3), [0.0] * 3, ["negative", "neutral", "positive"]))
+        m.weighed(s, "units", ["id"]), ["id"], _rule_coef(m, 3), [0.0] * 3, ["negative", "neutral", "positive"]))
     return out.select("id", "label_pred", F.round("confidence", 6).alias("confidence"))
 
 
@@ -118,10 +118,8 @@ def q_stream_multiclass(spark, d):
 def q_stream_top_features(spark, d):
     def step(m, s):
         coef = _rule_coef(m, 3)
-        scored = RV.margins(m.vectors(s, "units", ["id"]), ["id", "idx", "weight"], coef, [0.0] * 3)
-        rounded = F.transform("margins", lambda x: F.round(x, 9))
-        cls = (F.array_position(rounded, F.array_max(rounded)) - 1).alias("cls")
-        return RV.top_features_rows(scored.select("id", "idx", "weight", cls), ["id", "cls"], m, coef, n=8, cls="cls")
+        scored = m.weighed(s, "units", ["id"]).with_class("cls", coef, [0.0] * 3)
+        return RV.top_features_rows(scored, ["id", "cls"], m, coef, n=8, cls="cls")
 
     out = _streamed(spark, d, step)
     return out.select("id", "cls", "term", F.round("contribution", 6).alias("contribution"), "rank")

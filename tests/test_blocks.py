@@ -143,3 +143,20 @@ def test_top_features_of_rows_match_those_of_long_tables(spark):
     assert key(M.top_features_of_class(rows, coefs, cls, 3, model.rows)) == want
     got = M.top_features_of_class(rows.withColumn("c", (F.col("id") % 3).cast("int")), coefs, "c", 3, model.rows)
     assert key(got) == want and want and "Exchange" not in _plan(got)
+
+
+def test_scoring_and_ranking_take_one_worker_a_task(spark):
+    """Weighing, scoring and ranking run in one Python step, with the results of steps one after another."""
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "id long, text string")
+    model, units = V.fit_tfidf_units(docs, "id", "text", 1, 1.0, 50)
+    m = model.rows
+    coef = np.random.default_rng(2).normal(size=(3, len(m.terms)))
+    rows, weighed = m.vectors(units, "units", ["id"]), m.weighed(units, "units", ["id"])
+    key = lambda df: sorted(tuple(map(str, r)) for r in df.collect())
+    assert key(RV.margins(weighed, ["id"], coef, [0.1, 0.2, 0.3])) == key(RV.margins(rows, ["id"], coef, [0.1, 0.2, 0.3]))
+    rounded = F.transform("margins", lambda x: F.round(x, 9))
+    cls = (F.array_position(rounded, F.array_max(rounded)) - 1).cast("int").alias("cls")
+    scored = RV.margins(rows, ["id", "idx", "weight"], coef, [0.0] * 3).select("id", "idx", "weight", cls)
+    want = RV.top_features_rows(scored, ["id", "cls"], m, coef, 4, cls="cls")
+    got = RV.top_features_rows(weighed.with_class("cls", coef, [0.0] * 3), ["id", "cls"], m, coef, 4, cls="cls")
+    assert key(got) == key(want) and _plan(got).count("MapInArrow") == 1
