@@ -160,3 +160,28 @@ def test_scoring_and_ranking_take_one_worker_a_task(spark):
     want = RV.top_features_rows(scored, ["id", "cls"], m, coef, 4, cls="cls")
     got = RV.top_features_rows(weighed.with_class("cls", coef, [0.0] * 3), ["id", "cls"], m, coef, 4, cls="cls")
     assert key(got) == key(want) and _plan(got).count("MapInArrow") == 1
+
+
+def test_contractions_within_parts_are_those_of_the_text(spark):
+    """No rule reaches over a space: parts with an apostrophe alone give what the whole text gives."""
+    from loomtext.functions import fixed as X
+    from loomtext.functions import text as TX
+    texts = ["I'm sure it's fine,don't  worry", " can't", "won't ", "the'd\tyou’ll\nY'all're they'd've", "x n't 'n't a'int ain't", "'", "’ ’", "", None,
+             "let's  go  what's-this it'sx shan't_ you've,we've", "no apostrophe  here ", "rock'n'roll isn't aren't you're"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    whole = F.col("t")
+    for pattern, to in X.CONTRACTIONS:
+        whole = F.regexp_replace(whole, pattern, to)
+    rows = df.select("t", TX.expand_contractions("t").alias("got"), whole.alias("want")).collect()
+    assert all(r.got == r.want for r in rows) and sum(r.t != r.got for r in rows) >= 6
+
+
+def test_three_cleaners_share_their_first_steps(spark):
+    import __spark_entry__ as E
+    from conftest import SF0001
+    from loomtext.functions import text as TX
+    full = E.queries()["clean_full"](spark, SF0001)
+    assert full._jdf.queryExecution().optimizedPlan().toString().count("reflect(") == 1
+    df = spark.createDataFrame([(t,) for t in ["It's #fun @you  1234 😀!!!", " ", None, "mail a@b.co 12 http://x.y Don't"]], "t string").withColumn("s", TX.clean_shared("t"))
+    for f in TX.CLEANERS.values():
+        assert [r[0] for r in df.select(f("t")).collect()] == [r[0] for r in df.select(f("t", shared="s")).collect()]
